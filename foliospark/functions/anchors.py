@@ -7,12 +7,12 @@ import re
 from pyspark.sql import Column, functions as F
 
 from foliospark import constants as K
-from foliospark.functions.text import collapse_ws, none_if_empty
+from foliospark.functions.text import collapse_ws, java, none_if_empty
 
 
 def label_number(c: Column) -> Column:
     """Number in a strict index label, null for any other label."""
-    return none_if_empty(F.regexp_extract(c, "(?d)" + K.LABEL, 1))
+    return none_if_empty(F.regexp_extract(c, java(K.LABEL), 1))
 
 
 def anchor_text(c: Column) -> Column:

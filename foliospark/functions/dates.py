@@ -13,8 +13,9 @@ def find_month_date(c: Column) -> Column:
     Only the first hit counts: a hit with an unknown month gives null, it does
     not move the search on.
     """
-    hit = F.regexp_extract(c, K.MONTH_DATE, 0)
-    parts = F.concat_ws(" ", *[F.regexp_extract(hit, K.MONTH_DATE, g) for g in (1, 2, 3)])
+    pattern = "(?U)" + K.MONTH_DATE
+    hit = F.regexp_extract(c, pattern, 0)
+    parts = F.concat_ws(" ", *[F.regexp_extract(hit, pattern, g) for g in (1, 2, 3)])
     # The pattern letters accept abbreviations nowhere: MMMM is full names only.
     day = F.try_to_date(parts, "MMMM d yyyy")
     return F.when(F.year(day) >= 1, day).cast("string")

@@ -21,5 +21,9 @@ def nfkc(c: Column) -> Column:
     Only rows holding a character NFKC could change travel to Python; all
     others are sent as nulls and keep their JVM value.
     """
-    needs_work = c.rlike(rf"[^{K.NFKC_INERT}]")
+    # Plain ASCII is told by its byte length; the range in front of the
+    # intersection rejects ASCII characters of other texts in one step.
+    needs_work = (F.octet_length(c) > F.length(c)) & c.rlike(
+        rf"[\x{{A0}}-\x{{10FFFF}}&&[^{K.NFKC_INERT}]]"
+    )
     return F.coalesce(_nfkc_batch(F.when(needs_work, c)), c)

@@ -106,57 +106,64 @@ def numeric_summary(df: DataFrame, columns: list[str], splits: int = 512) -> Dat
     are ordered.
     """
     hist = _histogram(df, columns)
-    basic = hist.groupBy("name").agg(
-        F.sum("n").alias("count"), F.min("value").alias("min"),
-        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"), F.max("value").alias("max"),
-    )
     grid = [i / splits for i in range(1, splits)]
     cuts = hist.groupBy("name").agg(
         F.percentile_approx("value", grid, F.lit(10_000)).alias("cuts")
-    )
-    # At most len(columns) rows of `splits` numbers: a bounded broadcast.
+    ).withColumn("coarse", F.filter("cuts", lambda c, i: (i + 1) % _STRIDE == 0))
+    # One row of `splits` numbers per column: a bounded broadcast.
     ranged = hist.join(F.broadcast(cuts), "name").select(
-        "name", "value", "n", _range_index(F.col("value"), F.col("cuts")).alias("bin")
+        "name", "value", "n", _range_index(F.col("value")).alias("bin")
+    )
+    bins = ranged.groupBy("name", "bin").agg(
+        F.sum("n").alias("bin_n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
+        F.sum(F.col("value") * F.col("n")).alias("total"),
+    )
+    # From here on there are at most `splits` rows per column.
+    whole = Window.partitionBy("name")
+    running = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = bins.select(
+        "name", "bin", "bin_n", F.coalesce(F.sum("bin_n").over(running), F.lit(0)).alias("before"),
+        F.sum("bin_n").over(whole).alias("count"), F.min("lo").over(whole).alias("min"),
+        (F.sum("total").over(whole) / F.sum("bin_n").over(whole)).alias("mean"),
+        F.max("hi").over(whole).alias("max"),
     )
-    per_bin = ranged.groupBy("name", "bin").agg(F.sum("n").alias("bin_n"))
-    running = Window.partitionBy("name").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bin.withColumn("before", F.coalesce(F.sum("bin_n").over(running), F.lit(0)))
-    wanted = basic.select(
-        "name",
-        F.explode(F.array(*[_rank(F.col("count"), p, label) for label, p in _PERCENTILES])).alias("w"),
-    ).select("name", "w.*")
-    # Two ranks per percentile and column: the needed bins are few and known.
-    needed = wanted.select("name", F.explode(F.array("lower", "upper")).alias("rank"))
-    bins = needed.join(offsets, "name").where(
+    ranks = placed.select(
+        "*", F.explode(F.array(*[_rank(F.col("count"), p, at) for at, (_, p) in enumerate(_PERCENTILES)])).alias("r")
+    ).select("*", F.col("r.label"), F.col("r.share"), F.explode(F.array("r.lower", "r.upper")).alias("rank")).drop("r")
+    wanted = ranks.where(
         (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("bin_n"))
-    ).select("name", "bin", "before").distinct()
+    ).distinct()
+    needed = wanted.select("name", "bin", "before").distinct()
     inside = Window.partitionBy("name", "bin").orderBy("value")
-    stepped = ranged.join(F.broadcast(bins), ["name", "bin"]).withColumn(
-        "last", F.col("before") + F.sum("n").over(inside) - 1
-    ).withColumn("first", F.col("last") - F.col("n") + 1)
-
-    def value_at(rank: str) -> DataFrame:
-        hit = (F.col("s.first") <= F.col(f"w.{rank}")) & (F.col("s.last") >= F.col(f"w.{rank}"))
-        # Three rows per column, so a bounded broadcast.
-        return stepped.alias("s").join(
-            F.broadcast(wanted.alias("w")), (F.col("w.name") == F.col("s.name")) & hit
-        ).select("w.name", "w.label", "w.share", F.col("s.value").alias(rank))
-
-    exact = value_at("lower").join(value_at("upper").drop("share"), ["name", "label"]).select(
-        "name", "label",
-        (F.col("lower") + (F.col("upper") - F.col("lower")) * F.col("share")).alias("v"),
+    stepped = ranged.join(F.broadcast(needed), ["name", "bin"]).select(
+        "name", "bin", "value", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("first"),
+        (F.col("before") + F.sum("n").over(inside) - 1).alias("last"),
     )
-    wide = exact.groupBy("name").agg(
-        *[F.max(F.when(F.col("label") == label, F.col("v"))).alias(label) for label, _ in _PERCENTILES]
+    # At most six ranks per column.
+    hits = stepped.join(F.broadcast(wanted), ["name", "bin"]).where(
+        (F.col("first") <= F.col("rank")) & (F.col("last") >= F.col("rank"))
     )
-    return basic.join(wide, "name").select("name", "count", "min", "p25", "median", "mean", "p75", "max")
+    ends = hits.groupBy("name", "label", "share", "count", "min", "mean", "max").agg(
+        F.min("value").alias("low"), F.max("value").alias("high")
+    )
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("share")
+    wide = ends.groupBy("name", "count", "min", "mean", "max").agg(
+        *[F.max(F.when(F.col("label") == at, value)).alias(name) for at, (name, _) in enumerate(_PERCENTILES)]
+    )
+    return wide.select("name", "count", "min", "p25", "median", "mean", "p75", "max")
+
+
+# Every so many cuts form one step of the two-step range search.
+_STRIDE = 22
 
 
-def _range_index(value: Column, cuts: Column) -> Column:
-    return F.size(F.filter(cuts, lambda c: c < value))
+def _range_index(value: Column) -> Column:
+    """Number of cuts below ``value``, found by a coarse and a fine step."""
+    step = F.size(F.filter("coarse", lambda c: c < value)) * _STRIDE
+    return step + F.size(F.filter(F.slice("cuts", step + 1, F.lit(_STRIDE)), lambda c: c < value))
 
 
-def _rank(count: Column, share: float, label: str) -> Column:
+def _rank(count: Column, share: float, label: int) -> Column:
     at = (count - 1) * F.lit(share)
     low = F.floor(at)
     return F.struct(

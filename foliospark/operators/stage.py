@@ -87,7 +87,7 @@ def is_rule_document(path: Column) -> Column:
 
 
 def html_number(page_title: Column) -> Column:
-    return text.none_if_empty(F.regexp_extract(page_title, K.HTML_TITLE_NUMBER, 1))
+    return text.none_if_empty(F.regexp_extract(page_title, text.java(K.HTML_TITLE_NUMBER), 1))
 
 
 def html_title_text(page: Column) -> Column:
@@ -97,18 +97,18 @@ def html_title_text(page: Column) -> Column:
 
 def html_display_title(description: Column, bolds: Column) -> Column:
     """Meta description without its prefix, else the first usable bold text."""
-    meta = text.strip(F.regexp_replace(description, K.META_PREFIX, ""))
+    meta = text.strip(F.regexp_replace(description, text.java(K.META_PREFIX), ""))
     usable = F.filter(
         bolds,
-        lambda b: (F.length(b) > K.TITLE_MIN_CHARS) & ~b.rlike("^" + K.HTML_TITLE_NUMBER),
+        lambda b: (F.length(b) > K.TITLE_MIN_CHARS) & ~b.rlike(text.java("^" + K.HTML_TITLE_NUMBER)),
     )
     return F.coalesce(F.when(F.length(meta) > 10, meta), F.try_element_at(usable, F.lit(1)))
 
 
 def keep_paragraphs(paragraphs: Column) -> Column:
     """Paragraphs without act headers and short enactment clauses."""
-    enact = lambda p: p.rlike(K.ENACT_PARAGRAPH) & (F.length(p) < K.ENACT_PARAGRAPH_MAX)
-    return F.filter(paragraphs, lambda p: ~p.rlike("^" + K.HTML_TITLE_NUMBER) & ~enact(p))
+    enact = lambda p: p.rlike(text.java(K.ENACT_PARAGRAPH)) & (F.length(p) < K.ENACT_PARAGRAPH_MAX)
+    return F.filter(paragraphs, lambda p: ~p.rlike(text.java("^" + K.HTML_TITLE_NUMBER)) & ~enact(p))
 
 
 def html_body(paragraphs: Column) -> Column:

@@ -19,9 +19,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table stored in fewer files than there are cores, dealt out.
+
+    A file with one row group is read by one task; the text work behind it
+    should not stay there.  Large tables have many files and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def acts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, no, yr, d, basename, content, path``."""
-    keyed = table(spark, sf_dir, "documents").selectExpr(
+    keyed = spread(table(spark, sf_dir, "documents")).selectExpr(
         "*",
         "cast(doc_id - case when doc_id % 40 = 39 then 1 else 0 end as string) as no",
         "1946 + doc_id % 80 as yr",

@@ -36,7 +36,7 @@ def query(fn: Query) -> Query:
 
 def _documents(spark: SparkSession, sf: str) -> DataFrame:
     """Documents under the names of the curated table."""
-    return bridge.table(spark, sf, "documents").select(
+    return bridge.spread(bridge.table(spark, sf, "documents")).select(
         "doc_id", F.col("text").alias("content_clean"), "lang", "source",
         text.char_count(F.col("text")).alias("content_length"),
         text.word_count(F.col("text")).alias("word_count"),
@@ -163,7 +163,7 @@ def jsonl_roundtrip(spark, sf):
 
 @query
 def format_comparison(spark, sf):
-    rows = _documents(spark, sf).withColumn("ra_year", 1946 + F.col("doc_id") % 80)
+    rows = bridge.table(spark, sf, "documents").withColumn("ra_year", 1946 + F.col("doc_id") % 80)
     return writers.compare_formats(rows, scratch_path(spark, "formats"), "ra_year", timings=False)
 
 
@@ -467,7 +467,11 @@ def row_reconciliation(spark, sf):
 
 @query
 def curated_projection(spark, sf):
-    return corpus.curate(_primary(spark, sf), _secondary(spark, sf), stage.stage_index(_entries(spark, sf)))
+    staged = corpus.store_staged(
+        spark, primary=_primary(spark, sf), secondary=_secondary(spark, sf),
+        lookup=stage.stage_index(_entries(spark, sf)),
+    )
+    return corpus.curate(staged["primary"], staged["secondary"], staged["lookup"])
 
 
 @query
@@ -659,7 +663,7 @@ def count_by_weekday(spark, sf):
 # --- term statistics and search --------------------------------------------
 
 def _texts(spark: SparkSession, sf: str) -> DataFrame:
-    return bridge.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    return bridge.spread(bridge.table(spark, sf, "documents").select("doc_id", "lang", "text"))
 
 
 def _vocabulary(spark: SparkSession, sf: str) -> DataFrame:

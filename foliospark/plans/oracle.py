@@ -60,7 +60,7 @@ def approved(x: str) -> str:
 
 def normalize(x: str) -> str:
     out = f"lower(translate({x}, {lit(K.NORMALIZE_FROM)}, {lit(K.NORMALIZE_TO)}))"
-    for pattern in K.NORMALIZE_REMOVE:
+    for pattern in [rf"\b{phrase}{rest}" for phrase, rest in K.NORMALIZE_PHRASES] + [K.NORMALIZE_LINE]:
         out = f"regexp_replace({out}, '{pattern}', ' ', 'g')"
     return f"trim(regexp_replace({out}, '[{K.WS}]+', ' ', 'g'))"
 
