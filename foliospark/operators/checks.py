@@ -211,9 +211,12 @@ def run_rules(df: DataFrame, rules: list[Rule], sample_n: int = K.SAMPLE_N) -> D
     common = F.when(info, -F.col("n"))
     order = Window.partitionBy("rule", "kind").orderBy(number.cast("double"), common, "value")
     # Ranking with a limit is cut per task before the shuffle, so this stays
-    # cheap however many values violate a rule.
+    # cheap however many values violate a rule.  The filter looks at the count
+    # as well, which keeps it above the counting: totals and samples then share
+    # one scan and one exchange.
+    shown = F.when(F.col("n") > 0, bad | F.col("rule").isin(_listed(rules)))
     top = (
-        counted.where(bad | F.col("rule").isin(_listed(rules)))
+        counted.where(shown)
         .withColumn("at", F.row_number().over(order))
         .where(F.col("at") <= max(sample_n, MAX_LISTED))
         .groupBy("rule")

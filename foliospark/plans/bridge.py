@@ -97,7 +97,7 @@ def page_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``slug, html`` of the manifest's pages; one in ten has not landed."""
-    html = table(spark, sf_dir, "pages").select("page_id", "html")
+    html = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
     return page_manifest(spark, sf_dir).where("page_id % 10 <> 3").join(html, "page_id").select(
         F.replace("source_path", F.lit("/"), F.lit("__")).alias("slug"), "html"
     )

@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-_POINTER = "_CURRENT"
+# No leading underscore: Spark skips such files when it reads.
+_POINTER = "CURRENT"
 
 
 # --- full replace ----------------------------------------------------------
