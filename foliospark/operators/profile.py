@@ -189,7 +189,8 @@ def json_index_profile(entries: DataFrame, label: Column, date_text: Column, doc
     """``metric, value`` rows over exploded index entries.
 
     ``label`` is the number of a matching title or null, ``doc_id`` the id in
-    the anchor or null.
+    the anchor or null.  ``entries`` is read three times: store it first when
+    it is expensive.
     """
     iso = date_text.rlike(K.ISO_DATE)
     flat = entries.select(
@@ -199,21 +200,20 @@ def json_index_profile(entries: DataFrame, label: Column, date_text: Column, doc
         F.when(iso, F.substring(date_text, 1, 4).try_cast("long")).alias("year"),
         (F.col("anchor") != "").alias("has_anchor"), doc_id.alias("doc_id"),
     )
-    one = flat.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count("number").alias("label_rows"),
-        F.count_if(F.col("number").isNull()).alias("other_rows"),
-        F.count("date").alias("dates_present"),
-        F.count("year").alias("dates_iso"),
-        (F.count("date") - F.count("year")).alias("dates_non_iso"),
-        F.count_if("has_anchor").alias("anchors_present"),
-        F.count("doc_id").alias("doc_ids_extracted"),
-        F.min("number").alias("number_min"), F.max("number").alias("number_max"),
-        F.min("year").alias("year_min"), F.max("year").alias("year_max"),
+    per_page = flat.groupBy("page").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("number").alias("label"), F.count("date").alias("dated"),
+        F.count("year").alias("iso"), F.count_if("has_anchor").alias("anchors"), F.count("doc_id").alias("ids"),
+        F.min("number").alias("n0"), F.max("number").alias("n1"), F.min("year").alias("y0"), F.max("year").alias("y1"),
     )
-    pages = flat.groupBy("page").count().agg(
-        F.count(F.lit(1)).alias("pages"), F.min("count").alias("per_page_min"),
-        F.max("count").alias("per_page_max"),
+    one = per_page.agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("rows").alias("total_rows"),
+        F.min("rows").alias("per_page_min"), F.max("rows").alias("per_page_max"),
+        F.sum("label").alias("label_rows"), F.sum(F.col("rows") - F.col("label")).alias("other_rows"),
+        F.sum("dated").alias("dates_present"), F.sum("iso").alias("dates_iso"),
+        F.sum(F.col("dated") - F.col("iso")).alias("dates_non_iso"),
+        F.sum("anchors").alias("anchors_present"), F.sum("ids").alias("doc_ids_extracted"),
+        F.min("n0").alias("number_min"), F.max("n1").alias("number_max"),
+        F.min("y0").alias("year_min"), F.max("y1").alias("year_max"),
     )
     repeated = flat.where("number is not null").groupBy("number").count().agg(
         F.count_if(F.col("count") > 1).alias("duplicate_numbers")
@@ -221,7 +221,7 @@ def json_index_profile(entries: DataFrame, label: Column, date_text: Column, doc
     sizes = flat.groupBy("entry_size").agg(F.count(F.lit(1)).alias("value")).select(
         F.concat(F.lit("entries_of_length_"), F.col("entry_size").cast("string")).alias("metric"), "value"
     )
-    return reduce(DataFrame.unionByName, [_tall(one), _tall(pages), _tall(repeated), sizes])
+    return reduce(DataFrame.unionByName, [_tall(one), _tall(repeated), sizes])
 
 
 def _tall(one_row: DataFrame) -> DataFrame:
@@ -246,36 +246,30 @@ def page_set_profile(joined: DataFrame, html: str = "html") -> DataFrame:
 
 def staging_profile(df: DataFrame, key: str = "ra_id", year: str = "ra_year",
                     title: str = "title") -> DataFrame:
-    """``metric, value`` rows: duplicates, null years, year range, blank titles."""
-    keys = duplicate_values(df, key).select(F.col("duplicates").alias(f"duplicate_{key}"))
+    """``metric, value`` rows: duplicates, null years, year range, blank titles.
+
+    Null keys are one value among the others, so the second one repeats it.
+    """
     blank = F.trim(F.coalesce(F.col(title), F.lit("null"))) == ""
-    rest = df.agg(
+    null_key = F.when(F.count_if(F.col(key).isNull()) > 0, 1).otherwise(0)
+    return _tall(df.agg(
         F.count(F.lit(1)).alias("rows"),
+        (F.count(F.lit(1)) - F.count_distinct(key) - null_key).alias(f"duplicate_{key}"),
         F.count_if(F.col(year).isNull()).alias(f"null_{year}"),
         F.min(year).alias(f"{year}_min"), F.max(year).alias(f"{year}_max"),
         F.count_if(blank).alias("empty_title"),
-    )
-    return _tall(keys).unionByName(_tall(rest))
+    ))
 
 
 def curated_summary(df: DataFrame, key: str = "ra_id", year: str = "ra_year",
                     title: str = "title", date_column: str = "approval_date") -> DataFrame:
-    """One row: rows, distinct keys and years, year range, nulls.
-
-    Keys are reduced to one row each first, which keeps the distinct count
-    spread over all partitions.
-    """
-    per_key = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n"), F.min(year).alias("lo"), F.max(year).alias("hi"),
-        F.count_if(F.col(title).isNull()).alias("no_title"),
-        F.count_if(F.col(date_column).isNull()).alias("no_date"),
-    )
-    years = df.groupBy(year).agg(F.lit(1).alias("one")).agg(F.count(year).alias("n"))
-    return per_key.agg(
-        F.sum("n").alias("n_rows"), F.count(key).alias(f"distinct_{key}"),
-        years.scalar().alias("distinct_years"),
-        F.min("lo").alias("year_min"), F.max("hi").alias("year_max"),
-        F.sum("no_title").alias("null_title"), F.sum("no_date").alias("null_date"),
+    """One row: rows, distinct keys and years, year range, nulls; one scan."""
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias(f"distinct_{key}"),
+        F.count_distinct(year).alias("distinct_years"),
+        F.min(year).alias("year_min"), F.max(year).alias("year_max"),
+        F.count_if(F.col(title).isNull()).alias("null_title"),
+        F.count_if(F.col(date_column).isNull()).alias("null_date"),
     )
 
 

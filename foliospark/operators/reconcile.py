@@ -158,20 +158,18 @@ def reconcile_counts(primary: DataFrame, secondary: DataFrame, key: str = "ra_id
     duplicates are counted, not ranked: solid rows minus distinct keys.
     """
     solid = F.coalesce(F.col("word_count") >= min_words, F.lit(False))
-    per_key = primary.groupBy(key).agg(
+    first = primary.groupBy(key).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(solid).alias("solid")
     )
-    kept = F.count_if(F.col("solid") > 0)
-    first = per_key.agg(
-        F.sum(F.col("rows") - F.col("solid")).alias("stub"),
-        (F.sum("solid") - kept).alias("duplicate"),
-        kept.alias("kept"),
-    ).select(F.expr(
-        "stack(3, 'primary', 'stub', stub, 'primary', 'duplicate', duplicate, "
-        "'primary', 'kept', kept) as (origin, fate, n)"
+    second = secondary.groupBy(key).agg(F.count(F.lit(1)).alias("extra"))
+    # One row per key on either side: no key is hot any more.
+    known = F.coalesce(F.col("solid") > 0, F.lit(False))
+    counts = first.join(second, key, "full_outer").agg(
+        F.sum(F.col("rows") - F.col("solid")).alias("stub"), F.sum("solid").alias("solid"),
+        F.count_if(known).alias("kept"), F.sum(F.when(known, F.col("extra"))).alias("overlap"),
+        F.sum(F.when(~known, F.col("extra"))).alias("added"),
+    ).na.fill(0)
+    return counts.select(F.expr(
+        "stack(5, 'primary', 'stub', stub, 'primary', 'duplicate', solid - kept, 'primary', 'kept', kept, "
+        "'secondary', 'overlap', overlap, 'secondary', 'kept', added) as (origin, fate, n)"
     ))
-    second = overlap(primary.where(solid), secondary, key).select(F.expr(
-        "stack(2, 'secondary', 'overlap', n_overlap, 'secondary', 'kept', n_secondary_only) "
-        "as (origin, fate, n)"
-    ))
-    return first.unionByName(second)

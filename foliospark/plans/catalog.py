@@ -674,6 +674,13 @@ def _weights(spark: SparkSession, sf: str) -> DataFrame:
     return tfidf.tfidf_weights(_texts(spark, sf), "doc_id", "text", _vocabulary(spark, sf), STOP_WORDS)
 
 
+def _stored_weights(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Vocabulary and weights, each computed once and read back."""
+    vocab = corpus.store_staged(spark, vocabulary=_vocabulary(spark, sf))["vocabulary"]
+    weights = tfidf.tfidf_weights(_texts(spark, sf), "doc_id", "text", vocab, STOP_WORDS)
+    return vocab, corpus.store_staged(spark, weights=weights)["weights"]
+
+
 @query
 def tokenize_terms(spark, sf):
     return tfidf.term_counts(_texts(spark, sf), "doc_id", "text", STOP_WORDS)
@@ -696,14 +703,16 @@ def tfidf_weights(spark, sf):
 
 @query
 def tfidf_matrix_stats(spark, sf):
-    return tfidf.matrix_stats(_weights(spark, sf), _texts(spark, sf), _vocabulary(spark, sf), "doc_id")
+    vocab, weights = _stored_weights(spark, sf)
+    return tfidf.matrix_stats(weights, bridge.table(spark, sf, "documents"), vocab)
 
 
 @query
 def text_search_and(spark, sf):
-    docs = _texts(spark, sf)
-    n = docs.agg(F.count(F.lit(1)).alias("n"))
-    return search.search_all(search.inverted_index(docs, "doc_id", "text"), list(SEARCH_WORDS), "doc_id", n)
+    path = scratch_path(spark, "index")
+    search.write_index(search.inverted_index(_texts(spark, sf), "doc_id", "text"), path, "doc_id")
+    n = bridge.table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n"))
+    return search.search_all(spark.read.parquet(path), list(SEARCH_WORDS), "doc_id", n)
 
 
 # --- clusters --------------------------------------------------------------
@@ -719,19 +728,11 @@ def _lang_clusters(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _lang_terms(spark: SparkSession, sf: str) -> DataFrame:
-    return cluster.term_centroids(_weights(spark, sf), _lang_clusters(spark, sf), "doc_id", "cluster")
-
-
-def _lang_representatives(spark: SparkSession, sf: str) -> DataFrame:
-    distances = cluster.term_distances(_weights(spark, sf), _lang_clusters(spark, sf), "doc_id", "cluster")
-    return cluster.representatives(distances, "cluster", "doc_id")
-
-
 @query
 def cluster_top_terms(spark, sf):
-    top = cluster.top_terms(_lang_terms(spark, sf), "cluster")
-    return _rounded(top, ["weight"])
+    _, weights = _stored_weights(spark, sf)
+    centers = cluster.term_centroids(weights, _lang_clusters(spark, sf), "doc_id", "cluster")
+    return _rounded(cluster.top_terms(centers, "cluster"), ["weight"])
 
 
 @query
@@ -741,10 +742,14 @@ def cluster_summary(spark, sf):
 
 @query
 def cluster_theme_report(spark, sf):
+    _, weights = _stored_weights(spark, sf)
+    assigned = _lang_clusters(spark, sf)
+    centers = cluster.term_centroids(weights, assigned, "doc_id", "cluster")
+    centers = corpus.store_staged(spark, centers=centers)["centers"]
+    distances = cluster.term_distances(weights, assigned, centers, "doc_id", "cluster")
     return cluster.theme_report(
-        cluster.cluster_summary(_lang_clusters(spark, sf), "cluster"),
-        cluster.top_terms(_lang_terms(spark, sf), "cluster"),
-        _lang_representatives(spark, sf), "cluster", "doc_id",
+        cluster.cluster_summary(assigned, "cluster"), cluster.top_terms(centers, "cluster"),
+        cluster.representatives(distances, "cluster", "doc_id"), "cluster", "doc_id",
         themes={0: "German prose", 1: "English prose", 3: "French prose"},
     )
 
