@@ -413,22 +413,25 @@ def drop_empty_text(spark, sf):
     return reconcile.drop_empty(docs).select("doc_id")
 
 
+def _keyed_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents keyed by the digest of their text: the texts stay behind."""
+    docs = bridge.table(spark, sf, "documents")
+    return docs.select("doc_id", "lang", "source", F.sha2("text", 256).alias("text_key"))
+
+
 @query
 def dedupe_first(spark, sf):
-    docs = bridge.table(spark, sf, "documents")
-    return reconcile.keep_first(docs, ["text"], ["doc_id"]).select("doc_id", "lang", "source")
+    return reconcile.keep_first(_keyed_texts(spark, sf), ["text_key"], ["doc_id"]).drop("text_key")
 
 
 @query
 def duplicate_groups(spark, sf):
-    docs = bridge.table(spark, sf, "documents").select("doc_id", "text")
-    return reconcile.duplicate_rows(docs, ["text"]).select("doc_id")
+    return reconcile.duplicate_rows(_keyed_texts(spark, sf), ["text_key"]).select("doc_id")
 
 
 @query
 def duplicate_dropped(spark, sf):
-    docs = bridge.table(spark, sf, "documents").select("doc_id", "text")
-    return reconcile.later_duplicates(docs, ["text"], ["doc_id"]).select("doc_id")
+    return reconcile.later_duplicates(_keyed_texts(spark, sf), ["text_key"], ["doc_id"]).select("doc_id")
 
 
 @query
@@ -853,7 +856,9 @@ def k_sweep(spark, sf):
 def cluster_metrics(spark, sf):
     docs = _texts(spark, sf)
     vectors = tfidf.fit_vectors(docs, "text", stop_words=STOP_WORDS)
-    points = kmeans.fixed_layout(vectors.transform(docs).select("doc_id", "features"), "doc_id").persist()
+    points = vectors.transform(docs).select("doc_id", "features")
+    points = corpus.store_staged(spark, vectors=points)["vectors"]
+    points = kmeans.fixed_layout(points, "doc_id").persist()
     sweep = kmeans.sweep_k(points, "doc_id", k_min=2, k_max=5, n_init=1)
     choice = cluster.select_k(sweep)
     k = choice.first()["k_final"]
@@ -871,6 +876,7 @@ def svd_project(spark, sf):
     docs = _texts(spark, sf)
     vectors = tfidf.fit_vectors(docs, "text", stop_words=STOP_WORDS)
     points = vectors.transform(docs).select("doc_id", "features")
+    points = corpus.store_staged(spark, vectors=points)["vectors"]
     return kmeans.project_terms(points, _weights(spark, sf), vectors.terms, "doc_id")
 
 

@@ -314,6 +314,49 @@ with found as (select page_id, url as base,
 select page_id, cast(pos as integer) as pos, translate(trim(href), '"''“”‘’', '') as source_path,
   regexp_extract(base, '^[a-z]+://[^/?#]*', 0) || translate(trim(href), '"''“”‘’', '') as url from found"""
 
+# The test pages hold p, b, br and h1 inside their article, and two entities.
+def unescape(x: str) -> str:
+    return f"""replace(replace(replace({x}, '&quot;', '"'), '&amp;', '&'), '&amp', '&')"""
+
+
+def tag_text(x: str) -> str:
+    pieces = f"list_transform(string_split(regexp_replace({x}, '<[^>]*>', chr(3), 'g'), chr(3)), lambda t: {strip(unescape('t'))})"
+    return f"coalesce(array_to_string(list_filter({pieces}, lambda t: t <> ''), ' '), '')"
+
+
+_CUT = "split_part(split_part(p, '</p>', 1), '<h1>', 1)"
+PAGES = f"""
+cut_pages as (
+  select page_id, list_transform(string_split(regexp_extract(html, '(?s)<article[^>]*>(.*?)</article>', 1), '<p>')[2:],
+    lambda p: {_CUT}) as cuts, {unescape(_HTML_TITLE)} as page_title from pages),
+parsed_pages as (
+  select page_id, page_title, list_filter(list_transform(cuts, lambda p: {tag_text('p')}),
+      lambda t: not regexp_matches(t, '^{K.HTML_TITLE_NUMBER}')
+        and not (regexp_matches(t, '{K.ENACT_PARAGRAPH}') and length(t) < {K.ENACT_PARAGRAPH_MAX})) as paragraphs,
+    list_filter(list_transform(list_filter(cuts, lambda p: contains(p, '<b>')),
+        lambda p: {tag_text("split_part(p, '<b>', 2)")}),
+      lambda t: length(t) > {K.TITLE_MIN_CHARS} and not regexp_matches(t, '^{K.HTML_TITLE_NUMBER}'))[1] as title
+  from cut_pages)"""
+ORACLE["html_meta_title"] = with_(PAGES, "select page_id, page_title, title from parsed_pages")
+ORACLE["html_paragraphs"] = with_(PAGES, """
+select page_id, cast(unnest(range(len(paragraphs))) as integer) as pos, unnest(paragraphs) as paragraph
+from parsed_pages""")
+_BODY = strip(
+    r"regexp_replace(regexp_replace(coalesce(array_to_string(paragraphs, chr(10) || chr(10)), ''), '[ \t]+', ' ', 'g'), "
+    r"'\n{3,}', chr(10) || chr(10), 'g')"
+)
+ORACLE["stage_html"] = with_(PAGES + "," + MANIFEST, f""",
+numbered as (
+  select m.page_id, m.source_path, coalesce(nullif(regexp_extract(page_title, '{K.HTML_TITLE_NUMBER}', 1), ''),
+      cast(m.page_id as varchar)) as ra_number, title, {_BODY} as body,
+    cast(cast(date '1950-01-01' + cast(m.page_id % 20000 as integer) as date) as varchar) as approval_date
+  from manifest m join parsed_pages p on p.page_id = m.page_id
+  where m.page_id % 10 <> 3 and m.page_id % 7 <> 0)
+select 'RA-' || ra_number as ra_id, ra_number, 1950 + page_id % 70 as ra_year,
+  coalesce(title, concat('Listed title ', page_id)) as title, approval_date, body as content_clean,
+  length(body) as content_length, {words('body')} as word_count, '{K.SOURCE_HTML}' as source, source_path
+from numbered""")
+
 # --- reconcile -------------------------------------------------------------
 
 ORACLE["drop_stubs"] = with_(DOCS, f"select doc_id, word_count from docs where word_count >= {K.MIN_WORD_COUNT}")
