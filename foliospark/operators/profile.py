@@ -54,11 +54,11 @@ def column_profile(df: DataFrame, order: list[str], approximate: bool = False) -
         c = F.col(f.name)
         aggs += [
             F.count(c).alias(f"_n{at}"),
-            F.min_by(render_sample(c), F.when(c.isNotNull(), position)).alias(f"_s{at}"),
+            F.min_by(c, F.when(c.isNotNull(), position)).alias(f"_s{at}"),
         ]
         groups.append([
             F.lit(at), F.lit(f.dataType.simpleString()), F.col(f"_n{at}"),
-            F.coalesce(F.when(F.col(f"_n{at}") > 0, F.col(f"_s{at}")), F.lit("")), F.col("_rows"),
+            render_sample(F.when(F.col(f"_n{at}") > 0, F.col(f"_s{at}"))), F.col("_rows"),
         ])
     wide = df.agg(*aggs)
     tall = wide.select(
