@@ -65,9 +65,16 @@ def later_duplicates(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
     return df.alias("l").join(firsts, _same_keys(keys) & behind).select("l.*")
 
 
-def append_missing(primary: DataFrame, secondary: DataFrame, key: str = "ra_id") -> DataFrame:
-    """Primary rows plus the secondary rows whose key the primary lacks."""
-    extra = secondary.join(primary.select(key), key, "left_anti")
+def append_missing(primary: DataFrame, secondary: DataFrame, key: str = "ra_id",
+                   known: DataFrame | None = None) -> DataFrame:
+    """Primary rows plus the secondary rows whose key the primary lacks.
+
+    ``known`` may name a cheaper table with the same keys, such as the primary
+    before it was deduplicated.  Its keys are reduced to one row each first:
+    the side an anti join searches cannot be split when a key is hot.
+    """
+    keys = (primary if known is None else known).select(key).distinct()
+    extra = secondary.join(keys, key, "left_anti")
     return primary.unionByName(extra.select(*primary.columns))
 
 
