@@ -70,14 +70,24 @@ def append_missing(primary: DataFrame, secondary: DataFrame, key: str = "ra_id",
     """Primary rows plus the secondary rows whose key the primary lacks.
 
     ``known`` may name a cheaper table with the same keys, such as the primary
-    before it was deduplicated.  Its keys are reduced to one row each first:
-    the side an anti join searches cannot be split when a key is hot.
+    before it was deduplicated.
     """
-    keys = (primary if known is None else known).select(key).distinct()
-    extra = secondary.join(keys, key, "left_anti")
+    extra = without_keys(secondary, primary if known is None else known, [key])
     return primary.unionByName(extra.select(*primary.columns))
 
 
+def without_keys(df: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of ``df`` whose key ``known`` lacks; null keys equal each other.
+
+    The known keys are reduced to one row each first: the side an anti join
+    searches cannot be split when a key is hot.  The null-safe comparison gives
+    both sides their own exchange below the join, which is what lets Spark
+    split hot partitions of the other side.
+    """
+    searched = known.select(*keys).distinct().alias("r")
+    return df.alias("l").join(searched, _same_keys(keys), "left_anti")
+
+
 def overlap(primary: DataFrame, secondary: DataFrame, key: str = "ra_id") -> DataFrame:
     """One row: secondary rows, how many of their keys the primary has, share.
 
