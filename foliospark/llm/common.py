@@ -66,14 +66,17 @@ def binary_values(column: pa.Array) -> Iterator[np.ndarray]:
 
 def mixed(h: np.ndarray) -> np.ndarray:
     """A bijective mix of 64-bit values."""
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return h ^ (h >> np.uint64(32))
+    h = h ^ (h >> np.uint64(32))
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def paired(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A hash of ordered pairs of 64-bit values."""
-    return mixed(a * np.uint64(0x9E3779B97F4A7C15) + mixed(b))
+    """A hash of ordered pairs of 64-bit hashes."""
+    h = a * np.uint64(0x9E3779B97F4A7C15)
+    h += b
+    return mixed(h)
 
 
 class Rows:

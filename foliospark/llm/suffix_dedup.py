@@ -60,14 +60,13 @@ def _first_level(text: np.ndarray, q: int) -> np.ndarray:
     return mixed(np.concatenate(parts))
 
 
-def _levels(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of half the length and of the length: ``length`` is eight first-level grams long."""
-    half = length // 2
+def _half_level(text: np.ndarray, length: int) -> np.ndarray:
+    """Buckets of half the length, refined from grams of an eighth."""
     bucket, size = _first_level(text, length // 8), length // 8
-    while size < half:
+    while size < length // 2:
         bucket = paired(bucket[:-size], bucket[size:])
         size *= 2
-    return bucket, paired(bucket[:-half], bucket[half:])
+    return bucket
 
 
 def _sliding_min(a: np.ndarray, width: int) -> np.ndarray:
@@ -86,15 +85,20 @@ class _Anchors:
     def __init__(self, text: np.ndarray, length: int):
         half = length // 2
         width = length - half + 1
-        self.grams, self.windows = _levels(text, length)
+        self.half, self.size = half, len(text) - length + 1
+        self.grams = _half_level(text, length)
         low = _sliding_min(self.grams, width)  # per window, its smallest gram
         edge = np.zeros(width - 1, dtype=_U)
         reach = ~_sliding_min(~np.concatenate([edge, low, edge]), width)  # per gram, the largest minimum of a window with it
         self.at = np.nonzero(self.grams == reach)[0]
         self.first = np.maximum(self.at - half, 0)  # starts of the windows that hold the gram
-        self.last = np.minimum(self.at, len(self.windows) - 1)
+        self.last = np.minimum(self.at, self.size - 1)
         shape = ((self.at - self.first).astype(_U) << _U(32)) | (self.last - self.first).astype(_U)
-        self.key = paired(paired(self.windows[self.first], self.windows[self.last]), shape)
+        self.key = paired(paired(self.windows(self.first), self.windows(self.last)), shape)
+
+    def windows(self, at: np.ndarray) -> np.ndarray:
+        """Full-length buckets at some positions: the last refinement, made only where it is asked for."""
+        return paired(self.grams[at], self.grams[at + self.half])
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
@@ -142,7 +146,7 @@ def _window_rows(length: int):
                 if len(text) < length:
                     continue
                 found = _Anchors(text, length)
-                depth = np.zeros(len(found.windows) + 1, dtype=np.int64)
+                depth = np.zeros(found.size + 1, dtype=np.int64)
 
                 def starts(keys: list[int]) -> np.ndarray:
                     depth[:] = 0
@@ -151,16 +155,16 @@ def _window_rows(length: int):
                     np.add.at(depth, found.last[here] + 1, -1)
                     return np.cumsum(depth)[:-1] > 0
 
-                sure = starts(whole) if whole else np.zeros(len(found.windows), bool)
+                sure = starts(whole) if whole else np.zeros(found.size, bool)
                 begin, end = _spans(np.nonzero(sure)[0], length)
                 rows.add(np.full(len(begin), key, np.int64), np.zeros(len(begin), np.int64), begin, end - begin)
-                ask = np.zeros(len(found.windows), bool)
+                ask = np.zeros(found.size, bool)
                 if edge:
                     ask |= starts(edge) & ~sure
                 if shown:
                     ask |= starts(shown)
                 at = np.nonzero(ask)[0]
-                rows.add(np.full(len(at), key, np.int64), _signed(found.windows[at]), at, np.zeros(len(at), np.int64))
+                rows.add(np.full(len(at), key, np.int64), _signed(found.windows(at)), at, np.zeros(len(at), np.int64))
                 if rows.full():
                     yield rows.take()
         if rows.size:
