@@ -80,46 +80,81 @@ def _sliding_min(a: np.ndarray, width: int) -> np.ndarray:
 
 
 class _Anchors:
-    """The anchors of one text: positions, their half-length bucket and the bucket of their surroundings."""
+    """The anchors of some texts laid end to end: positions, half-length buckets, buckets of their surroundings."""
 
-    def __init__(self, text: np.ndarray, length: int):
-        half = length // 2
+    def __init__(self, texts: list[np.ndarray], length: int):
+        self.length, half = length, length // 2
         width = length - half + 1
-        self.half, self.size = half, len(text) - length + 1
-        self.grams = _half_level(text, length)
+        sizes = np.array([len(t) for t in texts])
+        self.begin = np.cumsum(sizes) - sizes
+        whole = np.concatenate(texts)
+        self.grams = _half_level(whole, length)
         low = _sliding_min(self.grams, width)  # per window, its smallest gram
-        edge = np.zeros(width - 1, dtype=_U)
-        reach = ~_sliding_min(~np.concatenate([edge, low, edge]), width)  # per gram, the largest minimum of a window with it
+        for edge in self.begin[1:].tolist():  # windows over two texts don't count
+            low[edge - length + 1:edge] = 0
+        pad = np.zeros(width - 1, dtype=_U)
+        reach = ~_sliding_min(~np.concatenate([pad, low, pad]), width)  # per gram, the largest minimum of a window with it
         self.at = np.nonzero(self.grams == reach)[0]
-        self.first = np.maximum(self.at - half, 0)  # starts of the windows that hold the gram
-        self.last = np.minimum(self.at, self.size - 1)
+        self.text = np.searchsorted(self.begin, self.at, side="right") - 1
+        self.size = len(low)
+        # First and last start of the windows that hold the gram.
+        self.first = np.maximum(self.at - half, self.begin[self.text])
+        self.last = np.minimum(self.at, (self.begin + sizes)[self.text] - length)
         shape = ((self.at - self.first).astype(_U) << _U(32)) | (self.last - self.first).astype(_U)
         self.key = paired(paired(self.windows(self.first), self.windows(self.last)), shape)
 
     def windows(self, at: np.ndarray) -> np.ndarray:
         """Full-length buckets at some positions: the last refinement, made only where it is asked for."""
-        return paired(self.grams[at], self.grams[at + self.half])
+        return paired(self.grams[at], self.grams[at + self.length // 2])
+
+    def covered(self, keys: list[list[int]]) -> np.ndarray:
+        """The window starts that the anchors with one of their text's keys reach."""
+        own = np.array([k for part in keys for k in part or ()], dtype=np.int64).view(_U)
+        text = np.repeat(np.arange(len(keys)), [len(part or ()) for part in keys])
+        here = np.isin(_keyed(self.key, self.text), _keyed(own, text))
+        depth = np.zeros(self.size + 1, dtype=np.int32)
+        np.add.at(depth, self.first[here], 1)
+        np.add.at(depth, self.last[here] + 1, -1)
+        return np.cumsum(depth)[:-1] > 0
+
+
+def _keyed(key: np.ndarray, text: np.ndarray) -> np.ndarray:
+    return paired(key, text.astype(_U))
 
 
 def _signed(a: np.ndarray) -> np.ndarray:
     return a.view(np.int64)
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], names: list[str], size: int = 1 << 16) -> Iterator[tuple[list, ...]]:
+    """Some rows at a time, of about ``size`` bytes of text or one longer text: lists of the columns, then the texts."""
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in names]
+        block: list[tuple] = []
+        total = 0
+        for row in zip(*columns, binary_values(batch.column("bytes"))):
+            block.append(row)
+            total += len(row[-1])
+            if total >= size:
+                yield tuple(map(list, zip(*block)))
+                block, total = [], 0
+        if block:
+            yield tuple(map(list, zip(*block)))
+
+
 _ANCHOR = pa.schema([("gram", pa.int64()), ("around", pa.int64()), ("n", pa.int64()), ("row", pa.int64())])
 
 
 def _anchor_rows(length: int):
+    """One row for each text and bucket of surroundings, with the number of places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(_ANCHOR)
-        for batch in batches:
-            for key, text in zip(batch.column("row").to_pylist(), binary_values(batch.column("bytes"))):
-                if len(text) < length:
-                    continue
-                found = _Anchors(text, length)
-                around, at, n = np.unique(found.key, return_index=True, return_counts=True)
-                rows.add(_signed(found.grams[found.at[at]]), _signed(around), n, np.full(len(n), key, np.int64))
-                if rows.full():
-                    yield rows.take()
+        for keys, texts in _blocks(batches, ["row"]):
+            found = _Anchors(texts, length)
+            _, at, n = np.unique(_keyed(found.key, found.text), return_index=True, return_counts=True)
+            rows.add(_signed(found.grams[found.at[at]]), _signed(found.key[at]), n, np.array(keys, np.int64)[found.text[at]])
+            if rows.full():
+                yield rows.take()
         if rows.size:
             yield rows.take()
     return run
@@ -128,45 +163,27 @@ def _anchor_rows(length: int):
 _WINDOW = pa.schema([("row", pa.int64()), ("bucket", pa.int64()), ("start", pa.int64()), ("span", pa.int64())])
 
 
-def _spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Maximal covered runs of windows that start at the sorted ``starts``."""
-    if not len(starts):
-        return starts, starts
-    cut = np.nonzero(np.diff(starts) > length)[0]
-    return starts[np.concatenate([[0], cut + 1])], starts[np.concatenate([cut, [len(starts) - 1]])] + length
-
-
 def _window_rows(length: int):
     """Spans known to repeat (``span`` is their length) and single windows still to be counted (``span`` 0)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(_WINDOW)
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("row", "whole", "open", "shown")]
-            for key, whole, edge, shown, text in zip(*columns, binary_values(batch.column("bytes"))):
-                if len(text) < length:
-                    continue
-                found = _Anchors(text, length)
-                depth = np.zeros(found.size + 1, dtype=np.int64)
-
-                def starts(keys: list[int]) -> np.ndarray:
-                    depth[:] = 0
-                    here = np.isin(_signed(found.key), np.array(keys, dtype=np.int64))
-                    np.add.at(depth, found.first[here], 1)
-                    np.add.at(depth, found.last[here] + 1, -1)
-                    return np.cumsum(depth)[:-1] > 0
-
-                sure = starts(whole) if whole else np.zeros(found.size, bool)
-                begin, end = _spans(np.nonzero(sure)[0], length)
-                rows.add(np.full(len(begin), key, np.int64), np.zeros(len(begin), np.int64), begin, end - begin)
-                ask = np.zeros(found.size, bool)
-                if edge:
-                    ask |= starts(edge) & ~sure
-                if shown:
-                    ask |= starts(shown)
-                at = np.nonzero(ask)[0]
-                rows.add(np.full(len(at), key, np.int64), _signed(found.windows(at)), at, np.zeros(len(at), np.int64))
-                if rows.full():
-                    yield rows.take()
+        for keys, whole, edge, shown, texts in _blocks(batches, ["row", "whole", "open", "shown"]):
+            found, row = _Anchors(texts, length), np.array(keys, np.int64)
+            sure = found.covered(whole)
+            at = np.nonzero(sure)[0]
+            if len(at):
+                text = np.searchsorted(found.begin, at, side="right") - 1
+                cut = np.nonzero((np.diff(at) > length) | (np.diff(text) > 0))[0]
+                begin, text = at[np.r_[0, cut + 1]], text[np.r_[0, cut + 1]]
+                span = at[np.r_[cut, len(at) - 1]] + length - begin
+                # The bucket of a span is its own, so that it counts with nothing else.
+                own = _signed(_keyed(row[text].view(_U), begin - found.begin[text]))
+                rows.add(row[text], own, begin - found.begin[text], span)
+            at = np.nonzero((found.covered(edge) & ~sure) | found.covered(shown))[0]
+            text = np.searchsorted(found.begin, at, side="right") - 1
+            rows.add(row[text], _signed(found.windows(at)), at - found.begin[text], np.zeros(len(at), np.int64))
+            if rows.full():
+                yield rows.take()
         if rows.size:
             yield rows.take()
     return run
@@ -224,12 +241,10 @@ def repeated_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
         F.collect_set(F.when(~F.col("whole"), F.col("around"))).alias("open"),
         F.collect_set(F.when(F.col("shown"), F.col("around"))).alias("shown"),
     ), "marks")
-    windows = stored(texts.join(by_row, "row").select("row", "bytes", "whole", "open", "shown").mapInArrow(
-        _window_rows(length), "row long, bucket long, start long, span long"), "windows")
-    single = windows.where("span = 0").select("row", "bucket", "start")
-    counted = single.selectExpr("row", "start", "count(1) over (partition by bucket) as times")
-    found = counted.where("times > 1").select("row", "start", F.lit(0).cast("long").alias("span"))
-    return found.union(windows.where("span > 0").select("row", "start", "span")).groupBy("row").agg(
+    windows = texts.join(by_row, "row").select("row", "bytes", "whole", "open", "shown").mapInArrow(
+        _window_rows(length), "row long, bucket long, start long, span long")
+    counted = windows.selectExpr("row", "start", "span", "count(1) over (partition by bucket) as times")
+    return counted.where("span > 0 or times > 1").groupBy("row").agg(
         F.collect_set(F.struct("start", "span")).alias("found")
     ).select("row", F.col("found.start").alias("starts"), F.col("found.span").alias("spans"))
 
