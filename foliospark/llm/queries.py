@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import minhash, suffix_dedup
+from foliospark.llm import bpe, chat, minhash, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +31,51 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_pairs(chat.answer_pairs(table(spark, sf_dir, "conversations")))
+
+
+ORACLE["op1_chat"] = """
+with whole as (
+  select conv_id, list(struct_pack(role := role, text := text) order by turn, role, text) as turns from conversations group by conv_id),
+placed as (
+  select *, list_max(list_filter(range(1, len(turns) + 1), lambda k: turns[k].role = 'assistant')) as k from whole),
+paired as (
+  select a.conv_id, a.turns as c, list_transform(range(1, len(a.turns) + 1), lambda i: struct_pack(
+           role := a.turns[i].role, text := case when i = a.k then coalesce(b.turns[b.k].text, '') else a.turns[i].text end)) as r
+  from placed a left join placed b on b.conv_id = xor(a.conv_id, 1)),
+cut as (
+  select *, len(list_filter(range(1, len(c) + 1), lambda i: c[1:i] = r[1:i])) as n from paired),
+written as (
+  select conv_id, n,
+    list_transform(c, lambda t: concat('<|im_start|>', t.role, chr(10))) as ch, list_transform(r, lambda t: concat('<|im_start|>', t.role, chr(10))) as rh,
+    list_transform(c, lambda t: concat(replace(t.text, '<|', '< |'), '<|im_end|>', chr(10))) as cb,
+    list_transform(r, lambda t: concat(replace(t.text, '<|', '< |'), '<|im_end|>', chr(10))) as rb,
+    list_transform(c, lambda t: t.role) as cr, list_transform(r, lambda t: t.role) as rr
+  from cut),
+sized as (
+  select *, list_transform(range(1, len(ch) + 1), lambda i: length(ch[i]) + length(cb[i])) as cl,
+    list_transform(range(1, len(rh) + 1), lambda i: length(rh[i]) + length(rb[i])) as rl from written)
+select conv_id as pair_id, cast(n as integer) as n_prompt_turns,
+  array_to_string(list_transform(range(1, n + 1), lambda i: concat(ch[i], cb[i])), '') as prompt,
+  array_to_string(list_transform(range(n + 1, len(ch) + 1), lambda i: concat(ch[i], cb[i])), '') as chosen,
+  array_to_string(list_transform(list_filter(range(n + 1, len(ch) + 1), lambda i: cr[i] = 'assistant'), lambda i: concat(
+    cast(coalesce(list_sum(cl[n + 1:i - 1]), 0) as bigint) + length(ch[i]), ':', cast(list_sum(cl[n + 1:i]) as bigint))), ',') as chosen_spans,
+  array_to_string(list_transform(range(n + 1, len(rh) + 1), lambda i: concat(rh[i], rb[i])), '') as rejected,
+  array_to_string(list_transform(list_filter(range(n + 1, len(rh) + 1), lambda i: rr[i] = 'assistant'), lambda i: concat(
+    cast(coalesce(list_sum(rl[n + 1:i - 1]), 0) as bigint) + length(rh[i]), ':', cast(list_sum(rl[n + 1:i]) as bigint))), ',') as rejected_spans
+from sized
+"""
