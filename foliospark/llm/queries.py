@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import bpe, chat, minhash, sharding, suffix_dedup
+from foliospark.llm import bpe, chat, decontaminate, minhash, secrets, sharding, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,13 @@ select conv_id as pair_id, cast(n as integer) as n_prompt_turns,
     cast(coalesce(list_sum(rl[n + 1:i - 1]), 0) as bigint) + length(rh[i]), ':', cast(list_sum(rl[n + 1:i]) as bigint))), ',') as rejected_spans
 from sized
 """
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
