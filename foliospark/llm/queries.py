@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import bpe, chat, decontaminate, minhash, secrets, sharding, suffix_dedup
+from foliospark.llm import additive, bpe, chat, decontaminate, isolation, minhash, secrets, sharding, suffix_dedup, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,18 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return additive.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return isolation.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
