@@ -10,11 +10,15 @@ below the limit (six standard deviations) are left unconfirmed.
 No bucket is paired out.  Documents with equal sets are one node.  In each
 bucket the nodes are compared with its smallest node, the links give
 components, and buckets that then hold a single component are done.  The rest
-is compared with another of its nodes, as long as that helps.  Large buckets
-left are those of a passage that different documents share; their nodes are
-dealt anew by their rarest shingles (two sets at the limit share one of the
-rarest quarter), which parts them and loses no link.  Then nodes of different
-components are compared, so no pair that meets in a bucket is left out.
+is compared with another of its nodes, as long as that helps.
+
+What is left are mostly documents around one passage or one text that are not
+near enough to each other.  Their buckets are joined to clusters, and most
+pairs are ruled out without being made.  With C the shingles that more than half
+of a cluster has, a set has ``p`` shingles outside C and lacks ``m`` of C.  Two
+sets at the limit either share one of their rarest shingles outside C, or
+differ by at least ``p1 + p2 + |m1 - m2|``, which the limit bounds.  Either way
+no pair at the limit that meets in a bucket is left out.
 """
 
 from __future__ import annotations
@@ -30,9 +34,9 @@ from foliospark.llm.common import Rows, binary_values, mixed, paired, row_key, s
 
 WORDS, PERCENT = 5, 75
 MINIMA, BAND, BITS = 128, 4, 2
-#: Buckets up to this size are compared node by node across components; larger ones are dealt anew first.
-SMALL = 48
-#: Most turns of comparing with one node of each bucket; what is left then is compared across components.
+#: Comparing with further nodes ends when a bucket's members would take this many comparisons each, or fewer.
+FEW = 48
+#: Most turns of comparing with one node of each bucket; what is left then goes on to clusters.
 ROUNDS = 8
 
 _U = np.uint64
@@ -207,20 +211,39 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, full: DataFrame, percent: int)
     return sized.where(F.col("common") * 100 >= F.col("joint") * percent).select("a", "b").distinct()
 
 
-def _rare_parts(large: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """``bucket, node, component``: the nodes of large buckets under each of their rarest shingles.
-
-    A set at the limit shares at least ``percent`` of a set's shingles, so one of
-    the ``100 - percent`` rarest percent and one more is among them, in any
-    order that is the same for all sets.
-    """
-    nodes = large.select("node", "component").distinct()
-    shingles = full.join(nodes, "node").select("node", F.explode("shingles").alias("shingle")).distinct()
-    often = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
-    ranked = shingles.join(often, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("n", "shingle"))).alias("s"))
-    least = F.ceil(F.size("s") * percent / 100)
-    rare = ranked.select("node", F.explode(F.slice("s", F.lit(1), (F.size("s") - least + 1).cast("int"))).alias("s"))
-    return rare.join(nodes, "node").select(F.col("s.shingle").alias("bucket"), "node", "component")
+def _across(rest: DataFrame, sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different components in the buckets of ``rest (bucket, node, component)`` that may reach the limit."""
+    low = rest.groupBy("bucket").agg(F.min("node").alias("cluster"))
+    members = stored(rest.join(low, "bucket").select("cluster", "node", "component").distinct(), "clusters")
+    each = members.join(full, "node").select("cluster", "node", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("cluster", "shingle").agg(F.count(F.lit(1)).alias("n"))
+    half = members.groupBy("cluster").agg((F.count(F.lit(1)) / 2).alias("half"))
+    often = stored(often.join(half, "cluster").withColumn("shared", F.col("n") > F.col("half")).drop("half"), "shingles")
+    core = often.groupBy("cluster").agg(F.count_if("shared").alias("core"))
+    sizes = each.join(often, ["cluster", "shingle"]).groupBy("cluster", "node").agg(
+        F.count(F.lit(1)).alias("size"), F.count_if("shared").alias("held"),
+        F.sort_array(F.collect_list(F.when(~F.col("shared"), F.struct("n", "shingle")))).alias("rare"),
+    )
+    # Of the rarest shingles one more than a set at the limit can lack is enough.
+    most = (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).cast("int")
+    known = stored(
+        members.join(sizes, ["cluster", "node"]).join(core, "cluster").join(sets.select("node", "packed"), "node").select(
+            "cluster", "node", "component", "packed", "size", (F.col("size") - F.col("held")).alias("own"),
+            (F.col("core") - F.col("held")).alias("lack"), F.transform(F.slice("rare", F.lit(1), most), lambda x: x["shingle"]).alias("rare"),
+        ), "profiles",
+    )
+    likely = estimated("one.packed", "two.packed") >= least_estimate(percent)
+    apart = (F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component"))
+    # Both conditions are part of the joins: what they rule out is never a row.
+    rare = known.select("cluster", F.explode("rare").alias("shingle"), "node", "component", "packed")
+    first = rare.alias("one").join(rare.alias("two"), (F.col("one.cluster") == F.col("two.cluster"))
+                                   & (F.col("one.shingle") == F.col("two.shingle")) & apart & likely)
+    near = known.where(F.col("own") * percent <= F.col("size") * (100 - percent)).drop("rare")
+    differ = F.col("one.own") + F.col("two.own") + F.abs(F.col("one.lack") - F.col("two.lack"))
+    second = near.alias("one").join(near.alias("two"), (F.col("one.cluster") == F.col("two.cluster")) & apart & likely & (
+        differ * (100 + percent) <= (F.col("one.size") + F.col("two.size")) * (100 - percent)))
+    ends = [F.col("one.node").alias("a"), F.col("two.node").alias("b")]
+    return first.select(*ends).union(second.select(*ends)).distinct()
 
 
 def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
@@ -264,10 +287,9 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     first = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
     members = stored(buckets.join(first.select("bucket"), "bucket"), "members")
     texts = documents.select(row_key("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("bytes"))
-    # Equal rows have one key; a second one only repeats a pair.
     full = stored(
         sets.select("node", "row").join(members.select("node").distinct(), "node").join(texts, "row")
-        .select("node", "bytes").mapInArrow(_set_rows, "node long, shingles array<long>"), "sets",
+        .dropDuplicates(["row"]).select("node", "bytes").mapInArrow(_set_rows, "node long, shingles array<long>"), "sets",
     )
     links = label = None
     rest, work = members.withColumn("component", F.col("node")), None
@@ -282,22 +304,11 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         label = components(links)
         rest = stored(_unsettled(_labelled(members, label)), "unsettled")
         before, work = work, _work(rest)
-        if work <= SMALL or before is not None and work > 0.8 * before:
+        if work <= FEW or before is not None and work > 0.8 * before:
             break
     if work:
-        size = rest.groupBy("bucket").agg((F.count(F.lit(1)) > SMALL).alias("large"))
-        sized = rest.join(size, "bucket")
-        columns = ["bucket", "node", "component"]
-        parts = _unsettled(_rare_parts(sized.where("large"), full, percent))
-        rest = stored(sized.where("not large").select(columns).union(parts.select(columns)), "parts")
-        rest = rest.join(sets.select("node", "packed"), "node")
-        one, two = rest.alias("one"), rest.alias("two")
-        # The estimate is part of the join: pairs below it are never rows.
-        across = one.join(two, (F.col("one.bucket") == F.col("two.bucket")) & (F.col("one.node") < F.col("two.node"))
-                          & (F.col("one.component") != F.col("two.component"))
-                          & (estimated("one.packed", "two.packed") >= least_estimate(percent)))
-        across = across.select(F.col("one.node").alias("a"), F.col("two.node").alias("b")).distinct()
-        label = components(links.union(stored(_confirmed(across, sets, full, percent), "links")))
+        more = stored(_confirmed(_across(rest, sets, full, percent), sets, full, percent), "links")
+        label = components(links.union(more))
     known = sets.select("digest", "node", "least").join(label, "node", "left").select(
         "digest", "least", F.coalesce("component", "node").alias("component"))
     smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
