@@ -160,11 +160,13 @@ def _anchor_rows(length: int):
     return run
 
 
-_WINDOW = pa.schema([("row", pa.int64()), ("bucket", pa.int64()), ("start", pa.int64()), ("span", pa.int64())])
+_WINDOW = pa.schema([("row", pa.int64()), ("bucket", pa.int64()), ("place", pa.int64())])
+# A place is a start in the high half and the length of a span, 0 for a single window, in the low half.
+_LOW = (1 << 32) - 1
 
 
 def _window_rows(length: int):
-    """Spans known to repeat (``span`` is their length) and single windows still to be counted (``span`` 0)."""
+    """Spans known to repeat and single windows still to be counted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = Rows(_WINDOW)
         for keys, whole, edge, shown, texts in _blocks(batches, ["row", "whole", "open", "shown"]):
@@ -178,10 +180,10 @@ def _window_rows(length: int):
                 span = at[np.r_[cut, len(at) - 1]] + length - begin
                 # The bucket of a span is its own, so that it counts with nothing else.
                 own = _signed(_keyed(row[text].view(_U), begin - found.begin[text]))
-                rows.add(row[text], own, begin - found.begin[text], span)
+                rows.add(row[text], own, begin - found.begin[text] << 32 | span)
             at = np.nonzero((found.covered(edge) & ~sure) | found.covered(shown))[0]
             text = np.searchsorted(found.begin, at, side="right") - 1
-            rows.add(row[text], _signed(found.windows(at)), at - found.begin[text], np.zeros(len(at), np.int64))
+            rows.add(row[text], _signed(found.windows(at)), at - found.begin[text] << 32)
             if rows.full():
                 yield rows.take()
         if rows.size:
@@ -193,13 +195,13 @@ def _cut(schema: pa.Schema, length: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
-            starts, spans = batch.column("starts").to_pylist(), batch.column("spans").to_pylist()
-            for begin, span, text in zip(starts, spans, binary_values(batch.column("bytes"))):
+            for places, text in zip(batch.column("places").to_pylist(), binary_values(batch.column("bytes"))):
                 keep = text
                 runs: list[tuple[int, int]] = []
-                if begin:
-                    for a, n in sorted(zip(begin, span)):
-                        b = a + (n or length)
+                if places:
+                    for place in sorted(places):
+                        a = place >> 32
+                        b = a + (place & _LOW or length)
                         if runs and a <= runs[-1][1]:
                             runs[-1] = (runs[-1][0], max(b, runs[-1][1]))
                         else:
@@ -215,10 +217,7 @@ def _cut(schema: pa.Schema, length: int, keep_text: bool):
 
 
 def repeated_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``row, starts, spans`` of the rows ``row, bytes``: where repeated windows begin, and how long each run is.
-
-    A span of 0 stands for one window.
-    """
+    """``row, places`` of the rows ``row, bytes``: repeated windows and runs of them."""
     texts = keyed.where(F.length("bytes") >= length)
     anchors = texts.mapInArrow(_anchor_rows(length), "gram long, around long, n long, row long")
     grams = stored(
@@ -242,11 +241,9 @@ def repeated_windows(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
         F.collect_set(F.when(F.col("shown"), F.col("around"))).alias("shown"),
     ), "marks")
     windows = texts.join(by_row, "row").select("row", "bytes", "whole", "open", "shown").mapInArrow(
-        _window_rows(length), "row long, bucket long, start long, span long")
-    counted = windows.selectExpr("row", "start", "span", "count(1) over (partition by bucket) as times")
-    return counted.where("span > 0 or times > 1").groupBy("row").agg(
-        F.collect_set(F.struct("start", "span")).alias("found")
-    ).select("row", F.col("found.start").alias("starts"), F.col("found.span").alias("spans"))
+        _window_rows(length), "row long, bucket long, place long")
+    counted = windows.selectExpr("row", "place", "count(1) over (partition by bucket) as times")
+    return counted.where(f"place & {_LOW}L > 0 or times > 1").groupBy("row").agg(F.collect_set("place").alias("places"))
 
 
 def remove_repeats(documents: DataFrame, length: int = LENGTH, keep_text: bool = False) -> DataFrame:
@@ -269,6 +266,6 @@ def remove_repeats(documents: DataFrame, length: int = LENGTH, keep_text: bool =
         ("kept_sha256", pa.string()), *([("kept", pa.binary())] if keep_text else []),
     ])
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
-    return keyed.join(found, "row", "left").select("doc_id", "bytes", "starts", "spans").mapInArrow(
+    return keyed.join(found, "row", "left").select("doc_id", "bytes", "places").mapInArrow(
         _cut(schema, length, keep_text), ddl
     )
