@@ -5,12 +5,12 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 
 from foliospark import constants as K
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc_batch(values: pd.Series) -> pd.Series:
     return values.map(lambda s: unicodedata.normalize("NFKC", s), na_action="ignore")
 

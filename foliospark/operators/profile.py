@@ -10,8 +10,6 @@ from foliospark import constants as K
 from foliospark.functions.text import render_sample
 
 _PERCENTILES = (("p25", 0.25), ("median", 0.5), ("p75", 0.75))
-# Texts longer than this are compared by digest when distinct values are counted.
-_DIGEST_ABOVE = 64
 
 
 def _stack(labels: list[str], columns: list[list[Column]], names: list[str]) -> Column:
@@ -24,8 +22,8 @@ def _stack(labels: list[str], columns: list[list[Column]], names: list[str]) ->
 
 
 def _identity(c: Column) -> Column:
-    text = c.cast("string")
-    return F.when(F.length(text) > _DIGEST_ABOVE, F.sha2(text, 256)).otherwise(text)
+    """Values are compared by digest, whatever their length."""
+    return F.sha2(c.cast("string"), 256)
 
 
 def distinct_counts(df: DataFrame, approximate: bool = False) -> DataFrame:

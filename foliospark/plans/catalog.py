@@ -169,7 +169,7 @@ def format_comparison(spark, sf):
 
 def _upsert_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     customers = bridge.table(spark, sf, "customer")
-    changed = customers.where("c_custkey % 2 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    changed = customers.where("c_custkey % 2 = 0 or c_custkey % 3 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
     return customers.where("c_custkey % 3 <> 0"), changed
 
 
@@ -510,7 +510,7 @@ def check_schema(spark, sf):
     drifted = bridge.acts(spark, sf).select(
         F.col("path").alias("source_path"), F.col("yr").cast("int").alias("ra_year"), "basename"
     )
-    return _joined_samples(checks.check_schema(drifted, Contract()))
+    return _joined_samples(checks.check_schema(drifted, Contract.parse()))
 
 
 @query
@@ -764,7 +764,7 @@ def cluster_scatter_join(spark, sf):
         F.round(F.col("embedding")[0].cast("double"), 6).alias("x"),
         F.round(F.col("embedding")[1].cast("double"), 6).alias("y"),
     )
-    docs = bridge.table(spark, sf, "documents").where("doc_id % 5 <> 0").select(
+    docs = bridge.table(spark, sf, "documents").select(
         "doc_id", F.col("text").alias("title"), (1946 + F.col("doc_id") % 80).alias("ra_year")
     )
     return cluster.scatter_join(points, docs, "doc_id")
@@ -843,7 +843,7 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def kmeans_assign(spark, sf):
     points = kmeans.fixed_layout(_points(spark, sf), "vec_id").persist()
-    model = kmeans.fit_best(points, 10, n_init=3)
+    model = kmeans.fit_best(points, 10)
     return kmeans.assign(points, model).select("vec_id", "cluster")
 
 

@@ -60,7 +60,7 @@ def approved(x: str) -> str:
 
 def normalize(x: str) -> str:
     out = f"lower(translate({x}, {lit(K.NORMALIZE_FROM)}, {lit(K.NORMALIZE_TO)}))"
-    for pattern in [rf"\b{phrase}{rest}" for phrase, rest in K.NORMALIZE_PHRASES] + [K.NORMALIZE_LINE]:
+    for pattern in [*K.NORMALIZE_PATTERNS, K.NORMALIZE_LINE]:
         out = f"regexp_replace({out}, '{pattern}', ' ', 'g')"
     return f"trim(regexp_replace({out}, '[{K.WS}]+', ' ', 'g'))"
 
@@ -134,7 +134,7 @@ raw_entries as (
            doc_id - case when doc_id % 40 = 39 then 1 else 0 end) as label,
     case when doc_id % 9 = 0 then ''
          else cast(cast(date '1946-01-01' + cast((doc_id * 7) % 28000 as integer) as date) as varchar) end as day,
-    concat('<a href=''https://{K.INDEX_HOST}/thebookshelf/showdocs/2/', doc_id, '''>', substr(text, 1, 60), '</a>')
+    concat('<a href=''https://{K.INDEX_HOST}/thebookshelf/showdocs/2/', doc_id, '''>', text, '</a>')
       as link
   from documents),
 entries as (
@@ -231,15 +231,15 @@ select format, (select count(*) from documents) as rows, true as columns_match,
 from (values ('parquet_single'), ('parquet_partitioned'), ('csv'), ('json_lines')) t(format)"""
 ORACLE["upsert_merge"] = """
 with target as (select * from customer where c_custkey % 3 <> 0),
-source as (select * replace (c_acctbal + 1 as c_acctbal) from customer where c_custkey % 2 = 0)
+source as (select * replace (c_acctbal + 1 as c_acctbal) from customer where c_custkey % 2 = 0 or c_custkey % 3 = 0)
 select * replace (round(c_acctbal, 2) as c_acctbal), case when c_custkey in (select c_custkey from target) then 'updated' else 'inserted' end as action
 from source
 union all
 select * replace (round(c_acctbal, 2) as c_acctbal), 'kept' as action from target
 where c_custkey not in (select c_custkey from source)"""
 ORACLE["upsert_counts"] = """
-select case when c_custkey % 2 <> 0 then 'kept' when c_custkey % 3 <> 0 then 'updated' else 'inserted' end as action,
-  count(*) as n from customer where c_custkey % 3 <> 0 or c_custkey % 2 = 0 group by 1"""
+select case when c_custkey % 3 = 0 then 'inserted' when c_custkey % 2 = 0 then 'updated' else 'kept' end as action,
+  count(*) as n from customer group by 1"""
 ORACLE["load_prepare"] = with_(UNCLEAN, """
 select ra_id, cast(ra_year as integer) as ra_year, cast(approval_date as date) as approval_date,
   cast(content_length as integer) as content_length, cast(word_count as integer) as word_count, source_path
@@ -432,8 +432,8 @@ select '{name}' as check_name, '{severity}' as severity, case when n = 0 then 'p
 from (select {n} as n from (select {sample} as v from {source} where {bad}))"""
 
 
-_contract = Contract()
-_expected = {c: t.simpleString() for c, t in _contract.expected_columns.items()}
+_contract = Contract.parse()
+_expected = {c.name: c.kind.simpleString() for c in _contract.columns.values()}
 _drifted = {"source_path": "string", "ra_year": "int", "basename": "string"}
 _problems = (
     [f"missing column: {c}" for c in _expected if c not in _drifted]
@@ -451,7 +451,7 @@ UNIQUE = verdict("ra_id_unique", _DUP.format(k="ra_id"), "copies > 1", "ra_id",
                  "concat(n, ' duplicate ra_id row(s)')")
 ORACLE["check_unique"] = with_(UNCLEAN, UNIQUE)
 ORACLE["check_unique_composite"] = with_(UNCLEAN, verdict(
-    "ra_number_year_unique", _DUP.format(k="ra_number, ra_year"), "copies > 1", "concat_ws('|', ra_number, ra_year)",
+    "ra_number_year_unique", _DUP.format(k="ra_number, ra_year"), "copies > 1", "cast(to_json({'ra_number': ra_number, 'ra_year': ra_year}) as varchar)",
     "ra_number, ra_year is unique", "concat(n, ' duplicate ra_number, ra_year row(s)')"))
 ORACLE["check_required_non_null"] = with_(LABELLED, """,
 counts as (select count(*) filter (quality is null) as q, count(*) filter (toxic is null) as t from labelled)
@@ -554,8 +554,8 @@ select 'row_band' as check_name, 'error' as severity, case when n between 11000
   cast(case when n between 11000 and 13000 then 0 else 1 end as bigint) as violations, '' as samples
 from (select count(*) as n from documents)"""
 
-_low, _high = _contract.year_bounds(TODAY)
-_required = _contract.required_non_null
+_low, _high = _contract.years(TODAY)
+_required = _contract.required()
 REPORT = "\nunion all\n".join(f"select * from ({part})" for part in [
     """select 'schema_conformance' as check_name, 'error' as severity, 'pass' as status,
        'All expected columns present with expected types' as message, cast(0 as bigint) as violations, '' as samples""",
@@ -693,10 +693,11 @@ _TOP = """
 top as (select cluster, term, weight, row_number() over (partition by cluster order by round(weight, 9) desc, term) as rank
   from centers qualify rank <= 15)"""
 _TERM_DISTANCE = """
-gaps as (select doc_id, cluster, greatest(sum(w.weight * w.weight) + any_value(c2) - 2 * sum(w.weight * c.weight), 0) as d2
-  from weights w join langs using (doc_id) join centers c using (cluster, term)
-  join (select cluster, sum(weight * weight) as c2 from centers group by cluster) using (cluster)
-  group by doc_id, cluster),
+gaps as (select doc_id, cluster, greatest(coalesce(own, 0) + c2 - 2 * coalesce(dot, 0), 0) as d2
+  from langs join (select cluster, sum(weight * weight) as c2 from centers group by cluster) using (cluster)
+  left join (select doc_id, sum(weight * weight) as own from weights group by doc_id) using (doc_id)
+  left join (select doc_id, cluster, sum(w.weight * c.weight) as dot from weights w join langs using (doc_id)
+             join centers c using (cluster, term) group by doc_id, cluster) using (doc_id, cluster)),
 reps as (select cluster, doc_id, row_number() over (partition by cluster order by round(d2, 9), doc_id) as rank
   from gaps qualify rank <= 3)"""
 ORACLE["cluster_top_terms"] = with_(
@@ -717,7 +718,7 @@ ORACLE["cluster_scatter_join"] = """
 select vec_id as doc_id, label as cluster, round(embedding[1]::double, 6) as x, round(embedding[2]::double, 6) as y,
   replace(substr(coalesce(text, ''), 1, 90), chr(10), ' ') as title_short,
   case when text is null then '' else cast(1946 + doc_id % 80 as varchar) end as year_str
-from embeddings left join (select * from documents where doc_id % 5 <> 0) on doc_id = vec_id"""
+from embeddings left join documents on doc_id = vec_id"""
 ORACLE["cluster_sizes"] = """
 select count(*) as n_clusters, min(n) as size_min, max(n) as size_max,
   cast(floor(quantile_cont(n, 0.5)) as bigint) as size_median from (select count(*) as n from embeddings group by label)"""

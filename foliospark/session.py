@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -41,7 +42,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     configured = spark.conf.get(CHECKPOINT_KEY, None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
         configured = tempfile.mkdtemp(prefix="foliospark-")
         spark.conf.set(CHECKPOINT_KEY, configured)

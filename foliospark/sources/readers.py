@@ -32,7 +32,7 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def read_curated(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
-    return read_parquet(spark, path, (contract or Contract()).spark_schema)
+    return read_parquet(spark, path, (contract or Contract.parse()).schema())
 
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

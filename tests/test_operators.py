@@ -128,7 +128,7 @@ def curated(spark, **change):
     rows = [{**base, "ra_id": f"RA-{i}", "ra_number": str(i)} for i in range(1, 9)]
     for at, values in change.items():
         rows[int(at[1:])].update(values)
-    return spark.createDataFrame([tuple(r[c] for c in K.CURATED_COLUMNS) for r in rows], Contract().spark_schema)
+    return spark.createDataFrame([tuple(r[c] for c in K.CURATED_COLUMNS) for r in rows], Contract.parse().schema())
 
 
 def outcome(spark, df, **kw):
@@ -196,7 +196,7 @@ def test_samples_are_bounded_and_counts_are_not(spark):
 def test_report_scans_once(spark, tmp_path):
     path = str(tmp_path / "c")
     curated(spark).write.parquet(path)
-    df = checks.run_rules(spark.read.parquet(path), checks.contract_rules(Contract(), list(K.CURATED_COLUMNS)))
+    df = checks.run_rules(spark.read.parquet(path), checks.contract_rules(Contract.parse(), list(K.CURATED_COLUMNS)))
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
@@ -204,17 +204,22 @@ def test_report_scans_once(spark, tmp_path):
 
 
 def test_contract():
-    contract = Contract()
-    assert contract.version == "1.2" and len(contract.schema_fields) == 11 and len(contract.rules) == 10
-    assert contract.primary_key == "ra_id" and "approval_date" not in contract.required_non_null
-    assert contract.field("ra_number")["pattern"] == r"^\d+[a-z]?$"
-    for call in (lambda: contract.field("x"), lambda: contract.rule_params("x")):
-        with pytest.raises(KeyError):
-            call()
-    odd = {**CURATED_CONTRACT, "schema": {**CURATED_CONTRACT["schema"], "fields": [{"name": "f", "type": "float"}]}}
+    contract = Contract.parse()
+    assert contract.revision == "1.2" and len(contract.columns) == 11 and len(contract.rules) == 10
+    assert contract.key == "ra_id" and "approval_date" not in contract.required()
+    assert contract.columns["ra_number"].pattern == r"^\d+[a-z]?$"
+    assert contract.unique == {"ra_number_year_unique": ("ra_number", "ra_year")}
+    odd = {**CURATED_CONTRACT, "schema": {**CURATED_CONTRACT["schema"], "fields": [{"name": "f", "type": "float", "nullable": True}]}}
     with pytest.raises(KeyError):
-        Contract(odd).expected_columns
-    assert contract.rule_params("ra_id_unique") == {}
+        Contract.parse(odd)
+    assert contract.rules["ra_id_unique"].params == {}
+
+
+def test_composite_keys_of_nulls_and_separators(spark):
+    rows = [("1950", None), (None, "1950"), ("a|b", "c"), ("a", "b|c"), ("x", "y"), ("x", "y")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    got = checks.run_rules(df, [checks.unique_rule(["p", "q"])]).first()
+    assert (got.status, got.violations) == ("fail", 2)
 
 
 @pytest.mark.parametrize("splits", [4, 512])
