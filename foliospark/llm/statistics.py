@@ -93,11 +93,15 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def training_rows(stats: DataFrame, labels: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels of at most ``most`` labelled rows that are not held out, the same ones each time.
 
-    An id with several labels counts once, with the largest.
+    An id with several labels counts once, with the largest.  Rows are chosen by
+    a hash of the id; their number is known first, so few more than ``most`` are
+    ordered and sent.
     """
     known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(
         F.max("quality").alias("quality"))
-    rows = stats.select("doc_id", "features").join(known, "doc_id").orderBy(
-        F.xxhash64("doc_id"), "doc_id", "features").limit(most).select("features", "quality").toPandas()
+    labelled = stats.select("doc_id", "features").join(known, "doc_id")
+    share = min(1.0, 1.2 * most / max(labelled.count(), 1))
+    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    rows = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(most).select("features", "quality").toPandas()
     x = np.array(rows["features"].tolist(), dtype=np.float32).reshape(-1, len(FEATURES))
     return x, rows["quality"].to_numpy(dtype=np.int64)
