@@ -8,10 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from foliospark.llm import additive, bpe, chat, decontaminate, isolation, minhash, secrets, sharding, suffix_dedup, urls
+from foliospark.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(fn: Query) -> Query:

@@ -15,7 +15,8 @@ smallest bucket.  Equal windows have equal anchors, so:
 2. Of the others the bucket of everything around them that a window can reach
    is counted.  If it occurs twice, all windows there are repeated.
 3. Only anchors whose surroundings are unique although their 100-gram is not
-   (the edges of repeats) have their windows refined one by one.
+   (the edges of repeats) have their windows refined one by one: those windows
+   of which the anchor is the smallest gram, as it is wherever they stand.
 
 Each count is spread over the keys of the positions, never over documents, and
 joins on a frequent bucket are split by Spark at run time.
@@ -96,7 +97,7 @@ class _Anchors:
         reach = ~_sliding_min(~np.concatenate([pad, low, pad]), width)  # per gram, the largest minimum of a window with it
         self.at = np.nonzero(self.grams == reach)[0]
         self.text = np.searchsorted(self.begin, self.at, side="right") - 1
-        self.size = len(low)
+        self.low = low
         # First and last start of the windows that hold the gram.
         self.first = np.maximum(self.at - half, self.begin[self.text])
         self.last = np.minimum(self.at, (self.begin + sizes)[self.text] - length)
@@ -107,16 +108,29 @@ class _Anchors:
         """Full-length buckets at some positions: the last refinement, made only where it is asked for."""
         return paired(self.grams[at], self.grams[at + self.length // 2])
 
-    def covered(self, keys: list[list[int]]) -> np.ndarray:
-        """The window starts that the anchors with one of their text's keys reach."""
+    def marked(self, keys: list[list[int]]) -> np.ndarray:
+        """Which anchors have one of their text's keys."""
         own = np.array([k for part in keys for k in part or ()], dtype=np.int64).view(_U)
         text = np.repeat(np.arange(len(keys)), [len(part or ()) for part in keys])
-        here = np.isin(_keyed(self.key, self.text), _keyed(own, text))
-        depth = np.zeros(self.size + 1, dtype=np.int32)
+        return np.isin(_keyed(self.key, self.text), _keyed(own, text))
+
+    def covered(self, here: np.ndarray) -> np.ndarray:
+        """The window starts that some anchors reach."""
+        depth = np.zeros(len(self.low) + 1, dtype=np.int32)
         np.add.at(depth, self.first[here], 1)
         np.add.at(depth, self.last[here] + 1, -1)
         return np.cumsum(depth)[:-1] > 0
 
+    def owned(self, here: np.ndarray) -> np.ndarray:
+        """The starts of the windows whose first smallest gram is one of some anchors; each window has one such."""
+        starts = np.nonzero(self.covered(here))[0]
+        starts = starts[self.low[starts] > 0]
+        owner = np.searchsorted(self.at, starts)
+        todo = np.arange(len(starts))
+        while len(todo := todo[self.grams[self.at[owner[todo]]] != self.low[starts[todo]]]):
+            owner[todo] += 1
+        return starts[here[owner]]
+
 
 def _keyed(key: np.ndarray, text: np.ndarray) -> np.ndarray:
     return paired(key, text.astype(_U))
@@ -171,8 +185,7 @@ def _window_rows(length: int):
         rows = Rows(_WINDOW)
         for keys, whole, edge, shown, texts in _blocks(batches, ["row", "whole", "open", "shown"]):
             found, row = _Anchors(texts, length), np.array(keys, np.int64)
-            sure = found.covered(whole)
-            at = np.nonzero(sure)[0]
+            at = np.nonzero(found.covered(found.marked(whole)))[0]
             if len(at):
                 text = np.searchsorted(found.begin, at, side="right") - 1
                 cut = np.nonzero((np.diff(at) > length) | (np.diff(text) > 0))[0]
@@ -181,7 +194,8 @@ def _window_rows(length: int):
                 # The bucket of a span is its own, so that it counts with nothing else.
                 own = _signed(_keyed(row[text].view(_U), begin - found.begin[text]))
                 rows.add(row[text], own, begin - found.begin[text] << 32 | span)
-            at = np.nonzero((found.covered(edge) & ~sure) | found.covered(shown))[0]
+            # What repeats here because of other surroundings counts all the same: elsewhere it may have none that repeat.
+            at = found.owned(found.marked(edge) | found.marked(shown))
             text = np.searchsorted(found.begin, at, side="right") - 1
             rows.add(row[text], _signed(found.windows(at)), at - found.begin[text] << 32)
             if rows.full():

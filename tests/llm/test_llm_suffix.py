@@ -3,6 +3,9 @@
 import hashlib
 import random
 
+import duckdb
+
+from foliospark.llm.oracle import ORACLE
 from foliospark.llm.suffix_dedup import remove_repeats
 
 SCHEMA = "doc_id long, text string, row string, bytes string, starts int"
@@ -62,3 +65,11 @@ def test_nulls_repeats_and_bounds(spark):
 
 def test_empty(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_table_against_sql(spark):
+    """In these texts some repeats are covered by another repeat in one place only."""
+    path = "/root/testdata/sf0.01/documents.parquet"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{path}'")
+    assert order(map(tuple, remove_repeats(spark.read.parquet(path)).collect())) == order(con.sql(ORACLE["op2_suffix_dedup"]).fetchall())
