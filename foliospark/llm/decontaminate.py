@@ -1,6 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact confirmation.
 
-A document's windows have as many words as an item.  Only windows in which a
+A document's windows have as many words as an item; a document with fewer words
+is one window.  Only windows in which a
 shingle of an item stands at its place in the item are looked at: any other
 window shares no aligned shingle with an item of that size.  Each gets a 64-bit
 SimHash of its shingles.  Fingerprints are cut into 8 blocks; two within a
@@ -88,7 +89,9 @@ def leaks(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
     ) if sizes else F.array().cast("array<struct<k:int,grams:array<bigint>>>")).alias("g"))
     placed = marked.select("row", "size", F.col("g.k").alias("k"), F.posexplode("g.grams").alias("pos", "gram")).join(grams, ["k", "gram"])
     start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n_words")))
-    windows = placed.where("size >= n_words").select("row", "n_words", start.alias("start")).distinct()
+    # A document shorter than the item is one window; with too few words it can't reach the limit.
+    enough = (F.col("size") >= F.col("n_words")) | ((F.col("size") - F.col("k") + 1) * 100 >= (F.col("n_words") - F.col("k") + 1) * percent)
+    windows = placed.where(enough).select("row", "n_words", start.alias("start")).distinct()
     by_row = stored(windows.groupBy("row").agg(F.collect_list(F.struct("n_words", "start")).alias("windows")), "windows")
     cut = by_row.join(texts, "row").dropDuplicates(["row"]).select("row", "windows", _words(F.col("text")).alias("words")).select(
         "row", F.explode(F.transform("windows", lambda w: F.struct(

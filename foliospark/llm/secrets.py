@@ -18,8 +18,9 @@ ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 #: 24 or more characters with a digit, a small and a capital letter among them, standing alone.
-RANDOM = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]{0,256}[0-9])(?=[A-Z0-9+/_=-]{0,256}[a-z])(?=[a-z0-9+/_=-]{0,256}[A-Z])"
-          r"[A-Za-z0-9+/_=-]{24,}(?![A-Za-z0-9+/_=-])")
+# It can start at the first of a run's characters only, so each run is looked through once.
+RANDOM = (r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[A-Z0-9+/_=-]*+[a-z])(?=[a-z0-9+/_=-]*+[A-Z])"
+          r"[A-Za-z0-9+/_=-]{24,}+")
 KINDS = ("assign", "access", "hex", "random")
 #: A string with at least this many owners, or this many repositories, is a copied example.
 OWNERS, REPOSITORIES = 3, 5

@@ -55,6 +55,13 @@ def test_ownership(spark):
     assert clean[2].text == rows[2][1] and secrets.redacted(df).columns == df.columns
 
 
+def test_random_strings_of_any_length(spark):
+    tail = {0: "Ab3dEf6hIj9lMn2pQr5tUv8x", 1: "q" * 5_000 + "A1", 2: "A" * 300 + "k" * 300 + "7" * 300, 3: "q" * 5_000 + "1", 4: "Ab1" * 7}
+    rows = [(k, f"see {t}, é", f"o{k}", "en", "r", 1, 2) for k, t in tail.items()]
+    got = {r.doc_id: r.spans for r in secrets.scanned(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {k: f"random:4:{4 + len(t)}" if k < 3 else "" for k, t in tail.items()}
+
+
 def sh(words):
     words = [w.lower() for w in words]
     k = min(5, len(words))
@@ -81,6 +88,8 @@ def test_windows(spark):
             text[at:at] = copy
         docs.append((k, "\n".join(text)))
     docs += [(70, "zzz ONE\ttwo zzz"), (71, None), (72, ""), (73, "x null item of six words here y"), (None, items[3][1]), (1, docs[1][1])]
+    short = words_of(items[3][1])
+    docs += [(75, " ".join(short[1:])), (76, " ".join(short[:-2])), (77, " ".join(short[:6])), (78, "one")]
     docs.append((74, " ".join(word() for _ in range(20_000)) + " " + items[5][1]))
     df = spark.createDataFrame([(*d, "s", "en", "r", 1, 2) for d in docs], DOCS)
     bench = spark.createDataFrame([(*i, 1, "g") for i in items], "item_id long, text string, n_words int, gram string")
@@ -92,10 +101,10 @@ def test_windows(spark):
     for d, t in docs:
         w, hit = words_of(t), set()
         for n, own in sets.items():
-            for at in range(len(w) - n + 1):
+            for at in range(max(len(w) - n, 0) + 1):
                 a = sh(w[at:at + n])
                 for i, b in own:
-                    if i not in hit and 100 * (a & b).total() >= 75 * (a | b).total():
+                    if i not in hit and a and 100 * (a & b).total() >= 75 * (a | b).total():
                         hit.add(i)
         ids = ",".join(map(str, sorted(x for x in hit if x is not None)))
         want.append((d, len(hit), ids, bool(hit)))
