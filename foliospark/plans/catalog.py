@@ -854,10 +854,7 @@ def k_sweep(spark, sf):
 
 @query
 def cluster_metrics(spark, sf):
-    docs = _texts(spark, sf)
-    vectors = tfidf.fit_vectors(docs, "text", stop_words=STOP_WORDS)
-    points = vectors.transform(docs).select("doc_id", "features")
-    points = corpus.store_staged(spark, vectors=points)["vectors"]
+    vectors, points = _term_points(spark, sf)
     points = kmeans.fixed_layout(points, "doc_id").persist()
     sweep = kmeans.sweep_k(points, "doc_id", k_min=2, k_max=5, n_init=1)
     choice = cluster.select_k(sweep)
@@ -871,15 +868,20 @@ def cluster_metrics(spark, sf):
     )
 
 
-@query
-def svd_project(spark, sf):
+def _term_points(spark: SparkSession, sf: str) -> tuple[tfidf.TfidfVectors, DataFrame]:
+    """The vectorizer and the stored TF-IDF rows ``doc_id, features``."""
     docs = _texts(spark, sf)
     vectors = tfidf.fit_vectors(docs, "text", stop_words=STOP_WORDS)
     points = vectors.transform(docs).select("doc_id", "features")
-    points = corpus.store_staged(spark, vectors=points)["vectors"]
+    return vectors, corpus.store_staged(spark, vectors=points)["vectors"]
+
+
+@query
+def svd_project(spark, sf):
+    vectors, points = _term_points(spark, sf)
     return kmeans.project_terms(points, _weights(spark, sf), vectors.terms, "doc_id")
 
 
 @query
 def svd_explained(spark, sf):
-    return kmeans.explained_variance(_points(spark, sf), components=10)
+    return kmeans.explained_variance(_term_points(spark, sf)[1])
