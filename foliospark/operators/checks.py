@@ -19,8 +19,6 @@ from foliospark.contract import Contract
 from foliospark.functions.dates import iso_date
 
 BAD, INFO = "bad", "info"
-# Longest value listing inside a message; the text says how many it leaves out.
-MAX_LISTED = 100
 RESULT_COLUMNS = ["check_name", "severity", "status", "message", "violations", "samples"]
 
 
@@ -192,8 +190,13 @@ def tally(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return rows.groupBy("f.rule", "f.kind", "f.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def run_rules(df: DataFrame, rules: list[Rule], sample_n: int = K.SAMPLE_N) -> DataFrame:
-    """One result row per rule, violations counted over all rows."""
+def run_rules(df: DataFrame, rules: list[Rule], sample_n: int = K.SAMPLE_N,
+              max_listed: int | None = None) -> DataFrame:
+    """One result row per rule, violations counted over all rows.
+
+    A distribution lists all its values; ``max_listed`` shortens the message to
+    the most frequent ones and says how many it leaves out.
+    """
     counted = tally(df, rules)
     repeated = [at for at, r in enumerate(rules) if r.repeated]
     if repeated:
@@ -216,12 +219,17 @@ def run_rules(df: DataFrame, rules: list[Rule], sample_n: int = K.SAMPLE_N) -> D
     # cheap however many values violate a rule.  The filter looks at the count
     # as well, which keeps it above the counting: totals and samples then share
     # one scan and one exchange.
-    shown = F.when(F.col("n") > 0, bad | F.col("rule").isin(_listed(rules)))
+    listed = info & F.col("rule").isin(_listed(rules))
+    whole = max_listed is None and bool(_listed(rules))
+    top = (
+        counted.where(F.when(F.col("n") > 0, bad if whole else bad | listed))
+        .withColumn("at", F.row_number().over(order).cast("long"))
+        .where(F.col("at") <= max(sample_n, max_listed or 0))
+    )
+    if whole:  # All values, most frequent first: their counts are their order.
+        top = top.unionByName(counted.where(F.when(F.col("n") > 0, listed)).withColumn("at", -F.col("n")))
     top = (
-        counted.where(shown)
-        .withColumn("at", F.row_number().over(order))
-        .where(F.col("at") <= max(sample_n, MAX_LISTED))
-        .groupBy("rule")
+        top.groupBy("rule")
         .agg(F.array_sort(F.collect_list(F.struct("kind", "at", "value", "n"))).alias("top"))
     )
     spark = df.sparkSession
@@ -230,16 +238,16 @@ def run_rules(df: DataFrame, rules: list[Rule], sample_n: int = K.SAMPLE_N) -> D
         "rule int, check_name string, severity string",
     )
     joined = F.broadcast(names).join(totals, "rule", "left").join(top, "rule", "left")
-    return _verdicts(joined, rules, sample_n)
+    return _verdicts(joined, rules, sample_n, max_listed)
 
 
 def _listed(rules: list[Rule]) -> list[int]:
     return [at for at, r in enumerate(rules) if isinstance(r.ok, str) and not r.bad]
 
 
-def _verdicts(joined: DataFrame, rules: list[Rule], sample_n: int) -> DataFrame:
+def _verdicts(joined: DataFrame, rules: list[Rule], sample_n: int, max_listed: int | None) -> DataFrame:
     n = F.coalesce("violations", F.lit(0))
-    top = F.coalesce("top", F.array().cast("array<struct<kind:string,at:int,value:string,n:bigint>>"))
+    top = F.coalesce("top", F.array().cast("array<struct<kind:string,at:bigint,value:string,n:bigint>>"))
     bad = F.filter(top, lambda e: (e.kind == BAD) & (e["at"] <= sample_n))
     samples = F.transform(bad, lambda e: F.substring_index(e.value, "\u0000", -1))
     message, status = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -251,12 +259,14 @@ def _verdicts(joined: DataFrame, rules: list[Rule], sample_n: int) -> DataFrame:
             ).otherwise(F.concat(e.value, F.lit(": "), e.n.cast("string"), F.lit(" null(s)"))))
             samples = F.when(mine, shown).otherwise(samples)
         if not rule.bad:
+            listed = F.filter(top, lambda e: e.kind == INFO)
+            if max_listed is not None:
+                listed = F.slice(listed, 1, max_listed)
             pairs = F.transform(
-                F.filter(top, lambda e: e.kind == INFO),
-                lambda e: F.concat(F.lit("'"), e.value, F.lit("': "), e.n.cast("string")),
+                listed, lambda e: F.concat(F.lit("'"), e.value, F.lit("': "), e.n.cast("string")),
             )
             values = F.coalesce("info_values", F.lit(0))
-            more = F.when(values > MAX_LISTED, _cat(", and ", values - MAX_LISTED, " more")).otherwise("")
+            more = F.when(values > F.size(pairs), _cat(", and ", values - F.size(pairs), " more")).otherwise("")
             text = F.concat(F.lit("source distribution: {"), F.array_join(pairs, ", "), more, F.lit("}"))
             state = F.when(values > 1, "warn").otherwise("pass")
         else:

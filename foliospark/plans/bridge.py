@@ -20,13 +20,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Rows of a table stored in fewer files than there are cores, dealt out.
+    """Rows of a table of less than one scan split, dealt out over the cores.
 
-    A file with one row group is read by one task; the text work behind it
-    should not stay there.  Large tables have many files and pass unchanged.
+    Such a file is one row group, read by one task; the text work behind it
+    should not stay there.  A larger table is split by its scan and passes
+    unchanged, in however few files it lies.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    spark = df.sparkSession
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(
+        spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) >= split:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def acts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -243,3 +243,11 @@ def test_column_profile(spark):
     assert (got["n"].non_null, got["n"].distinct_values, got["n"].sample) == (0, 0, "")
     issues = {r.name: r.note for r in profile.null_issues(profile.column_profile(df, ["id"])).collect()}
     assert issues["s"] == "`s` is 33.33% null (1/3)." and set(issues) == {"s", "n"}
+
+
+def test_listing_is_whole_unless_shortened(spark):
+    df = spark.range(300).selectExpr("cast(id % 150 as string) as source")
+    whole = checks.run_rules(df, [checks.source_rule()]).first().message
+    assert whole.count("': 2") == 150 and "more" not in whole
+    short = checks.run_rules(df, [checks.source_rule()], max_listed=3).first().message
+    assert short == "source distribution: {'0': 2, '1': 2, '10': 2, and 147 more}"
