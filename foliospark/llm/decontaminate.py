@@ -1,10 +1,12 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming blocks, exact confirmation.
 
 A document's windows have as many words as an item; a document with fewer words
-is one window.  Only windows in which a
-shingle of an item stands at its place in the item are looked at: any other
-window shares no aligned shingle with an item of that size.  Each gets a 64-bit
-SimHash of its shingles.  Fingerprints are cut into 8 blocks; two within a
+is one window.  Shingles are compared as bags, so their order in a window tells
+nothing.  A shingle of a document that items of a size hold counts for the
+windows of that size around it, repeats as often as one of those items has them
+at most; the counts of all starts are summed in one sweep.  Windows that hold
+fewer such shingles than the limit asks for can't reach it; all others get a
+64-bit SimHash of their shingles.  Fingerprints are cut into 8 blocks; two within a
 Hamming distance of 23 differ by at most 2 bits in some block (8 * 3 > 23), so
 joining on blocks with up to 2 bits flipped finds all of them.  What is found
 is confirmed by the weighted Jaccard similarity of the shingles themselves,
@@ -13,7 +15,7 @@ weights being the numbers of occurrences.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from foliospark.llm.common import WORD_GAP, row_key, stored
 
@@ -68,6 +70,32 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _starts(marks: DataFrame, percent: int) -> DataFrame:
+    """``row, n_words, start`` of the windows that may reach the limit.
+
+    ``marks (row, size, n_words, k, times, gram, pos)`` are the places of items'
+    shingles in documents of ``size`` words; an item of ``n_words`` has one at
+    most ``times`` times.  A place counts for the windows that hold it and fewer
+    than ``times`` of its repeats before it.
+    """
+    inside = F.least("size", "n_words") - F.col("k") + 1  # shingles of a window
+    last = F.greatest(F.lit(0), F.col("size") - F.col("n_words"))
+    places = marks.groupBy("row", "size", "n_words", "k", "times", "gram").agg(F.sort_array(F.collect_set("pos")).alias("places"))
+    spans = places.withColumn("span", F.explode(F.transform("places", lambda p, i: F.struct(
+        F.greatest(F.lit(0), p - inside + 1, F.coalesce(F.get(F.col("places"), i - F.col("times")), F.lit(-1)) + 1).alias("first"),
+        F.least(p, last).alias("last"))))).where("span.first <= span.last")
+    # The count changes by one where a span begins and behind its end.
+    steps = spans.select("row", "size", "n_words", "k", F.explode(F.array(
+        F.struct(F.col("span.first").alias("start"), F.lit(1).alias("by")),
+        F.struct((F.col("span.last") + 1).alias("start"), F.lit(-1).alias("by")))).alias("s"))
+    by_start = steps.groupBy("row", "size", "n_words", "k", "s.start").agg(F.sum("s.by").alias("by"))
+    order = Window.partitionBy("row", "n_words").orderBy("start")
+    runs = by_start.select("*", F.sum("by").over(order).alias("held"), F.lead("start").over(order).alias("next"))
+    enough = F.col("held") * (100 + percent) >= (inside + F.col("n_words") - F.col("k") + 1) * percent
+    return runs.where(enough & (F.col("held") > 0)).select(
+        "row", "n_words", F.explode(F.sequence("start", F.col("next") - 1)).alias("start"))
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``row, item_id, start, n_words, common, joint``: windows of documents that are copies of items.
 
@@ -79,19 +107,16 @@ def leaks(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
         .withColumn("fingerprint", _fingerprint(F.col("shingles"))), "items",
     )
     sizes = sorted(r.k for r in items.select(F.least("n_words", F.lit(WORDS)).alias("k")).distinct().collect())
-    grams = _small(stored(items.select(
-        "n_words", F.least("n_words", F.lit(WORDS)).alias("k"), F.posexplode("shingles").alias("at", "gram")).distinct(), "grams"))
+    owned = items.select("item", "n_words", F.least("n_words", F.lit(WORDS)).alias("k"), F.explode("shingles").alias("gram")).groupBy(
+        "item", "n_words", "k", "gram").agg(F.count(F.lit(1)).cast("int").alias("times"))
+    grams = _small(stored(owned.groupBy("n_words", "k", "gram").agg(F.max("times").alias("times")), "grams"))
     texts = documents.select(row_key("doc_id", "text").alias("row"), "text")
     split = texts.select("row", _words(F.col("text")).alias("words"))
-    # Where an item's shingle stands in a document, the item-sized window around it starts.
     marked = split.select("row", F.size("words").alias("size"), F.explode(F.array(*(
         F.struct(F.lit(k).alias("k"), _shingles(F.col("words"), k).alias("grams")) for k in sizes)
     ) if sizes else F.array().cast("array<struct<k:int,grams:array<bigint>>>")).alias("g"))
     placed = marked.select("row", "size", F.col("g.k").alias("k"), F.posexplode("g.grams").alias("pos", "gram")).join(grams, ["k", "gram"])
-    start = F.greatest(F.lit(0), F.least(F.col("pos") - F.col("at"), F.col("size") - F.col("n_words")))
-    # A document shorter than the item is one window; with too few words it can't reach the limit.
-    enough = (F.col("size") >= F.col("n_words")) | ((F.col("size") - F.col("k") + 1) * 100 >= (F.col("n_words") - F.col("k") + 1) * percent)
-    windows = placed.where(enough).select("row", "n_words", start.alias("start")).distinct()
+    windows = _starts(placed, percent)
     by_row = stored(windows.groupBy("row").agg(F.collect_list(F.struct("n_words", "start")).alias("windows")), "windows")
     cut = by_row.join(texts, "row").dropDuplicates(["row"]).select("row", "windows", _words(F.col("text")).alias("words")).select(
         "row", F.explode(F.transform("windows", lambda w: F.struct(

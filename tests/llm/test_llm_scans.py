@@ -113,3 +113,24 @@ def test_windows(spark):
     assert decontaminate.clean(df, bench).count() == sum(not w[3] for w in want)
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0
     assert decontaminate.contaminated(df, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_reordered_items(spark):
+    rng = random.Random(6)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randrange(10_000))
+    item, refrain, sixty = [word() for _ in range(60)], ["la", "da"] * 8 + [word() for _ in range(14)], [word() for _ in range(60)]
+    items = [(0, item), (1, refrain), (2, sixty), (3, sixty[:30] + [word() for _ in range(30)])]
+    docs = [item[cut:] + item[:cut] for cut in (10, 12, 20, 30, 45)]
+    docs += [item[40:] + item[20:40] + item[:20], refrain[16:] + refrain[:16], ["la", "da"] * 400, sixty[30:] + sixty[:30], item[::-1], item[30:] + item[:25]]
+    docs = [(k, [word() for _ in range(rng.randrange(30, 90))] + d + [word() for _ in range(rng.randrange(30, 90))]) for k, d in enumerate(docs)]
+    docs += [(50, item[20:] + item[:20]), (51, item[20:] + item[:17]), (52, item[50:] + item[:50] + item[50:] + item[:50])]
+    want = {}
+    for d, w in docs:
+        found = [i for i, t in items for at in range(max(len(w) - len(t), 0) + 1)
+                 for a, b in [(sh(w[at:at + len(t)]), sh(t))] if 100 * (a & b).total() >= 75 * (a | b).total()]
+        want[d] = ",".join(map(str, sorted(set(found))))
+    df = spark.createDataFrame([(d, " ".join(w), "s", "en", "r", 1, 2) for d, w in docs], DOCS)
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    assert {r.doc_id: r.item_ids for r in decontaminate.contaminated(df, bench).collect()} == want
+    assert [want[k] for k in range(5)] == ["0"] * 5 and want[7] == ""
+    assert {r.doc_id for r in decontaminate.clean(df, bench).collect()} == {d for d, ids in want.items() if not ids}
