@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foliospark.llm.common import binary_values, mixed
+from foliospark.llm.common import binary_values, mixed, row_key
 from foliospark.llm.minhash import word_hashes
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -16,8 +16,8 @@ FEATURES = (
     "log_words", "word_length", "symbols", "duplicate_lines", "repeated_words", "capitals", "digits", "marks", "bars",
     "distinct_words", "top_word", "stops", "lines", "ended_lines", "beyond_ascii", "doubled_words", "punctuation",
 )
-SCHEMA_DDL = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", features array<float>"
-_SCHEMA = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("features", pa.list_(pa.float32()))])
+SCHEMA_DDL = "doc_id long, row long, " + ", ".join(f"{c} long" for c in COUNTS) + ", features array<float>"
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), *((c, pa.int64()) for c in COUNTS), ("features", pa.list_(pa.float32()))])
 _U = np.uint64
 
 
@@ -76,13 +76,13 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             features.append(f)
         parts = list(zip(*counts)) or [[] for _ in COUNTS]
         yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"), *(pa.array(p, pa.int64()) for p in parts), pa.array(features, pa.list_(pa.float32())),
+            batch.column("doc_id"), batch.column("row"), *(pa.array(p, pa.int64()) for p in parts), pa.array(features, pa.list_(pa.float32())),
         ], schema=_SCHEMA)
 
 
 def described(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``COUNTS`` and ``features`` per row of ``documents (doc_id, text)``."""
-    return documents.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes")).mapInArrow(_rows, SCHEMA_DDL)
+    """``doc_id``, ``row`` (``row_key("doc_id", "text")``), ``COUNTS`` and ``features`` per row of ``documents (doc_id, text)``."""
+    return documents.select("doc_id", row_key("doc_id", "text").alias("row"), F.coalesce("text", F.lit("")).cast("binary").alias("bytes")).mapInArrow(_rows, SCHEMA_DDL)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

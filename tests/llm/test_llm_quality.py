@@ -132,3 +132,19 @@ def test_pipeline(spark, sf_dir):
         before = ids
     rows = corpus_pipeline.run(spark, sf_dir).collect()
     assert {r.doc_id for r in rows} == before and len(rows) == len(before)
+
+
+def test_accepted_rows_of_null_and_repeated_ids(spark):
+    good = [" ".join(f"word{(k * 7 + j * j) % 211} runs" for j in range(40)) + "." for k in range(60)]
+    bad = ["$ # | " * (20 + k) for k in range(60)]
+    rows = list(enumerate(good)) + [(100 + k, t) for k, t in enumerate(bad)]
+    labels = spark.createDataFrame([(i, int(i < 100), 1) for i, _ in rows if i % 100], "doc_id long, quality int, toxic int")
+    rows += [(None, good[0] + " more"), (None, bad[0] + "#"), (None, good[1] + " more"), (None, None), (0, bad[1] + "#"), (100, good[2] + " more"), (100, good[2] + " more")]
+    df = docs_of(spark, rows)
+    own = spark.createDataFrame([(i if i and i % 100 else 1000 + k, t, "f", 1, "h") for k, (i, t) in enumerate(rows)], DOCS)
+    said = {r.doc_id: r.predicted for r in additive.scored(own, labels).collect()}
+    kept = [(i, t) for k, (i, t) in enumerate(rows) if said[i if i and i % 100 else 1000 + k]]
+    assert (None, good[0] + " more") in kept and (None, bad[0] + "#") not in kept and len(kept) == 64
+    got = additive.accepted(df, labels)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(kept, key=str)
