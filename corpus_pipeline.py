@@ -10,7 +10,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliospark.llm import additive, bpe, decontaminate, minhash, secrets
-from foliospark.llm.common import stored
+from foliospark.llm.common import row_key, stored
+
+#: A byte that belongs to a word.
+NO_GAP = r"[^\x20\x09-\x0D]"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,10 +22,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest id."""
-    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    rows = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    return rows.dropDuplicates(["doc_id"])  # a repeated id is one document
+    """One document of each group of near-duplicates stays: the one with the smallest id, one without an id only if none has one.
+
+    Rows are told apart by id and text, so texts that share an id or have none
+    are judged each on its own.  Equal rows are one document; a null or wordless
+    text is linked with nothing and stays.
+    """
+    at = "dedup_at" + "_" * max((len(c) for c in docs.columns), default=0)  # a name no column has
+    keyed = docs.withColumn(at, row_key("doc_id", "text"))
+    worded = keyed.where(F.coalesce("text", F.lit("")).rlike(NO_GAP))
+    # Under the key as its id, a row shares links with equal rows only.
+    groups = minhash.near_duplicates(worded.select(F.col(at).alias("doc_id"), "text")).select(F.col("doc_id").alias(at), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", at)).alias("first")
+    kept = worded.select("doc_id", at).distinct().join(groups.distinct(), at).groupBy("component_id").agg(first)
+    kept = stored(kept.select(F.col(f"first.{at}").alias(at)), "kept")
+    one_each = worded.join(kept, at, "left_semi").dropDuplicates([at])
+    wordless = keyed.where(~F.coalesce("text", F.lit("")).rlike(NO_GAP))
+    return wordless.unionByName(one_each).drop(at)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -148,3 +148,28 @@ def test_accepted_rows_of_null_and_repeated_ids(spark):
     got = additive.accepted(df, labels)
     assert got.columns == df.columns
     assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(kept, key=str)
+
+
+def test_near_dedup_of_null_and_repeated_ids(spark):
+    word = lambda a, k: f"w{a * 1000 + k}"
+    text = lambda a, n=60, end="": " ".join([word(a, k) for k in range(n)]) + end
+    rows = [(None, text(k)) for k in range(6)] + [(7, text(k)) for k in range(10, 14)]  # linked with nothing
+    rows += [(20, text(20)), (None, text(20, 60, " end")), (7, text(20, 60, " fin"))]  # the repeated id is the smallest
+    rows += [(None, text(30)), (None, text(30, 60, " end")), (31, text(31)), (32, text(31)), (31, text(31)), (31, text(32)), (None, text(33)), (None, text(33))]
+    rows += [(None, None), (None, ""), (7, " \n"), (41, None), (42, "one two"), (43, "ONE  two")]
+    sets = [{tuple(w[k:k + min(5, len(w))]) for k in range(len(w) - min(5, len(w)) + 1) if w} for w in (WORD.findall((t or "").lower()) for _, t in rows)]
+    near = lambda a, b: a and b and 100 * len(a & b) >= 75 * len(a | b)
+    group = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if near(sets[a], sets[b]):
+                group = [group[b] if g == group[a] else g for g in group]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs_of(spark, rows), "").collect()]
+    of = {row: g for row, g in zip(rows, group) if sets[rows.index(row)]}
+    wordless = [row for row, s in zip(rows, sets) if not s]
+    assert sorted((r for r in got if r not in of), key=str) == sorted(wordless, key=str)
+    assert sorted(of[r] for r in got if r in of) == sorted(set(of.values()))
+    for row in got:
+        if row in of:
+            ids = [i for (i, _), g in zip(rows, group) if g == of[row] and i is not None]
+            assert row[0] == min(ids, default=None)
