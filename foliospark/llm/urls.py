@@ -1,6 +1,6 @@
 """URL filters: rules by host and path, then naive Bayes on words split out of host names.
 
-Host names run words together.  The unigram counts of the pages' own titles
+Host names run words together.  The unigram counts of the pages' visible texts
 price every split, and Viterbi finds the cheapest.  The words of host and path
 are scored by multinomial naive Bayes; it learns from the pages a rule decides.
 Counts, substrings and scores are joined and summed in Spark; nothing that grows
@@ -21,8 +21,8 @@ from foliospark.llm.common import row_key, stored
 RULES = (
     ("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"),
 )
-#: Longest word that is looked up or split off.
-WORD = 24
+#: What is not seen of a page: comments, scripts and styles, other tags, entities.
+HIDDEN = (r"(?s)<!--.*?(?:-->|\z)", r"(?is)<(script|style)\b.*?(?:</\1[^>]*>|\z)", r"<[/!?A-Za-z][^>]*(?:>|\z)", r"&#?[A-Za-z0-9]+;")
 
 
 def _lower(text: Column) -> Column:
@@ -46,22 +46,36 @@ def ruled(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
+def visible(html: Column) -> Column:
+    """The text of a page, its title included; what is left out parts words."""
+    text = F.coalesce(html, F.lit(""))
+    for pattern in HIDDEN:
+        text = F.regexp_replace(text, pattern, " ")
+    return text
+
+
 def unigrams(pages: DataFrame) -> DataFrame:
-    """``word, n``: how often words of ASCII letters stand in the titles of ``pages (html)``."""
-    title = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?is)<title[^>]*>(.*?)</title", 1)
-    words = F.regexp_extract_all(_lower(title), F.lit(r"[a-z]+"), F.lit(0))
-    return pages.select(F.explode(words).alias("word")).where(F.length("word") <= WORD).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    """``word, n``: how often words of ASCII letters stand in the visible texts of ``pages (html)``."""
+    words = F.regexp_extract_all(_lower(visible(F.col("html"))), F.lit(r"[a-z]+"), F.lit(0))
+    return pages.select(F.explode(words).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def viterbi(label: str, known: dict[tuple[int, int], int], total: int) -> list[str]:
     """The most likely split; ``known`` counts words by start and end, an unknown word is the rarer the longer it is."""
     best, back = [0.0] + [-math.inf] * len(label), [0] * (len(label) + 1)
+    unknown, letter = math.log(10 / max(total, 1)), math.log(10)
+    ending: dict[int, list[int]] = {}
+    for start, end in sorted(known):
+        ending.setdefault(end, []).append(start)
+    far = 0  # where the best unknown word begins; letters cost the same anywhere
     for end in range(1, len(label) + 1):
-        for start in range(max(0, end - WORD), end):
-            n = known.get((start, end))
-            price = math.log(n / total) if n else math.log(10 / max(total, 1)) - (end - start) * math.log(10)
-            if best[start] + price > best[end]:
-                best[end], back[end] = best[start] + price, start
+        if best[end - 1] + (end - 1) * letter > best[far] + far * letter:
+            far = end - 1
+        best[end], back[end] = best[far] + unknown - (end - far) * letter, far
+        for start in ending.get(end, ()):
+            price = best[start] + math.log(known[start, end] / total)
+            if price > best[end]:
+                best[end], back[end] = price, start
     words, end = [], len(label)
     while end:
         words.append(label[back[end]:end])
@@ -72,11 +86,13 @@ def viterbi(label: str, known: dict[tuple[int, int], int], total: int) -> list[s
 def segmented(labels: DataFrame, counts: DataFrame) -> DataFrame:
     """``label, words`` for distinct ``labels (label)`` of ASCII letters."""
     total = counts.agg(F.sum("n").alias("n")).first().n or 0
-    starts = F.sequence(F.lit(0), F.length("label") - 1)
-    parts = F.flatten(F.transform(starts, lambda s: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(WORD), F.length("label") - s)),
-        lambda n: F.struct(s.alias("start"), (s + n).alias("end"), F.substring(F.col("label"), s + 1, n).alias("word")))))
-    cut = labels.where(F.length("label") > 0).select("label", F.explode(parts).alias("p")).select("label", "p.*")
+    longest = labels.agg(F.max(F.length("label")).alias("n")).first().n or 0
+    # Only substrings as long as some word are looked up.
+    sizes = sorted(r.n for r in counts.select(F.length("word").alias("n")).where(F.col("n") <= longest).distinct().collect())
+    starts = labels.where(F.length("label") > 0).select("label", F.explode(F.sequence(F.lit(0), F.length("label") - 1)).alias("start"))
+    cut = starts.select("label", "start", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>")).alias("size")).where(
+        F.col("start") + F.col("size") <= F.length("label")).select(
+        "label", "start", (F.col("start") + F.col("size")).alias("end"), F.expr("substring(label, start + 1, size)").alias("word"))
     found = cut.join(counts, "word").groupBy("label").agg(F.collect_list(F.struct("start", "end", "n")).alias("found"))
     schema = pa.schema([("label", pa.string()), ("words", pa.list_(pa.string()))])
 

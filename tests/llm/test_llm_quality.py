@@ -173,3 +173,24 @@ def test_near_dedup_of_null_and_repeated_ids(spark):
         if row in of:
             ids = [i for (i, _), g in zip(rows, group) if g == of[row] and i is not None]
             assert row[0] == min(ids, default=None)
+
+
+def test_words_of_whole_pages(spark):
+    long = "abcdefghij" * 3
+    html = ["<title>news</title><style>p {color: red}</style><body class='hidden'>Free&nbsp;win <!-- no --><p>win 1 < 2 net</p><script>var x = '<p>';</script >",
+            None, "", f"<p>free theran {long}</p><SCRIPT src=a>bad", "plain free"]
+    pages = spark.createDataFrame([(h,) for h in html], "html string")
+    got = {r.word: r.n for r in urls.unigrams(pages).collect()}
+    assert got == {"news": 1, "free": 3, "win": 2, "net": 1, "theran": 1, long: 1, "plain": 1}
+    counts = spark.createDataFrame([("free", 70), ("win", 80), ("net", 9), (long, 5), ("the", 500), ("a", 300)], "word string, n long")
+    labels = spark.createDataFrame([("freewin",), (f"win{long}net",), ("q" * 40,), ("z",)], "label string")
+    split = {r.label: r.words for r in urls.segmented(labels, counts).collect()}
+    assert split == {"freewin": ["free", "win"], f"win{long}net": ["win", long, "net"], "q" * 40: ["q" * 40], "z": ["z"]}
+
+
+def test_host_words_in_no_title(spark):
+    rows = [(k, f"http://freewin{k % 3}.com/p", "<title>x</title><body>free net win free win " + "other words here " * 9) for k in range(6)]
+    df = spark.createDataFrame([(*r,) for r in rows], "page_id long, url string, html string")
+    labels = spark.createDataFrame([("freewin",), ("winnet",)], "label string")
+    assert {r.label: r.words for r in urls.segmented(labels, urls.unigrams(df)).collect()} == {"freewin": ["free", "win"], "winnet": ["win", "net"]}
+    assert urls.judged(df).count() == 6
