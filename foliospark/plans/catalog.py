@@ -856,14 +856,14 @@ def k_sweep(spark, sf):
 def cluster_metrics(spark, sf):
     vectors, points = _term_points(spark, sf)
     points = kmeans.fixed_layout(points, "doc_id").persist()
-    sweep = kmeans.sweep_k(points, "doc_id", k_min=2, k_max=5, n_init=1)
+    sweep = kmeans.sweep_k(points, "doc_id")
     choice = cluster.select_k(sweep)
     k = choice.first()["k_final"]
-    model = kmeans.fit_best(points, k, n_init=1)
+    model = kmeans.fit_best(points, k)
     score = kmeans.sample_silhouette(points, "doc_id", model)
     return kmeans.run_metrics(
         sweep, choice, model.summary.trainingCost, score, len(vectors.terms), points.count(),
-        {"k_min": 2, "k_max": 5, "n_init": 1, "seed": K.SEED, "min_df": K.MIN_DF, "max_df": K.MAX_DF,
+        {"k_min": K.K_MIN, "k_max": K.K_MAX, "n_init": K.N_INIT, "seed": K.SEED, "min_df": K.MIN_DF, "max_df": K.MAX_DF,
          "max_features": K.MAX_FEATURES},
     )
 

@@ -1,11 +1,15 @@
 """Catalog queries against their SQL twins and their plans."""
 
+import inspect
+import json
 import re
+from types import SimpleNamespace
 
 import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from foliospark.plans import catalog
 from scripts.oracle_check import connect, normal
 
 # One query per family; scripts/oracle_check.py compares all of them.
@@ -51,3 +55,29 @@ def test_pushdown(spark, sf_dir):
 def test_entry(spark, sf_dir):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_cluster_metrics_sweeps_all(spark, sf_dir, monkeypatch):
+    """The sweep and the final fit are asked for with the operators' defaults."""
+    asked, kmeans = {}, catalog.kmeans
+
+    def bound(name):
+        signature = inspect.signature(getattr(kmeans, name))
+
+        def record(*args, **more):
+            call = signature.bind(*args, **more)
+            call.apply_defaults()
+            asked[name] = {p: call.arguments.get(p) for p in ("k", "k_min", "k_max", "n_init")}
+            if name == "sweep_k":
+                rows = [(k, 100.0 / k, 1 - abs(k - 9) / 50) for k in range(call.arguments["k_min"], call.arguments["k_max"] + 1)]
+                return spark.createDataFrame(rows, kmeans.SWEEP_SCHEMA)
+            return SimpleNamespace(summary=SimpleNamespace(trainingCost=1.0))
+        return record
+
+    for name in ("sweep_k", "fit_best"):
+        monkeypatch.setattr(kmeans, name, bound(name))
+    monkeypatch.setattr(kmeans, "sample_silhouette", lambda *_: 0.5)
+    row = catalog.cluster_metrics(spark, sf_dir).first()
+    assert asked["sweep_k"] == {"k": None, "k_min": 2, "k_max": 30, "n_init": 10}
+    assert asked["fit_best"]["n_init"] == 10 and asked["fit_best"]["k"] == row.k_final
+    assert len(json.loads(row.sweep)) == 29
