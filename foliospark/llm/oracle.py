@@ -105,3 +105,10 @@ select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_acc
   sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied
 from docs left join told using (r)
 """
+
+ORACLE["op11_exact_dedup"] = r"""
+with texts as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as x from documents)
+select doc_id, min(doc_id) over (partition by x) as keep_id, count(*) over (partition by x) as group_size,
+  row_number() over (partition by x order by doc_id nulls last) = 1 as kept, sha256(x) as text_sha256
+from texts
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import additive, bpe, chat, decontaminate, isolation, minhash, secrets, sharding, suffix_dedup, urls
+from foliospark.llm import additive, bpe, chat, decontaminate, exact_dedup, isolation, minhash, secrets, sharding, suffix_dedup, urls
 from foliospark.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,8 @@ def op4_additive(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return isolation.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
