@@ -112,3 +112,29 @@ select doc_id, min(doc_id) over (partition by x) as keep_id, count(*) over (part
   row_number() over (partition by x order by doc_id nulls last) = 1 as kept, sha256(x) as text_sha256
 from texts
 """
+
+# Pairs of places with equal 16-grams, p words apart, make stretches of period p: a run agrees with itself on 16 words or more.
+ORACLE["op12_periodic_runs"] = r"""
+with split as (select row_number() over () as r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as ws,
+    coalesce(xor(list_reduce(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: cast(ascii(c) as bigint)), lambda crc, c:
+      list_reduce(range(0, 8), lambda x, k: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end, xor(crc, c)), 4294967295), 4294967295), 1) as h
+  from documents),
+chosen as (select *, h // 10 as g, len(ws) as n, h % 10 = 0 and len(ws) > 0 as odd from split),
+planned as (select *, case when odd then g % n end as a from chosen),
+spaced as (select *, case when odd then 1 + (n - a) // (3 + g % 8) end as p from planned),
+docs as (select r, doc_id, n, case when odd then list_transform(range(0, n), lambda i: ws[1 + case when i < a then i else a + (i - a) % p end]) else ws end as ws from spaced),
+words as (select r, unnest(range(0, n)) as i, unnest(ws) as w from docs),
+grams as (select r, i, md5_number(string_agg(w, ' ') over (partition by r order by i rows between current row and 15 following)) as name,
+    count(*) over (partition by r order by i rows between current row and 15 following) as m from words),
+pairs as (select x.r, x.i, y.i - x.i as p from grams x join grams y on x.r = y.r and x.name = y.name and x.i < y.i where x.m = 16 and y.m = 16),
+runs as (select r, p, min(i) as start, count(*) + 15 + p as length
+  from (select *, i - row_number() over (partition by r, p order by i) as island from pairs) group by r, p, island),
+found as (select r, start, length, min(p) as period from runs where length >= greatest(24, 3 * p) group by r, start, length),
+dropped as (select distinct r, unnest(range(start + period, start + length)) as i from found),
+best as (select * from found qualify row_number() over (partition by r order by cast(length as decimal(38, 20)) / period desc, start, period) = 1),
+told as (select r, count(*) as n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' order by start, period) as written from found group by r),
+kept as (select words.r, string_agg(w, ' ' order by i) as text from words anti join dropped using (r, i) group by words.r)
+select doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, cast(start as bigint) as start, cast(length as bigint) as length, cast(period as bigint) as period,
+  cast(1000 * length // period as bigint) as exponent_milli, sha256(coalesce(written, '')) as runs_sha256, sha256(coalesce(kept.text, '')) as collapsed_sha256
+from docs left join told using (r) left join best using (r) left join kept using (r)
+"""
