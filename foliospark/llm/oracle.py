@@ -138,3 +138,21 @@ select doc_id, cast(coalesce(n_runs, 0) as bigint) as n_runs, cast(start as bigi
   cast(1000 * length // period as bigint) as exponent_milli, sha256(coalesce(written, '')) as runs_sha256, sha256(coalesce(kept.text, '')) as collapsed_sha256
 from docs left join told using (r) left join best using (r) left join kept using (r)
 """
+
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+ORACLE["op13_lexical_search"] = f"""
+with docs as (select row_number() over () as r, doc_id, {_TERMS} as ts from documents),
+counts as (select r, t, count(*) as tf from (select r, unnest(ts) as t from docs) group by r, t),
+total as (select count(*) filter (len(ts) > 0) as n_docs, cast(sum(len(ts)) as bigint) as n_terms from docs),
+items as (select row_number() over () as i, item_id, list_distinct({_TERMS}) as ts from benchmark),
+wanted as (select i, unnest(ts) as t from items),
+holders as (select t, count(*) as df from counts group by t),
+weights as (select t, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1))) as bigint) as w from holders, total),
+sizes as (select r, doc_id, 10 + (90 * len(ts) * n_docs) // n_terms as m from docs, total where len(ts) > 0),
+scores as (select i, r, any_value(doc_id) as doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) as bigint) as score
+  from wanted join weights using (t) join counts using (t) join sizes using (r) group by i, r),
+placed as (select i, row_number() over (partition by i order by score desc, doc_id nulls last) as rank, doc_id, score from scores where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, score from placed join items using (i) where rank <= 10
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from foliospark.llm import additive, bpe, chat, decontaminate, exact_dedup, isolation, minhash, periodic, secrets, sharding, suffix_dedup, urls
+from foliospark.llm import additive, bpe, chat, decontaminate, exact_dedup, isolation, lexical, minhash, periodic, secrets, sharding, suffix_dedup, urls
 from foliospark.llm.oracle import ORACLE
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,8 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
