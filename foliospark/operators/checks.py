@@ -9,10 +9,12 @@ occurs in a third of all rows is one pre-aggregated count per task.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window, functions as F
 
 from foliospark import constants as K
 from foliospark.contract import Contract
@@ -20,6 +22,10 @@ from foliospark.functions.dates import iso_date
 
 BAD, INFO = "bad", "info"
 RESULT_COLUMNS = ["check_name", "severity", "status", "message", "violations", "samples"]
+RESULT_SCHEMA = ("check_name string, severity string, status string, message string, violations bigint, "
+                 "samples array<string>")
+#: Values a distribution's message names; ``profile.source_distribution`` has all of them as rows.
+MAX_LISTED = 50
 
 
 @dataclass(frozen=True)
@@ -61,8 +67,10 @@ def _thousands(c: Column) -> Column:
 
 def unique_rule(keys: list[str], name: str = "ra_id_unique", label: str | None = None) -> Rule:
     label = label or ", ".join(keys)
-    # Several keys count as one JSON value: nulls and separators in them stay apart.
-    value = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}) if len(keys) > 1 else F.coalesce(_text(F.col(keys[0])), F.lit(""))
+    # Several keys count as one JSON value, and a null key as a text no key has (what
+    # stands before the zero character is not shown): nulls, empty texts and separators stay apart.
+    one = F.coalesce(_text(F.col(keys[0])), F.lit("null key\u0000null"))
+    value = F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}) if len(keys) > 1 else one
     return Rule(name, "error", f"{label} is unique",
                 lambda n: _cat(n, f" duplicate {label} row(s)"),
                 bad=[(F.lit(True), value)], repeated=True)
@@ -191,11 +199,11 @@ def tally(df: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def run_rules(df: DataFrame, rules: list[Rule], sample_n: int = K.SAMPLE_N,
-              max_listed: int | None = None) -> DataFrame:
+              max_listed: int = MAX_LISTED) -> DataFrame:
     """One result row per rule, violations counted over all rows.
 
-    A distribution lists all its values; ``max_listed`` shortens the message to
-    the most frequent ones and says how many it leaves out.
+    The message of a distribution names its ``max_listed`` most frequent values
+    and says how many it leaves out, so no row grows with the data.
     """
     counted = tally(df, rules)
     repeated = [at for at, r in enumerate(rules) if r.repeated]
@@ -220,14 +228,12 @@ def run_rules(df: DataFrame, rules: list[Rule], sample_n: int = K.SAMPLE_N,
     # as well, which keeps it above the counting: totals and samples then share
     # one scan and one exchange.
     listed = info & F.col("rule").isin(_listed(rules))
-    whole = max_listed is None and bool(_listed(rules))
+    most = F.when(listed, max_listed).otherwise(sample_n)
     top = (
-        counted.where(F.when(F.col("n") > 0, bad if whole else bad | listed))
+        counted.where(F.when(F.col("n") > 0, bad | listed))
         .withColumn("at", F.row_number().over(order).cast("long"))
-        .where(F.col("at") <= max(sample_n, max_listed or 0))
+        .where((F.col("at") <= max(sample_n, max_listed)) & (F.col("at") <= most))
     )
-    if whole:  # All values, most frequent first: their counts are their order.
-        top = top.unionByName(counted.where(F.when(F.col("n") > 0, listed)).withColumn("at", -F.col("n")))
     top = (
         top.groupBy("rule")
         .agg(F.array_sort(F.collect_list(F.struct("kind", "at", "value", "n"))).alias("top"))
@@ -238,14 +244,14 @@ def run_rules(df: DataFrame, rules: list[Rule], sample_n: int = K.SAMPLE_N,
         "rule int, check_name string, severity string",
     )
     joined = F.broadcast(names).join(totals, "rule", "left").join(top, "rule", "left")
-    return _verdicts(joined, rules, sample_n, max_listed)
+    return _verdicts(joined, rules, sample_n)
 
 
 def _listed(rules: list[Rule]) -> list[int]:
     return [at for at, r in enumerate(rules) if isinstance(r.ok, str) and not r.bad]
 
 
-def _verdicts(joined: DataFrame, rules: list[Rule], sample_n: int, max_listed: int | None) -> DataFrame:
+def _verdicts(joined: DataFrame, rules: list[Rule], sample_n: int) -> DataFrame:
     n = F.coalesce("violations", F.lit(0))
     top = F.coalesce("top", F.array().cast("array<struct<kind:string,at:bigint,value:string,n:bigint>>"))
     bad = F.filter(top, lambda e: (e.kind == BAD) & (e["at"] <= sample_n))
@@ -259,11 +265,9 @@ def _verdicts(joined: DataFrame, rules: list[Rule], sample_n: int, max_listed: i
             ).otherwise(F.concat(e.value, F.lit(": "), e.n.cast("string"), F.lit(" null(s)"))))
             samples = F.when(mine, shown).otherwise(samples)
         if not rule.bad:
-            listed = F.filter(top, lambda e: e.kind == INFO)
-            if max_listed is not None:
-                listed = F.slice(listed, 1, max_listed)
             pairs = F.transform(
-                listed, lambda e: F.concat(F.lit("'"), e.value, F.lit("': "), e.n.cast("string")),
+                F.filter(top, lambda e: e.kind == INFO),
+                lambda e: F.concat(F.lit("'"), e.value, F.lit("': "), e.n.cast("string")),
             )
             values = F.coalesce("info_values", F.lit(0))
             more = F.when(values > F.size(pairs), _cat(", and ", values - F.size(pairs), " more")).otherwise("")
@@ -311,13 +315,34 @@ def schema_problems(df: DataFrame, contract: Contract) -> list[str]:
 
 
 def check_schema(df: DataFrame, contract: Contract, sample_n: int = K.SAMPLE_N) -> DataFrame:
+    """The schema is known without reading a row, so none is read."""
     problems = schema_problems(df, contract)
-    one = df.agg(F.count(F.lit(1)).alias("rows"))
-    return _result(one, "schema_conformance", bool(problems),
+    return _result(df.sparkSession.range(1), "schema_conformance", bool(problems),
                    "All expected columns present with expected types",
                    f"{len(problems)} schema problem(s)", len(problems), problems[:sample_n])
 
 
+def schema_report(df: DataFrame, contract: Contract) -> DataFrame:
+    """One row per column of the contract or the table: ``name, expected, found, problem, non_null``.
+
+    ``problem`` is missing, unexpected, type or null; ``non_null`` counts the
+    rows with a value, 0 for a missing column.  One scan counts all columns.
+    """
+    found = {f.name: f.dataType.simpleString() for f in df.schema}
+    wanted = {name: column.kind.simpleString() for name, column in contract.columns.items()}
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in found]) if found else df.sparkSession.range(1)
+    rows = []
+    for name in dict.fromkeys([*wanted, *found]):
+        told = ("missing" if name not in found else "unexpected" if name not in wanted
+                else "type" if wanted[name] != found[name] else None)
+        rows.append(F.struct(
+            F.lit(name).alias("name"), F.lit(wanted.get(name)).cast("string").alias("expected"),
+            F.lit(found.get(name)).cast("string").alias("found"), F.lit(told).cast("string").alias("problem"),
+            (F.col(name) if name in found else F.lit(0).cast("long")).alias("non_null"),
+        ))
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def check_null_rate(df: DataFrame, column: str, ceiling: float) -> DataFrame:
     counts = df.agg(F.count_if(F.col(column).isNull()).alias("nulls"), F.count(F.lit(1)).alias("rows"))
     rate = F.col("nulls") / F.col("rows")
@@ -337,36 +362,83 @@ def check_row_band(df: DataFrame, low: int, high: int) -> DataFrame:
 # --- report ----------------------------------------------------------------
 
 CheckFunction = Callable[[DataFrame], DataFrame]
+#: Checks that run at the same time.
+PARALLEL_CHECKS = 4
 
 
 def run_all(df: DataFrame, contract: Contract | None = None, today: date | None = None,
-            extra: list[CheckFunction] | None = None) -> DataFrame:
-    """Results of all contract rules plus custom checks.
-
-    Rules that cannot be built, such as those over a missing column, become
-    error results instead of stopping the run.
+            extra: list[CheckFunction] | None = None, parallel: int = PARALLEL_CHECKS) -> DataFrame:
+    """Results of all contract rules plus custom checks; they are run here.
+
+    The row rules share one scan, and every custom check is a job of its own
+    beside it.  A check that can't be built or fails while it runs, in a UDF or
+    on a value, becomes an error result, and all others stand.  If the shared
+    scan fails, its rules are run one by one to find the ones that do.  The
+    driver receives the results, a bounded row for each check; ``df`` should be
+    a stored table.
     """
     contract = contract or Contract.parse()
-    out = check_schema(df, contract)
-    good: list[Rule] = []
-    for rule in contract_rules(contract, df.columns, today):
-        try:
-            tally(df, [rule])
-            good.append(rule)
-        except Exception as exc:  # analysis errors only; nothing runs here
-            out = out.unionByName(_crashed(df, rule.name, exc))
-    out = out.unionByName(run_rules(df, good))
-    for check in extra or []:
-        try:
-            out = out.unionByName(check(df).select(*RESULT_COLUMNS))
-        except Exception as exc:
-            out = out.unionByName(_crashed(df, getattr(check, "__name__", "custom"), exc))
-    return out
-
-
-def _crashed(df: DataFrame, name: str, exc: Exception) -> DataFrame:
-    text = f"check crashed: {type(exc).__name__}: {str(exc).splitlines()[0]}"
-    return _result(df.sparkSession.range(1), name, True, "", text, 0, [])
+    spark = df.sparkSession
+    rules = contract_rules(contract, df.columns, today)
+    # Rules over missing columns can't be built; nothing is run to find out.
+    broken = {rule.name: exc for rule in rules if (exc := _failure(lambda r=rule: tally(df, [r]).schema))}
+    good = [rule for rule in rules if rule.name not in broken]
+    custom = list(extra or [])
+    with ThreadPoolExecutor(max(1, parallel)) as pool:
+        shared = pool.submit(_rule_rows, df, good)
+        others = [pool.submit(_guarded, getattr(check, "__name__", "custom"), lambda c=check: c(df)) for check in custom]
+        told = shared.result()
+        by_name = {row.check_name: [row] for row in told} | {name: [_crashed(name, exc)] for name, exc in broken.items()}
+        rows = [row for rule in rules for row in by_name[rule.name]] + [row for other in others for row in other.result()]
+    return check_schema(df, contract).unionByName(results_frame(spark, rows))
+
+
+def results_frame(spark: SparkSession, rows: list[Row]) -> DataFrame:
+    return spark.createDataFrame([tuple(row) for row in rows], RESULT_SCHEMA)
+
+
+def _rule_rows(df: DataFrame, rules: list[Rule]) -> list[Row]:
+    if not rules:
+        return []
+    try:
+        return _collected(run_rules(df, rules))
+    except Exception as exc:
+        if len(rules) == 1:
+            return [_crashed(rules[0].name, exc)]
+        return [row for rule in rules for row in _rule_rows(df, [rule])]
+
+
+def _guarded(name: str, check: Callable[[], DataFrame]) -> list[Row]:
+    """The rows of a check that is built and run here, or its failure as one."""
+    try:
+        return _collected(check())
+    except Exception as exc:
+        return [_crashed(name, exc)]
+
+
+def _collected(results: DataFrame) -> list[Row]:
+    return results.select(*RESULT_COLUMNS).collect()
+
+
+def _failure(build: Callable[[], object]) -> Exception | None:
+    try:
+        build()
+    except Exception as exc:
+        return exc
+    return None
+
+
+def _crashed(name: str, exc: Exception) -> Row:
+    return Row(check_name=name, severity="error", status="fail", message=f"check crashed: {_cause(exc)}", violations=0, samples=[])
+
+
+def _cause(exc: Exception) -> str:
+    """The failure in one line: the error class of Spark's own errors, else the last line of the Python traceback."""
+    if isinstance(exc, PySparkException) and (found := exc.getCondition()) and not found.startswith("_LEGACY"):
+        return f"{type(exc).__name__}: {found}"
+    lines = [line.strip() for line in str(exc).splitlines() if line.strip()]
+    errors = [line for line in lines if line.split(":")[0].endswith(("Error", "Exception")) and " " not in line.split(":")[0]]
+    return f"{type(exc).__name__}: {(errors or lines or [''])[-1]}"
 
 
 def summarize(results: DataFrame) -> DataFrame:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from foliospark import constants as K
 from foliospark.functions.text import render_sample
+from foliospark.session import stored
 
 _PERCENTILES = (("p25", 0.25), ("median", 0.5), ("p75", 0.75))
 
@@ -95,79 +98,107 @@ def _histogram(df: DataFrame, columns: list[str]) -> DataFrame:
     return usable.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def numeric_summary(df: DataFrame, columns: list[str], splits: int = 512) -> DataFrame:
+#: Distinct values that one task may order.
+MOST_VALUES = 100_000
+
+
+@dataclass
+class _Range:
+    """A closed range of a column's values that holds wanted ranks; ``before`` rows lie below it."""
+
+    name: str
+    low: float
+    high: float
+    before: int
+    values: int
+    ranks: list[int]
+
+
+def numeric_summary(df: DataFrame, columns: list[str], splits: int = 512, most: int = MOST_VALUES) -> DataFrame:
     """Count, min, quartiles, mean and max per column; text is coerced.
 
-    The quartiles are exact and interpolate linearly.  No task ever holds all
-    values of a column: they are counted per value, cut into ``splits`` ranges
-    by an approximate sketch, and only the ranges that contain a wanted rank
-    are ordered.
+    The quartiles are exact and interpolate linearly.  Values are counted first;
+    then every range that holds a wanted rank is cut into ``splits`` smaller ones
+    and those with the ranks are kept, pass by pass, until no range has more than
+    ``most`` distinct values.  Only these are ordered, so no task orders more.
+    The driver has one row per column and range.
     """
-    hist = _histogram(df, columns)
+    spark = df.sparkSession
+    hist = stored(_histogram(df, columns), "histogram")
+    totals = hist.groupBy("name").agg(
+        F.sum("n").alias("count"), F.min("value").alias("low"), F.max("value").alias("high"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"), F.count(F.lit(1)).alias("values"),
+    ).collect()
+    ranges = [_Range(t.name, t.low, t.high, 0, t["values"], sorted({r for _, p in _PERCENTILES for r in _ranks(t["count"], p)[:2]}))
+              for t in totals]
+    while wide := [r for r in ranges if r.values > most]:
+        ranges = [r for r in ranges if r.values <= most] + _cut_ranges(hist, wide, splits)
+    found = _values_at(hist, ranges)
+    rows = []
+    for t in totals:
+        quartiles = {}
+        for label, p in _PERCENTILES:
+            low, high, share = _ranks(t["count"], p)
+            a, b = found[t.name, low], found[t.name, high]
+            quartiles[label] = a + (b - a) * share if share else a
+        rows.append((t.name, t["count"], t.low, quartiles["p25"], quartiles["median"], t["mean"], quartiles["p75"], t.high))
+    return spark.createDataFrame(
+        rows, "name string, count long, min double, p25 double, median double, mean double, p75 double, max double")
+
+
+def _ranks(count: int, share: float) -> tuple[int, int, float]:
+    """The ranks around a quantile, from 0, and how far it lies between them."""
+    at = (count - 1) * share
+    return math.floor(at), math.ceil(at), at - math.floor(at)
+
+
+def _inside(hist: DataFrame, ranges: list[_Range]) -> DataFrame:
+    """``range, value, n`` of the values in some ranges, which are a few for each column."""
+    listed = hist.sparkSession.createDataFrame(
+        [(k, r.name, r.low, r.high, r.before) for k, r in enumerate(ranges)], "range int, name string, low double, high double, before long")
+    return hist.join(F.broadcast(listed), "name").where(F.col("value").between(F.col("low"), F.col("high"))).select(
+        "range", "value", "n", "before")
+
+
+def _cut_ranges(hist: DataFrame, ranges: list[_Range], splits: int) -> list[_Range]:
+    """The parts of the ranges that hold their wanted ranks."""
+    inside = _inside(hist, ranges)
     grid = [i / splits for i in range(1, splits)]
-    cuts = hist.groupBy("name").agg(
-        F.percentile_approx("value", grid, F.lit(10_000)).alias("cuts")
-    ).withColumn("coarse", F.filter("cuts", lambda c, i: (i + 1) % _STRIDE == 0))
-    # One row of `splits` numbers per column: a bounded broadcast.
-    ranged = hist.join(F.broadcast(cuts), "name").select(
-        "name", "value", "n", _range_index(F.col("value")).alias("bin")
-    )
-    bins = ranged.groupBy("name", "bin").agg(
-        F.sum("n").alias("bin_n"), F.min("value").alias("lo"), F.max("value").alias("hi"),
-        F.sum(F.col("value") * F.col("n")).alias("total"),
-    )
-    # From here on there are at most `splits` rows per column.
-    whole = Window.partitionBy("name")
-    running = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    placed = bins.select(
-        "name", "bin", "bin_n", F.coalesce(F.sum("bin_n").over(running), F.lit(0)).alias("before"),
-        F.sum("bin_n").over(whole).alias("count"), F.min("lo").over(whole).alias("min"),
-        (F.sum("total").over(whole) / F.sum("bin_n").over(whole)).alias("mean"),
-        F.max("hi").over(whole).alias("max"),
-    )
-    ranks = placed.select(
-        "*", F.explode(F.array(*[_rank(F.col("count"), p, at) for at, (_, p) in enumerate(_PERCENTILES)])).alias("r")
-    ).select("*", F.col("r.label"), F.col("r.share"), F.explode(F.array("r.lower", "r.upper")).alias("rank")).drop("r")
-    wanted = ranks.where(
-        (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("bin_n"))
-    ).distinct()
-    needed = wanted.select("name", "bin", "before").distinct()
-    inside = Window.partitionBy("name", "bin").orderBy("value")
-    stepped = ranged.join(F.broadcast(needed), ["name", "bin"]).select(
-        "name", "bin", "value", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("first"),
-        (F.col("before") + F.sum("n").over(inside) - 1).alias("last"),
-    )
-    # At most six ranks per column.
-    hits = stepped.join(F.broadcast(wanted), ["name", "bin"]).where(
-        (F.col("first") <= F.col("rank")) & (F.col("last") >= F.col("rank"))
-    )
-    ends = hits.groupBy("name", "label", "share", "count", "min", "mean", "max").agg(
-        F.min("value").alias("low"), F.max("value").alias("high")
-    )
-    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("share")
-    wide = ends.groupBy("name", "count", "min", "mean", "max").agg(
-        *[F.max(F.when(F.col("label") == at, value)).alias(name) for at, (name, _) in enumerate(_PERCENTILES)]
-    )
-    return wide.select("name", "count", "min", "p25", "median", "mean", "p75", "max")
-
-
-# Every so many cuts form one step of the two-step range search.
+    # One row of `splits` numbers per range: a bounded broadcast.
+    cuts = inside.groupBy("range").agg(F.percentile_approx("value", grid, F.lit(10_000)).alias("cuts")).withColumn(
+        "coarse", F.filter("cuts", lambda c, i: (i + 1) % _STRIDE == 0))
+    parts = inside.join(F.broadcast(cuts), "range").groupBy("range", _part(F.col("value")).alias("part")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("values"), F.min("value").alias("low"), F.max("value").alias("high"),
+    ).orderBy("range", "part").collect()
+    out, before = [], [r.before for r in ranges]
+    for part in parts:
+        own, below = ranges[part.range], before[part.range]
+        before[part.range] += part.n
+        if ranks := [k for k in own.ranks if below <= k < below + part.n]:
+            out.append(_Range(own.name, part.low, part.high, below, part["values"], ranks))
+    return out
+
+
+# Every so many cuts form one step of the two-step search.
 _STRIDE = 22
 
 
-def _range_index(value: Column) -> Column:
+def _part(value: Column) -> Column:
     """Number of cuts below ``value``, found by a coarse and a fine step."""
     step = F.size(F.filter("coarse", lambda c: c < value)) * _STRIDE
     return step + F.size(F.filter(F.slice("cuts", step + 1, F.lit(_STRIDE)), lambda c: c < value))
 
 
-def _rank(count: Column, share: float, label: int) -> Column:
-    at = (count - 1) * F.lit(share)
-    low = F.floor(at)
-    return F.struct(
-        F.lit(label).alias("label"), low.alias("lower"), F.ceil(at).alias("upper"),
-        (at - low).alias("share"),
-    )
+def _values_at(hist: DataFrame, ranges: list[_Range]) -> dict[tuple[str, int], float]:
+    """The value at each wanted rank; every range is small enough to be ordered."""
+    if not ranges:
+        return {}
+    order = Window.partitionBy("range").orderBy("value")
+    placed = _inside(hist, ranges).select(
+        "range", "value", (F.col("before") + F.sum("n").over(order) - 1).alias("last"), "n")
+    wanted = hist.sparkSession.createDataFrame([(k, rank) for k, r in enumerate(ranges) for rank in r.ranks], "range int, rank long")
+    hits = placed.join(F.broadcast(wanted), "range").where((F.col("rank") <= F.col("last")) & (F.col("rank") > F.col("last") - F.col("n")))
+    return {(ranges[h.range].name, h.rank): h.value for h in hits.select("range", "rank", "value").collect()}
 
 
 def duplicate_values(df: DataFrame, column: str, null_is_value: bool = True) -> DataFrame:
@@ -187,17 +218,17 @@ def json_index_profile(entries: DataFrame, label: Column, date_text: Column, doc
     """``metric, value`` rows over exploded index entries.
 
     ``label`` is the number of a matching title or null, ``doc_id`` the id in
-    the anchor or null.  ``entries`` is read three times: store it first when
-    it is expensive.
+    the anchor or null.  What the counts need of ``entries`` is stored, so
+    pages are parsed once.
     """
     iso = date_text.rlike(K.ISO_DATE)
-    flat = entries.select(
+    flat = stored(entries.select(
         "page", "entry_size",
         label.try_cast("long").alias("number"),
         F.when(date_text != "", date_text).alias("date"),
         F.when(iso, F.substring(date_text, 1, 4).try_cast("long")).alias("year"),
         (F.col("anchor") != "").alias("has_anchor"), doc_id.alias("doc_id"),
-    )
+    ), "index")
     per_page = flat.groupBy("page").agg(
         F.count(F.lit(1)).alias("rows"), F.count("number").alias("label"), F.count("date").alias("dated"),
         F.count("year").alias("iso"), F.count_if("has_anchor").alias("anchors"), F.count("doc_id").alias("ids"),
@@ -242,8 +273,11 @@ def page_set_profile(joined: DataFrame, html: str = "html") -> DataFrame:
     )
 
 
-def staging_profile(df: DataFrame, key: str = "ra_id", year: str = "ra_year",
-                    title: str = "title") -> DataFrame:
+PROFILE_ROW = "part string, name string, metric string, value string"
+
+
+def staging_counts(df: DataFrame, key: str = "ra_id", year: str = "ra_year",
+                   title: str = "title") -> DataFrame:
     """``metric, value`` rows: duplicates, null years, year range, blank titles.
 
     Null keys are one value among the others, so the second one repeats it.
@@ -259,6 +293,34 @@ def staging_profile(df: DataFrame, key: str = "ra_id", year: str = "ra_year",
     ))
 
 
+def staging_profile(df: DataFrame, order: list[str], key: str = "ra_id", year: str = "ra_year", title: str = "title",
+                    numeric: tuple[str, ...] = ("ra_year", "content_length", "word_count"), digits: int = 6) -> DataFrame:
+    """The whole profile of a staged table as ``part, name, metric, value`` rows.
+
+    Parts: ``column`` (type, nulls, distinct values and sample of every column),
+    ``numeric`` (the summary of each numeric column, rounded to ``digits``),
+    ``derived`` (``staging_counts``) and ``note`` (columns with nulls).  ``df``
+    is read several times: give a stored table.  ``order`` decides which value
+    is a column's sample.
+    """
+    columns = stored(column_profile(df, order), "columns")
+    numbers = numeric_summary(df, [c for c in numeric if c in df.columns])
+    rounded = numbers.select("name", *[F.round(c, digits).alias(c) if c != "count" else F.col(c) for c in numbers.columns if c != "name"])
+    counts = staging_counts(df, key, year, title).where(F.col("value").isNotNull())
+    return (
+        _cells(columns, "column", ["position", "dtype", "non_null", "nulls", "null_pct", "distinct_values", "sample"])
+        .unionByName(_cells(rounded, "numeric", ["count", "min", "p25", "median", "mean", "p75", "max"]))
+        .unionByName(counts.select(F.lit("derived").alias("part"), F.lit("").alias("name"), "metric", F.col("value").cast("string")))
+        .unionByName(_cells(null_issues(columns), "note", ["level", "note"]))
+    )
+
+
+def _cells(df: DataFrame, part: str, metrics: list[str]) -> DataFrame:
+    """One row per cell of a table with one row per ``name``; values are written as text."""
+    cells = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value")) for m in metrics]
+    return df.select(F.lit(part).alias("part"), "name", F.explode(F.array(*cells)).alias("c")).select("part", "name", "c.*")
+
+
 def curated_summary(df: DataFrame, key: str = "ra_id", year: str = "ra_year",
                     title: str = "title", date_column: str = "approval_date") -> DataFrame:
     """One row: rows, distinct keys and years, year range, nulls; one scan."""

@@ -65,14 +65,9 @@ def later_duplicates(df: DataFrame, keys: list[str], order: list[str]) -> DataFr
     return df.alias("l").join(firsts, _same_keys(keys) & behind).select("l.*")
 
 
-def append_missing(primary: DataFrame, secondary: DataFrame, key: str = "ra_id",
-                   known: DataFrame | None = None) -> DataFrame:
-    """Primary rows plus the secondary rows whose key the primary lacks.
-
-    ``known`` may name a cheaper table with the same keys, such as the primary
-    before it was deduplicated.
-    """
-    extra = without_keys(secondary, primary if known is None else known, [key])
+def append_missing(primary: DataFrame, secondary: DataFrame, key: str = "ra_id") -> DataFrame:
+    """Primary rows plus the secondary rows whose key the primary lacks."""
+    extra = without_keys(secondary, primary, [key])
     return primary.unionByName(extra.select(*primary.columns))
 
 
@@ -117,9 +112,9 @@ def gap_fill(df: DataFrame, lookup: DataFrame, key: str = "ra_number",
     """Fill nulls of ``value`` from a lookup that is unique per ``key``.
 
     Never changes a non-null value, adds no rows and touches no other column.
-    ``flag`` names a column telling which rows were filled.  The gap is part
-    of the join key: rows without one match nothing and still spread over all
-    partitions by their own key, where a null key would pile them up in one.
+    ``flag`` names a column telling which rows were filled.  Rows without a gap
+    match nothing, by a condition beside the key: they still spread over all
+    partitions by their key, where a null key would pile them up in one.
     """
     found = lookup.select(
         F.col(key), F.lit(True).alias("_gap"), F.col(value).alias("_fill")

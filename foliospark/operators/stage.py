@@ -47,33 +47,34 @@ def stage_markdown(raw: DataFrame, source: str = K.SOURCE_MARKDOWN, italics: boo
 
     Number: file name, else header line.  Year: file name, else header date.
     Rows without either are dropped.  Each step is one projection over the
-    previous one, so the text is split into lines once.
+    previous one, so the text is searched for its header once.
     """
     clean = text.clean_markdown if italics else text.strip_bold_links_space
-    split = drop_index_rows(raw).select(
-        "basename", "content", F.col("path").alias("source_path"),
-        text.lines(F.col("content")).alias("_lines"),
-    )
-    found = split.withColumn("_header", text.header_line(F.col("_lines")))
-    header = F.col("_header")
-    numbered = found.withColumns({
-        "ra_number": F.coalesce(basename_number(F.col("basename")), text.header_number(header)),
-        "_header_date": text.header_date(header),
-        "_at": text.header_index(header),
-    }).where(F.col("ra_number").isNotNull())
-    dated = numbered.withColumn(
-        "ra_year", F.coalesce(basename_year(F.col("basename")), year_prefix(F.col("_header_date")))
-    ).where(F.col("ra_year").isNotNull())
-    fallback = F.concat(F.lit("Republic Act No. "), F.col("ra_number"))
-    body = text.body_lines(F.col("_lines"), F.col("_at"))
-    shaped = dated.select(
-        ra_id(F.col("ra_number")).alias("ra_id"), "ra_number", "ra_year",
-        F.coalesce(text.title_line(F.col("_lines"), F.col("_at")), fallback).alias("title"),
+    dated = headed(drop_index_rows(raw)).withColumn("_header_date", text.header_date(F.col("_header")))
+    number = F.coalesce(basename_number(F.col("basename")), text.header_number(F.col("_header")))
+    year = F.coalesce(basename_year(F.col("basename")), year_prefix(F.col("_header_date")))
+    title = text.title_line(F.col("_behind"), F.col("_head"))
+    rows = dated.select(
+        number.alias("ra_number"), year.alias("ra_year"), title.alias("title"),
         F.coalesce(text.approval_date(F.col("content")), F.col("_header_date")).alias("approval_date"),
-        clean(body).alias("content_clean"),
-        "source_path",
+        clean(text.strip(F.col("_behind"))).alias("content_clean"), F.col("path").alias("source_path"),
     )
-    return _measured(shaped, source)
+    # As one generated row a document keeps what was found: a filter on plain columns
+    # would be pushed below the search and repeat it.
+    found = rows.select(F.explode(F.array(F.struct(*rows.columns))).alias("r")).select("r.*").where(
+        F.col("ra_number").isNotNull() & F.col("ra_year").isNotNull())
+    fallback = F.concat(F.lit("Republic Act No. "), F.col("ra_number"))
+    return _measured(found.withColumns({"ra_id": ra_id(F.col("ra_number")), "title": F.coalesce("title", fallback)}), source)
+
+
+def headed(raw: DataFrame, content: str = "content") -> DataFrame:
+    """Rows with their ``_header`` line, its number ``_at``, the text ``_behind`` it and that text's ``_head`` lines."""
+    cut = raw.withColumn("_flat", text.one_line_end(F.col(content))).withColumn("_pieces", text.cut_at_header(F.col("_flat")))
+    pieces = F.col("_pieces")
+    parts = cut.withColumns({
+        "_header": text.header_line(F.col("_flat"), pieces), "_at": text.header_index(pieces), "_behind": text.behind_header(pieces),
+    }).drop("_flat", "_pieces")
+    return parts.withColumn("_head", text.head_lines(F.col("_behind")))
 
 
 def stem(path: Column) -> Column:

@@ -106,3 +106,23 @@ def landed_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_manifest(spark, sf_dir).where("page_id % 10 <> 3").join(html, "page_id").select(
         F.replace("source_path", F.lit("/"), F.lit("__")).alias("slug"), "html"
     )
+
+
+def index_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``url, html``: the acts of a hundred documents as one page with a table of links, some rows damaged."""
+    rows = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", "doc_id div 100 as page",
+        """concat('<tr class="', case when doc_id % 23 = 0 then 'head' else 'odd xy' end, '"><td>',
+                  case when doc_id % 17 = 0 then 'no link' else
+                    concat('<a href="ra', 1946 + doc_id % 80, '/ra_', doc_id, '.html', chr(39), '"> RA <b>No. ', doc_id, '</b></a><br> ',
+                           date_format(date_add(date'1950-01-01', cast(doc_id % 20000 as int)), 'MMMM d, yyyy')) end,
+                  '</td>', case when doc_id % 19 = 0 then '' else concat('<td>An act on <i>', source, '</i> &amp; ', lang, '</td>') end,
+                  '</tr>') as line""",
+    )
+    ordered = F.array_sort(F.collect_list(F.struct("doc_id", "line")))
+    lines = F.array_join(F.transform(ordered, lambda e: e.line), "\n")
+    return rows.groupBy("page").agg(lines.alias("lines")).select(
+        F.concat(F.lit("https://acts.example.org/index/"), "page", F.lit(".html")).alias("url"),
+        F.concat(F.lit('<html><table id="other"><tr class="xy"><td><a href="x">x</a></td><td>y</td></tr></table><table id="s-menu">'),
+                 "lines", F.lit("</table></html>")).alias("html"),
+    )

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from datetime import date
 
+import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,8 +18,8 @@ from foliospark.operators import (
     checks, cluster, kmeans, profile, reconcile, search, stage, temporal, tfidf, upsert,
 )
 from foliospark.plans import bridge, corpus
-from foliospark.session import scratch_path
-from foliospark.sources import landing, readers, writers
+from foliospark.session import scratch_path, stored
+from foliospark.sources import buckets, landing, readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -126,7 +129,16 @@ def _dated_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def partition_stats(spark, sf):
-    return writers.partition_stats(_dated_orders(spark, sf))
+    """What the write says it wrote, beside what its files say when they are read."""
+    orders, root = _dated_orders(spark, sf), scratch_path(spark, "partitions")
+    stats = writers.write_partitions(orders, root)
+    files = writers.read_partitions(spark, root, orders.schema).select(
+        "year", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"))
+    each = files.groupBy("file", "size").agg(F.count(F.lit(1)).alias("rows"))
+    return each.agg(F.sum("rows").alias("rows_read"), (F.sum("size") == stats.bytes).alias("bytes_match")).select(
+        F.lit(stats.n_partitions).cast("long").alias("n_partitions"), F.lit(stats.years_min).cast("long").alias("years_min"),
+        F.lit(stats.years_max).cast("long").alias("years_max"), F.lit(stats.rows_written).cast("long").alias("rows_written"),
+        F.lit(stats.rows_excluded).cast("long").alias("rows_excluded"), "rows_read", "bytes_match")
 
 
 @query
@@ -184,6 +196,78 @@ def upsert_counts(spark, sf):
     return upsert.upsert_counts(*_upsert_sides(spark, sf), "c_custkey")
 
 
+@query
+def upsert_bucketed(spark, sf):
+    """A bucketed table after a merge that touches one customer in ten, and whether the other buckets kept their files."""
+    target, _ = _upsert_sides(spark, sf)
+    source = bridge.table(spark, sf, "customer").where("c_custkey % 10 = 1").withColumn("c_acctbal", F.col("c_acctbal") + 1)
+    root = scratch_path(spark, "buckets")
+    buckets.create_buckets(target, root, "c_custkey", 256)
+    before = buckets.bucket_folders(spark, root)
+    touched = buckets.upsert_buckets(source, root, "c_custkey")
+    after = buckets.bucket_folders(spark, root)
+    kept = all(after[b] == path for b, path in before.items() if b not in touched)
+    rows = buckets.read_buckets(spark, root, target.schema)
+    return rows.select("c_custkey", F.round("c_acctbal", 2).alias("c_acctbal"), F.lit(kept).alias("others_kept"))
+
+
+@query
+def full_replace(spark, sf):
+    """A table replaced by a plan that reads it; an empty replacement is refused."""
+    customers, root = bridge.table(spark, sf, "customer").select("c_custkey", "c_acctbal"), scratch_path(spark, "replaced")
+    writers.publish_snapshot(customers.where("c_custkey % 2 = 0"), root)
+    old = writers.read_snapshot(spark, root, customers.schema)
+    writers.publish_snapshot(old.unionByName(customers.where("c_custkey % 2 = 1")), root)
+    try:
+        writers.publish_snapshot(old.where("c_custkey < 0"), root)
+    except RuntimeError:
+        pass
+    return writers.read_snapshot(spark, root, customers.schema).select("c_custkey", F.round("c_acctbal", 2).alias("c_acctbal"))
+
+
+@query
+def published_artefacts(spark, sf):
+    """Four artefacts published together, seen after a second publish that failed at the third of them."""
+    docs = bridge.table(spark, sf, "documents").select("doc_id", "text", (1946 + F.col("doc_id") % 80).alias("ra_year"))
+    base = scratch_path(spark, "published")
+    roots = {name: f"{base}/{name}" for name in ("curated", "partitions", "csv", "jsonl")}
+    first = docs.where("doc_id % 2 = 0")
+    writers.publish_set(spark, f"{base}/manifest", writers.write_artefacts(first, roots))
+    try:  # CSV can't hold an array
+        wrong = docs.withColumn("text", F.array("text"))
+        writers.publish_set(spark, f"{base}/manifest", writers.write_artefacts(wrong, roots))
+        refused = False
+    except AnalysisException:
+        refused = True
+    snapshots = writers.published_set(spark, f"{base}/manifest")
+    told = None
+    for name in sorted(roots):
+        rows = writers.read_artefact(spark, snapshots, name, first.schema).select(
+            F.lit(name).alias("artefact"), F.col("doc_id").cast("long").alias("doc_id"), F.sha2("text", 256).alias("text_sha256"),
+            F.lit(refused).alias("refused"))
+        told = rows if told is None else told.unionByName(rows)
+    return told
+
+
+@query
+def optional_source(spark, sf):
+    """Gaps filled from a lookup that is there and from one that is not."""
+    orders = bridge.table(spark, sf, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, F.to_date("o_orderdate")).alias("day"))
+    items = bridge.table(spark, sf, "lineitem").where("l_linenumber = 1").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.min(F.to_date("l_shipdate")).alias("day"))
+    path = scratch_path(spark, "lookup")
+    items.write.parquet(path)
+    told = []
+    for origin, place in (("there", path), ("absent", path + "-absent")):
+        lookup = readers.read_optional(spark, place, items.schema)
+        filled = reconcile.gap_fill(orders, lookup, "o_orderkey", "day", flag="recovered")
+        told.append(filled.agg(
+            F.lit(origin).alias("lookup"), F.count(F.lit(1)).alias("n_rows"), F.count_if("recovered").alias("recovered"),
+            F.count_if(F.col("day").isNull()).alias("nulls_after")))
+    return told[0].unionByName(told[1])
+
+
 @query
 def load_prepare(spark, sf):
     ready = upsert.prepare_load(_unclean(spark, sf))
@@ -228,10 +312,7 @@ def filter_index_rows(spark, sf):
 
 
 def _headed(spark: SparkSession, sf: str) -> DataFrame:
-    lines = bridge.acts(spark, sf).select("doc_id", "content", text.lines(F.col("content")).alias("_lines"))
-    return lines.withColumn("_header", text.header_line(F.col("_lines"))).withColumn(
-        "_at", text.header_index(F.col("_header"))
-    )
+    return stage.headed(bridge.acts(spark, sf).select("doc_id", "content"))
 
 
 @query
@@ -253,13 +334,12 @@ def approval_date_extract(spark, sf):
 
 @query
 def title_line(spark, sf):
-    return _headed(spark, sf).select("doc_id", text.title_line(F.col("_lines"), F.col("_at")).alias("title"))
+    return _headed(spark, sf).select("doc_id", text.title_line(F.col("_behind"), F.col("_head")).alias("title"))
 
 
 @query
 def body_extract(spark, sf):
-    body = text.clean_markdown(text.body_lines(F.col("_lines"), F.col("_at")))
-    return _headed(spark, sf).select("doc_id", body.alias("body"))
+    return _headed(spark, sf).select("doc_id", text.clean_markdown(text.strip(F.col("_behind"))).alias("body"))
 
 
 @query
@@ -400,6 +480,11 @@ def link_extract(spark, sf):
     return rows.select("page_id", "pos", href.alias("source_path"), anchors.resolve_url(F.col("url"), href).alias("url"))
 
 
+@query
+def index_table_links(spark, sf):
+    return html.parse_index(bridge.index_tables(spark, sf))
+
+
 # --- reconcile -------------------------------------------------------------
 
 @query
@@ -470,11 +555,9 @@ def row_reconciliation(spark, sf):
 
 @query
 def curated_projection(spark, sf):
-    staged = corpus.store_staged(
-        spark, primary=_primary(spark, sf), secondary=_secondary(spark, sf),
-        lookup=stage.stage_index(_entries(spark, sf)),
-    )
-    return corpus.curate(staged["primary"], staged["secondary"], staged["lookup"])
+    staged = corpus.store_staged(spark, numbered=True, primary=_primary(spark, sf), secondary=_secondary(spark, sf))
+    lookup = corpus.store_staged(spark, lookup=stage.stage_index(_entries(spark, sf)))["lookup"]
+    return corpus.curate(staged["primary"], staged["secondary"], lookup)
 
 
 @query
@@ -505,12 +588,22 @@ def weekday_share_by_origin(spark, sf):
 
 # --- contract checks -------------------------------------------------------
 
+def _drifted(spark: SparkSession, sf: str) -> DataFrame:
+    """Acts in a schema that departs from the contract."""
+    return bridge.acts(spark, sf).select(
+        F.col("path").alias("source_path"), F.col("yr").cast("int").alias("ra_year"),
+        F.when(F.col("doc_id") % 3 != 0, F.col("basename")).alias("basename"),
+    )
+
+
 @query
 def check_schema(spark, sf):
-    drifted = bridge.acts(spark, sf).select(
-        F.col("path").alias("source_path"), F.col("yr").cast("int").alias("ra_year"), "basename"
-    )
-    return _joined_samples(checks.check_schema(drifted, Contract.parse()))
+    return _joined_samples(checks.check_schema(_drifted(spark, sf), Contract.parse()))
+
+
+@query
+def schema_report(spark, sf):
+    return checks.schema_report(_drifted(spark, sf), Contract.parse())
 
 
 @query
@@ -590,6 +683,48 @@ def validation_summary(spark, sf):
     return checks.summarize(checks.run_all(_unclean(spark, sf), today=TODAY))
 
 
+def year_not_there(df: DataFrame) -> DataFrame:
+    """A custom check that fails while it runs, in Spark."""
+    bad = F.when(F.col("ra_year") > 0, F.raise_error(F.lit("no such year")).cast("int"))
+    return df.agg(F.sum(bad).alias("n")).select(
+        F.lit("never").alias("check_name"), F.lit("error").alias("severity"), F.lit("pass").alias("status"),
+        F.col("n").cast("string").alias("message"), F.lit(0).cast("long").alias("violations"), F.array().cast("array<string>").alias("samples"))
+
+
+def broken_udf(df: DataFrame) -> DataFrame:
+    """A custom check that fails while it runs, in Python."""
+    @F.pandas_udf("long")
+    def fails(column: pd.Series) -> pd.Series:
+        raise ValueError("not a year")
+
+    return year_not_there(df.where(fails("ra_year") > 0))
+
+
+def few_nulls(df: DataFrame) -> DataFrame:
+    return checks.check_null_rate(df, "title", 0.005)
+
+
+@query
+def validation_isolated(spark, sf):
+    """The report with three custom checks, of which two fail while they run."""
+    rows = stored(_unclean(spark, sf), "unclean")
+    return _joined_samples(checks.run_all(rows, today=TODAY, extra=[year_not_there, few_nulls, broken_udf]))
+
+
+@query
+def contract_rules(spark, sf):
+    """What the contract says of each rule, beside its verdict on the data."""
+    contract = Contract.parse()
+    listed = spark.createDataFrame(
+        [(at, name, rule.severity, json.dumps(rule.params, sort_keys=True)) for at, (name, rule) in enumerate(contract.rules.items(), 1)],
+        "rule_id int, check_name string, declared string, params string")
+    low, high = contract.years(TODAY)
+    told = checks.run_all(_unclean(spark, sf), contract, TODAY).select("check_name", "status", "violations")
+    return listed.join(told, "check_name").select(
+        "*", F.lit(contract.revision).alias("revision"), F.lit(len(contract.required())).alias("n_required"),
+        F.lit(low).alias("year_low"), F.lit(high).alias("year_high"))
+
+
 # --- profiles --------------------------------------------------------------
 
 @query
@@ -643,7 +778,7 @@ def page_set_profile(spark, sf):
 
 @query
 def staging_profile(spark, sf):
-    return profile.staging_profile(_staged(spark, sf))
+    return profile.staging_profile(stored(_staged(spark, sf), "staged"), ["source_path"])
 
 
 # --- calendar --------------------------------------------------------------
@@ -752,22 +887,25 @@ def cluster_theme_report(spark, sf):
     distances = cluster.term_distances(weights, assigned, centers, "doc_id", "cluster")
     return cluster.theme_report(
         cluster.cluster_summary(assigned, "cluster"), cluster.top_terms(centers, "cluster"),
-        cluster.representatives(distances, "cluster", "doc_id"), "cluster", "doc_id",
+        cluster.representatives(distances, "cluster", "doc_id"), "cluster",
+        bridge.table(spark, sf, "documents").withColumn("ra_year", 1946 + F.col("doc_id") % 80), "doc_id", "text",
         themes={0: "German prose", 1: "English prose", 3: "French prose"},
     )
 
 
 @query
 def cluster_scatter_join(spark, sf):
-    points = _embeddings(spark, sf).select(
-        F.col("vec_id").alias("doc_id"), F.col("label").alias("cluster"),
-        F.round(F.col("embedding")[0].cast("double"), 6).alias("x"),
-        F.round(F.col("embedding")[1].cast("double"), 6).alias("y"),
-    )
+    """Points with the texts of their documents; their place must lie within their vector's length."""
+    vectors = _embeddings(spark, sf).select("vec_id", "label", F.col("embedding").cast("array<double>").alias("v"))
+    placed = kmeans.project_svd(_points(spark, sf), "vec_id")
+    points = vectors.join(placed, "vec_id").select(F.col("vec_id").alias("doc_id"), F.col("label").alias("cluster"), "x", "y", "v")
     docs = bridge.table(spark, sf, "documents").select(
         "doc_id", F.col("text").alias("title"), (1946 + F.col("doc_id") % 80).alias("ra_year")
     )
-    return cluster.scatter_join(points, docs, "doc_id")
+    length = F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x)
+    within = F.col("x") * F.col("x") + F.col("y") * F.col("y") <= length * (1 + 1e-9)
+    return cluster.scatter_join(points, docs, "doc_id").select(
+        "doc_id", "cluster", "title_short", "year_str", within.alias("within_length"))
 
 
 @query
@@ -810,11 +948,9 @@ def _label_sweep(spark: SparkSession, sf: str) -> DataFrame:
     spread = cluster.centroid_distances(each, "embedding", "cluster").groupBy("k").agg(
         F.round(F.sum("distance2"), 6).alias("inertia")
     )
-    sample = landing.seeded_sample(points, "vec_id", K.SILHOUETTE_SAMPLE)
-    sums = cluster.label_distance_sums(sample, "vec_id", "embedding", "label").withColumn("k", group)
-    scores = cluster.silhouette(
-        sums, "vec_id", F.col("label") % F.col("k"), F.col("other") % F.col("k"), ["k"]
-    )
+    sample = landing.seeded_sample(points, "vec_id", K.SILHOUETTE_SAMPLE).select(
+        "vec_id", "embedding", *[(F.col("label") % k).alias(str(k)) for k in SWEEP_KS])
+    scores = cluster.silhouettes(sample, "vec_id", "embedding", [str(k) for k in SWEEP_KS]).withColumn("k", F.col("labels").cast("int"))
     return spread.join(scores, "k").select("k", "inertia", F.round("silhouette", 6).alias("silhouette"))
 
 
@@ -833,7 +969,8 @@ def select_k(spark, sf):
     return _rounded(cluster.select_k(_label_sweep(spark, sf)), ["silhouette_margin"])
 
 
-# --- fitted models (no SQL twin) -------------------------------------------
+# --- fitted models -----------------------------------------------------------
+# Start centres and signs are a fit's own, so the queries state what must hold for any fit, measured on all rows.
 
 def _points(spark: SparkSession, sf: str) -> DataFrame:
     vector = array_to_vector(F.col("embedding").cast("array<double>"))
@@ -843,29 +980,48 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def kmeans_assign(spark, sf):
     points = kmeans.fixed_layout(_points(spark, sf), "vec_id").persist()
-    model = kmeans.fit_best(points, 10)
-    return kmeans.assign(points, model).select("vec_id", "cluster")
+    try:
+        model = kmeans.fit_best(points, 10)
+        return stored(kmeans.nearest(points, model, "vec_id").select("vec_id", "is_nearest"), "assigned")
+    finally:
+        points.unpersist()
 
 
 @query
 def k_sweep(spark, sf):
-    return kmeans.sweep_k(_points(spark, sf), "vec_id")
+    points = kmeans.fixed_layout(_points(spark, sf), "vec_id").persist()
+    try:
+        models = kmeans.fit_sweep(points)
+        return stored(kmeans.certificate(points, models, "vec_id", kmeans.score_sweep(points, "vec_id", models)), "certificate")
+    finally:
+        points.unpersist()
 
 
 @query
 def cluster_metrics(spark, sf):
+    """The record of a whole run over TF-IDF rows: sweep, choice, final fit."""
     vectors, points = _term_points(spark, sf)
     points = kmeans.fixed_layout(points, "doc_id").persist()
-    sweep = kmeans.sweep_k(points, "doc_id")
-    choice = cluster.select_k(sweep)
-    k = choice.first()["k_final"]
-    model = kmeans.fit_best(points, k)
-    score = kmeans.sample_silhouette(points, "doc_id", model)
-    return kmeans.run_metrics(
-        sweep, choice, model.summary.trainingCost, score, len(vectors.terms), points.count(),
-        {"k_min": K.K_MIN, "k_max": K.K_MAX, "n_init": K.N_INIT, "seed": K.SEED, "min_df": K.MIN_DF, "max_df": K.MAX_DF,
-         "max_features": K.MAX_FEATURES},
-    )
+    try:
+        sweep = kmeans.sweep_k(points, "doc_id")
+        choice = cluster.select_k(sweep)
+        k = choice.first()["k_final"]
+        model = kmeans.fit_best(points, k)
+        score = kmeans.sample_silhouette(points, "doc_id", model)
+        metrics = kmeans.run_metrics(
+            sweep, choice, model.summary.trainingCost, score, len(vectors.terms), points.count(),
+            {"k_min": K.K_MIN, "k_max": K.K_MAX, "n_init": K.N_INIT, "seed": K.SEED, "min_df": K.MIN_DF, "max_df": K.MAX_DF,
+             "max_features": K.MAX_FEATURES},
+        )
+    finally:
+        points.unpersist()
+    curve = F.from_json("sweep", "array<struct<k:int,inertia:double,silhouette:double>>")
+    chosen = F.element_at(F.filter(curve, lambda p: p["k"] == F.col("k_final")), 1)
+    return metrics.select(
+        "n_docs_fit", "vocabulary_size", "parameters", F.size(curve).alias("n_swept"), F.lit(K.K_FLOOR).alias("k_floor"),
+        F.col("k_final").between(K.K_FLOOR, K.K_MAX).alias("k_in_range"),
+        (F.abs(F.col("final_inertia") - chosen["inertia"]) <= 1e-6 * chosen["inertia"]).alias("final_fit_agrees"),
+        F.col("final_silhouette").between(-1.0, 1.0).alias("silhouette_valid"))
 
 
 def _term_points(spark: SparkSession, sf: str) -> tuple[tfidf.TfidfVectors, DataFrame]:
@@ -878,10 +1034,11 @@ def _term_points(spark: SparkSession, sf: str) -> tuple[tfidf.TfidfVectors, Data
 
 @query
 def svd_project(spark, sf):
-    vectors, points = _term_points(spark, sf)
-    return kmeans.project_terms(points, _weights(spark, sf), vectors.terms, "doc_id")
+    return kmeans.projection_certificate(_term_points(spark, sf)[1], "doc_id")
 
 
 @query
 def svd_explained(spark, sf):
-    return kmeans.explained_variance(_term_points(spark, sf)[1])
+    """The share of variance from the singular values, beside the one measured on the projected rows."""
+    points = _term_points(spark, sf)[1]
+    return kmeans.explained_certificate(points, "doc_id")

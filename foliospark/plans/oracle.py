@@ -6,6 +6,8 @@ Spark code but the fixed values.
 
 from __future__ import annotations
 
+import json
+
 from foliospark import constants as K
 from foliospark.contract import Contract
 from foliospark.plans.catalog import SEARCH_WORDS, STOP_WORDS, SWEEP_KS, TODAY
@@ -213,7 +215,8 @@ ORACLE["pages_manifest_join"] = with_(
 )
 ORACLE["partition_stats"] = with_(DATED_ORDERS, """
 select count(distinct ra_year) as n_partitions, min(ra_year) as years_min, max(ra_year) as years_max,
-  count(ra_year) as rows_written, count(*) filter (ra_year is null) as rows_excluded from dated""")
+  count(ra_year) as rows_written, count(*) filter (ra_year is null) as rows_excluded, count(ra_year) as rows_read,
+  true as bytes_match from dated""")
 ORACLE["partition_pruned_read"] = with_(DATED_ORDERS, """
 select ra_year as year, count(*) as n, round(sum(o_totalprice), 2) as total from dated where ra_year = 1997
 group by ra_year""")
@@ -240,6 +243,19 @@ where c_custkey not in (select c_custkey from source)"""
 ORACLE["upsert_counts"] = """
 select case when c_custkey % 3 = 0 then 'inserted' when c_custkey % 2 = 0 then 'updated' else 'kept' end as action,
   count(*) as n from customer group by 1"""
+ORACLE["upsert_bucketed"] = """
+select c_custkey, round(case when c_custkey % 10 = 1 then c_acctbal + 1 else c_acctbal end, 2) as c_acctbal, true as others_kept
+from customer where c_custkey % 3 <> 0 or c_custkey % 10 = 1"""
+ORACLE["full_replace"] = "select c_custkey, round(c_acctbal, 2) as c_acctbal from customer"
+ORACLE["published_artefacts"] = """
+select artefact, doc_id, sha256(case when artefact = 'csv' then nullif(text, '') else text end) as text_sha256, true as refused
+from documents, (values ('curated'), ('partitions'), ('csv'), ('jsonl')) t(artefact) where doc_id % 2 = 0"""
+ORACLE["optional_source"] = """
+with base as (select o_orderkey, o_orderkey % 3 = 0 or o_orderdate is null as gap from orders),
+lookup as (select distinct l_orderkey from lineitem where l_linenumber = 1 and l_shipdate is not null),
+told as (select gap, l_orderkey is not null as found from base left join lookup on l_orderkey = o_orderkey)
+select 'there' as lookup, count(*) as n_rows, count(*) filter (gap and found) as recovered, count(*) filter (gap and not found) as nulls_after from told
+union all select 'absent', count(*), 0, count(*) filter (gap) from told"""
 ORACLE["load_prepare"] = with_(UNCLEAN, """
 select ra_id, cast(ra_year as integer) as ra_year, cast(approval_date as date) as approval_date,
   cast(content_length as integer) as content_length, cast(word_count as integer) as word_count, source_path
@@ -314,6 +330,12 @@ with found as (select page_id, url as base,
 select page_id, cast(pos as integer) as pos, translate(trim(href), '"''“”‘’', '') as source_path,
   regexp_extract(base, '^[a-z]+://[^/?#]*', 0) || translate(trim(href), '"''“”‘’', '') as url from found"""
 
+ORACLE["index_table_links"] = """
+select concat('RA No. ', doc_id) as ra_label, concat('https://acts.example.org/index/ra', 1946 + doc_id % 80, '/ra_', doc_id, '.html') as url,
+  strftime(cast(date '1950-01-01' + cast(doc_id % 20000 as integer) as date), '%B %-d, %Y') as date_text,
+  concat('An act on ', source, ' & ', lang) as title, concat('ra', 1946 + doc_id % 80, '/ra_', doc_id, '.html') as source_path
+from documents where doc_id % 23 <> 0 and doc_id % 17 <> 0 and doc_id % 19 <> 0"""
+
 # The test pages hold p, b, br and h1 inside their article, and two entities.
 def unescape(x: str) -> str:
     return f"""replace(replace(replace({x}, '&quot;', '"'), '&amp;', '&'), '&amp', '&')"""
@@ -433,18 +455,28 @@ from (select {n} as n from (select {sample} as v from {source} where {bad}))"""
 
 
 _contract = Contract.parse()
-_expected = {c.name: c.kind.simpleString() for c in _contract.columns.values()}
-_drifted = {"source_path": "string", "ra_year": "int", "basename": "string"}
-_problems = (
-    [f"missing column: {c}" for c in _expected if c not in _drifted]
-    + [f"unexpected column: {c}" for c in _drifted if c not in _expected]
-    + [f"{c}: expected {_expected[c]}, got {_drifted[c]}" for c in _expected
-       if c in _drifted and _drifted[c] != _expected[c]]
-)
-ORACLE["check_schema"] = f"""
-select 'schema_conformance' as check_name, 'error' as severity, 'fail' as status,
-  '{len(_problems)} schema problem(s)' as message, cast({len(_problems)} as bigint) as violations,
-  {lit('; '.join(_problems[:5]))} as samples"""
+_required = _contract.required()
+_wanted = ", ".join(f"({at}, '{c.name}', '{c.kind.simpleString()}')" for at, c in enumerate(_contract.columns.values()))
+# The found schema is what DuckDB says of the same projection.
+_DRIFT = ACTS + f""",
+drifted as (select path as source_path, cast(yr as integer) as ra_year, case when doc_id % 3 <> 0 then basename end as basename from acts),
+found as (select row_number() over () as place, column_name as name,
+    case column_type when 'VARCHAR' then 'string' when 'INTEGER' then 'int' when 'BIGINT' then 'bigint' end as found from (describe (from drifted))),
+wanted as (select * from (values {_wanted}) t(place, name, expected)),
+compared as (select coalesce(w.name, f.name) as name, expected, found, w.place as w_at, f.place as f_at,
+    case when found is null then 'missing' when expected is null then 'unexpected' when expected <> found then 'type' end as problem
+  from wanted w full join found f using (name))"""
+ORACLE["schema_report"] = with_(_DRIFT, """
+select name, expected, found, problem, case name when 'source_path' then (select count(source_path) from drifted)
+    when 'ra_year' then (select count(ra_year) from drifted) when 'basename' then (select count(basename) from drifted) else 0 end as non_null
+from compared""")
+ORACLE["check_schema"] = with_(_DRIFT, """,
+told as (select case problem when 'missing' then 0 when 'unexpected' then 1 else 2 end as kind, w_at, f_at,
+    case problem when 'missing' then concat('missing column: ', name) when 'unexpected' then concat('unexpected column: ', name)
+      else concat(name, ': expected ', expected, ', got ', found) end as text from compared where problem is not null),
+placed as (select *, row_number() over (order by kind, w_at, f_at) as k from told)
+select 'schema_conformance' as check_name, 'error' as severity, 'fail' as status, concat(count(*), ' schema problem(s)') as message,
+  count(*) as violations, string_agg(text, '; ' order by k) filter (k <= 5) as samples from placed""")
 
 _DUP = "(select *, count(*) over (partition by {k}) as copies from unclean)"
 UNIQUE = verdict("ra_id_unique", _DUP.format(k="ra_id"), "copies > 1", "ra_id", "ra_id is unique",
@@ -555,7 +587,6 @@ select 'row_band' as check_name, 'error' as severity, case when n between 11000
 from (select count(*) as n from documents)"""
 
 _low, _high = _contract.years(TODAY)
-_required = _contract.required()
 REPORT = "\nunion all\n".join(f"select * from ({part})" for part in [
     """select 'schema_conformance' as check_name, 'error' as severity, 'pass' as status,
        'All expected columns present with expected types' as message, cast(0 as bigint) as violations, '' as samples""",
@@ -573,6 +604,18 @@ REPORT = "\nunion all\n".join(f"select * from ({part})" for part in [
     distribution_sql("unclean"), oversized_sql(K.OVERSIZED_CHARS),
 ])
 ORACLE["validation_report"] = with_(UNCLEAN, REPORT)
+ORACLE["validation_isolated"] = with_(UNCLEAN, REPORT + """
+union all select 'year_not_there', 'error', 'fail', 'check crashed: SparkRuntimeException: USER_RAISED_EXCEPTION', 0, ''
+union all select 'broken_udf', 'error', 'fail', 'check crashed: PythonException: ValueError: not a year', 0, ''
+union all select 'title_null_rate', 'error', case when count(*) filter (title is null) > 0.005::double * count(*) then 'fail' else 'pass' end,
+  case when count(*) filter (title is null) > 0.005::double * count(*) then 'title null rate above 0.005' else 'title null rate within 0.005' end,
+  count(*) filter (title is null), '' from unclean""")
+_RULES = ", ".join(f"({at}, '{name}', '{rule.severity}', {lit(json.dumps(rule.params, sort_keys=True))})"
+                   for at, (name, rule) in enumerate(_contract.rules.items(), 1))
+ORACLE["contract_rules"] = with_(UNCLEAN, f"""
+select cast(rule_id as integer) as rule_id, check_name, declared, params, status, violations, '{_contract.revision}' as revision,
+  cast({len(_required)} as integer) as n_required, cast({_low} as integer) as year_low, cast({_high} as integer) as year_high
+from (values {_RULES}) t(rule_id, check_name, declared, params) join ({REPORT}) using (check_name)""")
 ORACLE["validation_summary"] = with_(UNCLEAN, f"""
 select count(*) as total_checks, count(*) filter (status = 'pass') as passed, count(*) filter (status = 'warn') as warned,
   count(*) filter (status = 'fail') as failed,
@@ -590,18 +633,26 @@ def _rendered(x: str) -> str:
     return f"case when length({flat}) > 80 then concat(substr({flat}, 1, 79), '…') else {flat} end"
 
 
-_PROFILE = "\nunion all\n".join(f"""
+def profile_sql(table: str, columns: list[tuple[str, str]], order: str) -> str:
+    return "\nunion all\n".join(f"""
 select '{c}' as name, {at} as position, '{t}' as dtype, count({c}) as non_null, count(*) - count({c}) as nulls,
   round(100.0 * (count(*) - count({c})) / count(*)::double, 2) as null_pct, count(distinct {c}) as distinct_values,
-  coalesce((select {_rendered(c)} from labelled where {c} is not null order by doc_id limit 1), '') as sample
-from labelled""" for at, (c, t) in enumerate(_COLUMNS))
-ORACLE["column_profile"] = with_(LABELLED, _PROFILE)
-ORACLE["null_issues"] = with_(LABELLED, f"""
+  coalesce((select {_rendered(c)} from {table} where {c} is not null order by {order} limit 1), '') as sample
+from {table}""" for at, (c, t) in enumerate(columns))
+
+
+def null_notes_sql(profile: str) -> str:
+    return f"""
 select name, case when null_pct >= {K.HIGH_NULL_PCT} then 'high' else 'low' end as level, nulls, null_pct,
   case when null_pct >= {K.HIGH_NULL_PCT}
        then concat('`', name, '` is ', printf('%.2f', null_pct), '% null (', nulls, '/', non_null + nulls, ').')
        else concat('`', name, '` has ', nulls, ' null(s) (', printf('%.2f', null_pct), '%).') end as note
-from ({_PROFILE}) where nulls > 0""")
+from ({profile}) where nulls > 0"""
+
+
+_PROFILE = profile_sql("labelled", _COLUMNS, "doc_id")
+ORACLE["column_profile"] = with_(LABELLED, _PROFILE)
+ORACLE["null_issues"] = with_(LABELLED, null_notes_sql(_PROFILE))
 _SUMMARY = """select '{c}' as name, count(v) as count, min(v) as min, round(quantile_cont(v, 0.25), 6) as p25,
   round(quantile_cont(v, 0.5), 6) as median, round(avg(v), 6) as mean, round(quantile_cont(v, 0.75), 6) as p75,
   max(v) as max from (select {x} as v from events) where v is not null"""
@@ -633,13 +684,29 @@ ORACLE["page_set_profile"] = with_(MANIFEST, """
 select count(*) as manifest_entries, count(html) as pages_found, count(*) - count(html) as missing_pages,
   cast(coalesce(sum(strlen(html)), 0) as bigint) as total_bytes,
   cast(coalesce(sum(strlen(html)), 0) // greatest(count(html), 1) as bigint) as avg_page_bytes from listed""")
-ORACLE["staging_profile"] = with_(STAGED, """
-select 'duplicate_ra_id' as metric, count(*) - count(distinct ra_id) as value from staged
-union all select 'rows', count(*) from staged
-union all select 'null_ra_year', count(*) filter (ra_year is null) from staged
-union all select 'ra_year_min', min(ra_year) from staged
-union all select 'ra_year_max', max(ra_year) from staged
-union all select 'empty_title', count(*) filter (trim(title) = '') from staged""")
+_STAGED_TYPES = [(c, "bigint" if c in ("ra_year", "content_length", "word_count") else "string") for c in K.STAGED_COLUMNS]
+_STAGED_PROFILE = profile_sql("staged", _STAGED_TYPES, "source_path")
+
+
+def cells_sql(part: str, table: str, metrics: list[str]) -> str:
+    return "\nunion all\n".join(f"select '{part}' as part, name, '{m}' as metric, cast({m} as varchar) as value from {table}" for m in metrics)
+
+
+ORACLE["staging_profile"] = with_(STAGED, f""",
+profiled as ({_STAGED_PROFILE}), noted as ({null_notes_sql("from profiled")}),
+numbers as ({" union all ".join(f"""select '{c}' as name, count(v) as count, round(min(v), 6) as min, round(quantile_cont(v, 0.25), 6) as p25,
+    round(quantile_cont(v, 0.5), 6) as median, round(avg(v), 6) as mean, round(quantile_cont(v, 0.75), 6) as p75, round(max(v), 6) as max
+  from (select cast({c} as double) as v from staged)""" for c in ("ra_year", "content_length", "word_count"))}),
+derived as (select 'duplicate_ra_id' as metric, count(*) - count(distinct ra_id) as value from staged
+  union all select 'rows', count(*) from staged
+  union all select 'null_ra_year', count(*) filter (ra_year is null) from staged
+  union all select 'ra_year_min', min(ra_year) from staged
+  union all select 'ra_year_max', max(ra_year) from staged
+  union all select 'empty_title', count(*) filter (trim(title) = '') from staged)
+{cells_sql("column", "profiled", ["position", "dtype", "non_null", "nulls", "null_pct", "distinct_values", "sample"])}
+union all {cells_sql("numeric", "numbers", ["count", "min", "p25", "median", "mean", "p75", "max"])}
+union all select 'derived', '', metric, cast(value as varchar) from derived
+union all {cells_sql("note", "noted", ["level", "note"])}""")
 
 # --- calendar --------------------------------------------------------------
 
@@ -712,12 +779,12 @@ select cluster, case cluster when 0 then 'German prose' when 1 then 'English pro
 from (select cluster, count(*) as size, min(ra_year) as year_min, max(ra_year) as year_max from langs group by cluster)
 left join (select cluster, string_agg(term, ', ' order by rank) as top_terms from top where rank <= 10 group by cluster)
   using (cluster)
-left join (select cluster, string_agg(cast(doc_id as varchar), ', ' order by rank) as representatives from reps group by cluster)
+left join (select cluster, string_agg(concat(doc_id, ' (', 1946 + doc_id % 80, ') - ', substr(coalesce(text, ''), 1, 110)), '; ' order by rank)
+    as representatives from reps join documents using (doc_id) group by cluster)
   using (cluster)""")
 ORACLE["cluster_scatter_join"] = """
-select vec_id as doc_id, label as cluster, round(embedding[1]::double, 6) as x, round(embedding[2]::double, 6) as y,
-  replace(substr(coalesce(text, ''), 1, 90), chr(10), ' ') as title_short,
-  case when text is null then '' else cast(1946 + doc_id % 80 as varchar) end as year_str
+select vec_id as doc_id, label as cluster, replace(substr(coalesce(text, ''), 1, 90), chr(10), ' ') as title_short,
+  case when text is null then '' else cast(1946 + doc_id % 80 as varchar) end as year_str, true as within_length
 from embeddings left join documents on doc_id = vec_id"""
 ORACLE["cluster_sizes"] = """
 select count(*) as n_clusters, min(n) as size_min, max(n) as size_max,
@@ -776,3 +843,21 @@ select k_silhouette_max, k_elbow, k_silhouette_near_elbow, k_final,
   k_final = {K.K_FLOOR} and k_final <> k_silhouette_max as k_floor_applied,
   case when margin < {K.FLAT_MARGIN} then 'silhouette_flat_near_elbow' else 'silhouette_max' end as decision_reason,
   round(margin, 6) as silhouette_margin, {K.FLAT_MARGIN}::double as flat_margin_threshold from chosen""")
+
+# --- fitted models ------------------------------------------------------------
+
+ORACLE["kmeans_assign"] = "select vec_id, true as is_nearest from embeddings"
+ORACLE["k_sweep"] = f"""
+select cast(k as integer) as k, (select count(*) from embeddings) as n_points, k as n_clusters, true as all_nearest,
+  true as inertia_agrees, true as silhouette_valid from range({K.K_MIN}, {K.K_MAX} + 1) t(k)"""
+_PARAMETERS = json.dumps({"k_min": K.K_MIN, "k_max": K.K_MAX, "n_init": K.N_INIT, "seed": K.SEED, "min_df": K.MIN_DF,
+                          "max_df": K.MAX_DF, "max_features": K.MAX_FEATURES}, sort_keys=True)
+ORACLE["cluster_metrics"] = with_(TERMS, f"""
+select cast((select count(*) from documents) as integer) as n_docs_fit, cast((select count(*) from vocab) as integer) as vocabulary_size,
+  {lit(_PARAMETERS)} as parameters, cast({K.K_MAX - K.K_MIN + 1} as integer) as n_swept, cast({K.K_FLOOR} as integer) as k_floor,
+  true as k_in_range, true as final_fit_agrees, true as silhouette_valid""")
+ORACLE["svd_project"] = """
+select cast(c as integer) as component, (select count(*) from documents) as n_rows, true as unit_loading, true as orthogonal,
+  true as norm_agrees, true as ordered from range(1, 3) t(c)"""
+ORACLE["svd_explained"] = """
+select cast(50 as integer) as components, (select count(*) from documents) as n_rows, true as share_valid, true as share_agrees"""

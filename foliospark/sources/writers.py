@@ -1,15 +1,19 @@
-"""Sinks: full replace, year partitions, CSV, JSON Lines, format comparison."""
+"""Sinks: full replace, sets published together, year partitions, CSV, JSON Lines, format comparison."""
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 from collections.abc import Callable
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 # No leading underscore: Spark skips such files when it reads.
 _POINTER = "CURRENT"
+# About how many bytes of text a CSV file holds: a file with quoted line ends is read by one task.
+CSV_FILE_BYTES = 64 << 20
 
 
 # --- full replace ----------------------------------------------------------
@@ -20,9 +24,14 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
 
 
+def snapshot_path(root: str) -> str:
+    """A path below ``root`` that nothing was written to."""
+    return f"{root.rstrip('/')}/snapshot-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
 def write_snapshot(df: DataFrame, root: str, allow_empty: bool = False) -> str:
     """Write ``df`` as an unpublished snapshot below ``root``; returns its path."""
-    path = f"{root.rstrip('/')}/snapshot-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    path = snapshot_path(root)
     df.write.mode("errorifexists").parquet(path)
     if not allow_empty and df.sparkSession.read.schema(df.schema).parquet(path).isEmpty():
         raise RuntimeError(f"refusing to publish an empty table to {root}")
@@ -47,6 +56,7 @@ def publish_snapshot(df: DataFrame, root: str, allow_empty: bool = False) -> str
 
 
 def _replace_pointer(spark: SparkSession, root: str, name: str) -> None:
+    """Replace the one line of the pointer file below ``root``."""
     fs, part = _file_system(spark, f"{root}/{_POINTER}.{uuid.uuid4().hex}.part")
     out = fs.create(part, True)
     try:
@@ -65,11 +75,13 @@ def _replace_pointer(spark: SparkSession, root: str, name: str) -> None:
 
 def current_snapshot(spark: SparkSession, root: str) -> str | None:
     """Path of the published snapshot, or None before the first publish."""
-    root = root.rstrip("/")
-    fs, pointer = _file_system(spark, f"{root}/{_POINTER}")
-    if not fs.exists(pointer):
-        return None
-    return f"{root}/{spark.read.text(pointer.toString()).first()[0].strip()}"
+    name = _pointed(spark, root)
+    return None if name is None else f"{root.rstrip('/')}/{name}"
+
+
+def _pointed(spark: SparkSession, root: str) -> str | None:
+    fs, pointer = _file_system(spark, f"{root.rstrip('/')}/{_POINTER}")
+    return spark.read.text(pointer.toString()).first()[0].strip() if fs.exists(pointer) else None
 
 
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
@@ -90,20 +102,86 @@ def require_outputs(spark: SparkSession, roots: list[str]) -> None:
         raise RuntimeError(f"missing outputs: {missing}")
 
 
+# --- sets published together -------------------------------------------------
+
+def publish_set(spark: SparkSession, manifest: str, snapshots: dict[str, str]) -> None:
+    """Make a set of written snapshots the one readers see.
+
+    All must be there and hold data.  The manifest names them in one line of one
+    small file, which is replaced as a whole: readers find the old set or the new
+    one, never parts of both.
+    """
+    require_outputs(spark, list(snapshots.values()))
+    _replace_pointer(spark, manifest.rstrip("/"), json.dumps(snapshots, sort_keys=True))
+
+
+def published_set(spark: SparkSession, manifest: str) -> dict[str, str]:
+    """The published snapshots by name; empty before the first publish."""
+    line = _pointed(spark, manifest)
+    return json.loads(line) if line else {}
+
+
+def write_artefacts(df: DataFrame, roots: dict[str, str], year_column: str = "ra_year",
+                    curated: str | None = None) -> dict[str, str]:
+    """Fresh snapshots of a stored table: ``curated``, ``partitions``, ``csv`` and ``jsonl`` below their roots.
+
+    Nothing that readers see is touched.  ``curated`` may name a snapshot that
+    was written already.
+    """
+    out = {"curated": curated or write_snapshot(df, roots["curated"])}
+    out |= {name: snapshot_path(roots[name]) for name in ("partitions", "csv", "jsonl")}
+    write_partitions(df, out["partitions"], year_column)
+    write_csv(df, out["csv"])
+    write_jsonl(df, out["jsonl"])
+    return out
+
+
+def read_artefact(spark: SparkSession, snapshots: dict[str, str], name: str, schema: T.StructType) -> DataFrame:
+    """A published artefact in the columns of ``schema``; CSV comes as text."""
+    if name not in snapshots:
+        raise FileNotFoundError(f"{name} was not published")
+    path = snapshots[name]
+    if name == "csv":
+        return read_csv(spark, path, schema.names)
+    if name == "jsonl":
+        return read_jsonl(spark, path, schema)
+    if name == "partitions":
+        return read_partitions(spark, path, schema).drop("year")
+    return spark.read.schema(schema).parquet(path)
+
+
 # --- year partitions -------------------------------------------------------
 
+@dataclass(frozen=True)
+class PartitionStats:
+    """What a partitioned write has written: rows from the write itself, partitions and bytes from the committed files."""
+
+    n_partitions: int
+    years_min: int | None
+    years_max: int | None
+    rows_written: int
+    rows_excluded: int
+    bytes: int
+
+
 def write_partitions(
     df: DataFrame, root: str, source_column: str = "ra_year", partition: str = "year",
     incremental: bool = False,
-) -> None:
+) -> PartitionStats:
     """Hive-style partitions by year; rows without a year are left out.
 
     The full write replaces the whole root, which also sweeps years that are
     gone.  ``incremental`` replaces only the years present in ``df``.  The
     rebalance hint makes few files for a small year and splits a huge one over
-    many tasks.
+    many tasks.  Rows are counted while they are written; partitions and bytes
+    are those of the committed listing, so after an incremental write of the
+    whole root.
     """
-    keyed = df.where(F.col(source_column).isNotNull()).withColumn(partition, F.col(source_column))
+    spark, seen = df.sparkSession, Observation()
+    year = F.col(source_column)
+    counts = [F.count(F.lit(1)).alias("rows"), F.count(year).alias("dated"),
+              F.min(year).cast("long").alias("low"), F.max(year).cast("long").alias("high")]
+    keyed = df.observe(seen, *counts).where(year.isNotNull()).withColumn(partition, year)
     (
         keyed.hint("rebalance", partition)
         .write.mode("overwrite")
@@ -111,6 +189,23 @@ def write_partitions(
         .partitionBy(partition)
         .parquet(root)
     )
+    sizes = partition_bytes(spark, root, partition)
+    # Of a plan found to be empty Spark may run nothing, and then it has observed nothing.
+    told = seen.get if sizes else df.agg(*counts).first().asDict()
+    return PartitionStats(len(sizes), told["low"], told["high"], told["dated"], told["rows"] - told["dated"], sum(sizes.values()))
+
+
+def partition_bytes(spark: SparkSession, root: str, partition: str = "year") -> dict[str, int]:
+    """Bytes of the data files of each partition folder below ``root``."""
+    fs, path = _file_system(spark, root)
+    sizes = {}
+    for folder in fs.listStatus(path):
+        name = folder.getPath().getName()
+        if name.startswith(f"{partition}="):
+            files = [f for f in fs.listStatus(folder.getPath()) if not f.getPath().getName().startswith(("_", "."))]
+            if files:
+                sizes[name.split("=", 1)[1]] = sum(f.getLen() for f in files)
+    return sizes
 
 
 def read_partitions(spark: SparkSession, root: str, schema: T.StructType, partition: str = "year",
@@ -127,17 +222,6 @@ def planned_partitions(df: DataFrame, source_column: str = "ra_year") -> DataFra
     return keyed.select(F.col(source_column).cast("long").alias("year")).distinct().orderBy("year")
 
 
-def partition_stats(df: DataFrame, source_column: str = "ra_year") -> DataFrame:
-    """Number of partitions, first and last one, rows in and rows left out."""
-    return df.agg(
-        F.count_distinct(source_column).alias("n_partitions"),
-        F.min(source_column).cast("long").alias("years_min"),
-        F.max(source_column).cast("long").alias("years_max"),
-        F.count(source_column).alias("rows_written"),
-        F.count_if(F.col(source_column).isNull()).alias("rows_excluded"),
-    )
-
-
 def stored_bytes(spark: SparkSession, root: str) -> int:
     """Size of everything stored below ``root``."""
     fs, path = _file_system(spark, root)
@@ -146,11 +230,20 @@ def stored_bytes(spark: SparkSession, root: str) -> int:
 
 # --- text exports ----------------------------------------------------------
 
-def write_csv(df: DataFrame, path: str) -> None:
+def rows_per_file(df: DataFrame, file_bytes: int, looked_at: int = 2_000) -> int:
+    """About how many rows make ``file_bytes`` of text, by the first rows; files are sized by it, nothing else."""
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(4 * len(df.columns)))
+    mean = df.limit(looked_at).agg(F.avg(width).alias("mean")).first().mean
+    return max(1, int(file_bytes / mean)) if mean else 1
+
+
+def write_csv(df: DataFrame, path: str, file_bytes: int = CSV_FILE_BYTES) -> None:
+    """CSV with every field quoted, in files small enough that many tasks can read them."""
     (
         df.write.mode("overwrite")
         .option("header", True).option("quoteAll", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .option("maxRecordsPerFile", rows_per_file(df, file_bytes))
         .csv(path)
     )
 

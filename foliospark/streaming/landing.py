@@ -9,13 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, types as T
 
 from foliospark.operators.reconcile import keep_first
-from foliospark.operators.upsert import upsert
-from foliospark.sources import writers
+from foliospark.sources.buckets import BUCKETS, upsert_buckets
 
 
 def land_new_files(spark: SparkSession, folder: str, root: str, schema: T.StructType, key: str,
-                   order: list[str], checkpoint: str, file_format: str = "parquet") -> int:
-    """Upsert the rows of all new files into the table at ``root``.
+                   order: list[str], checkpoint: str, file_format: str = "parquet", buckets: int = BUCKETS) -> int:
+    """Upsert the rows of all new files into the bucketed table at ``root``, rewriting the buckets they touch.
 
     A batch that is replayed after a failure merges the same rows again and
     changes nothing.  ``order`` picks the row to keep when files repeat a key.
@@ -24,12 +23,7 @@ def land_new_files(spark: SparkSession, folder: str, root: str, schema: T.Struct
     batches: list[int] = []
 
     def merge(rows: DataFrame, batch: int) -> None:
-        fresh = keep_first(rows, [key], order)
-        if writers.current_snapshot(spark, root) is None:
-            merged = fresh
-        else:
-            merged = upsert(writers.read_snapshot(spark, root, schema), fresh, key)
-        writers.publish_snapshot(merged, root)
+        upsert_buckets(keep_first(rows, [key], order), root, key, buckets)
         batches.append(batch)
 
     stream = (

@@ -1,9 +1,11 @@
 """Reconciling, merging, checking and profiling small tables."""
 
 import random
+import re
 from datetime import date
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,13 +58,59 @@ def test_curate_is_layout_free(spark, sources):
 
 def test_publish(spark, sources, tmp_path):
     clean = [df.where("ra_number <> '3'") for df in sources]
-    paths = corpus.CorpusPaths(*[str(tmp_path / n) for n in ("curated", "parts", "csv", "jsonl")])
+    paths = corpus.CorpusPaths(*[str(tmp_path / n) for n in ("curated", "parts", "csv", "jsonl", "manifest")])
+    with pytest.raises(FileNotFoundError):
+        corpus.read_published(spark, paths)
     results = corpus.publish(spark, corpus.curate(*clean), paths, today=date(2026, 1, 1))
     assert results.where("status = 'fail'").count() == 0
-    before = writers.current_snapshot(spark, paths.curated)
+    before = writers.published_set(spark, paths.manifest)
+    want = sorted(r.ra_id for r in corpus.curate(*clean).collect())
+    for name in before:
+        assert sorted(r.ra_id for r in corpus.read_published(spark, paths, name).collect()) == want
     with pytest.raises(checks.ValidationError, match="content_non_stub"):
         corpus.publish(spark, corpus.curate(*sources), paths, today=date(2026, 1, 1))
-    assert writers.current_snapshot(spark, paths.curated) == before
+    assert writers.published_set(spark, paths.manifest) == before
+
+
+@pytest.mark.parametrize("broken", ["write_partitions", "write_csv", "write_jsonl", "require_outputs"])
+def test_failed_publish_keeps_the_old_set(spark, sources, tmp_path, monkeypatch, broken):
+    clean = [df.where("ra_number <> '3'") for df in sources]
+    paths = corpus.CorpusPaths(*[str(tmp_path / n) for n in ("curated", "parts", "csv", "jsonl", "manifest")])
+    corpus.publish(spark, corpus.curate(*clean), paths, today=date(2026, 1, 1))
+    before = writers.published_set(spark, paths.manifest)
+
+    def fails(*_, **__):
+        raise OSError("disk is gone")
+
+    monkeypatch.setattr(writers, broken, fails)
+    with pytest.raises(OSError):
+        corpus.publish(spark, corpus.curate(*[df.where("ra_number = '2'") for df in sources]), paths, today=date(2026, 1, 1))
+    monkeypatch.undo()
+    assert writers.published_set(spark, paths.manifest) == before
+    assert all(corpus.read_published(spark, paths, name).count() == 3 for name in before)
+
+
+def test_texts_cross_the_network_once(spark, sources):
+    """Curating decides on narrow rows; whole texts are exchanged for one join, or not at all if that is small."""
+    numbered = corpus.store_staged(spark, numbered=True, primary=sources[0], secondary=sources[1])
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+
+    def exchanges():
+        curated = corpus.curate(numbered["primary"], numbered["secondary"], sources[2])
+        plan = curated._jdf.queryExecution().executedPlan().toString()
+        # An exchange shows its columns in the scan or projection below it; texts are read in the plan's branches alone.
+        assert len(re.findall(r"ReadSchema: struct<[^\n]*content_clean", plan)) == 2
+        return len(re.findall(r"Exchange hashpartitioning", plan)), curated.count()
+
+    small, rows = exchanges()
+    try:
+        spark.conf.set(threshold, "-1")
+        large, again = exchanges()
+    finally:
+        spark.conf.set(threshold, before)
+    # One exchange for the texts and one for the decisions.
+    assert small == 0 and large == 2 and rows == again == 4
 
 
 def test_dedupe_properties(spark):
@@ -245,9 +293,105 @@ def test_column_profile(spark):
     assert issues["s"] == "`s` is 33.33% null (1/3)." and set(issues) == {"s", "n"}
 
 
-def test_listing_is_whole_unless_shortened(spark):
+def test_listing_is_bounded_and_whole_as_rows(spark):
     df = spark.range(300).selectExpr("cast(id % 150 as string) as source")
-    whole = checks.run_rules(df, [checks.source_rule()]).first().message
+    message = checks.run_rules(df, [checks.source_rule()]).first().message
+    assert message.count("': 2") == checks.MAX_LISTED and message.endswith(", and 100 more}")
+    assert {tuple(r) for r in profile.source_distribution(df).collect()} == {(str(k), 2) for k in range(150)}
+    whole = checks.run_rules(df, [checks.source_rule()], max_listed=150).first().message
     assert whole.count("': 2") == 150 and "more" not in whole
     short = checks.run_rules(df, [checks.source_rule()], max_listed=3).first().message
     assert short == "source distribution: {'0': 2, '1': 2, '10': 2, and 147 more}"
+
+
+def test_null_and_empty_keys_are_apart(spark):
+    df = spark.createDataFrame([(None,), ("",), ("a",)], "ra_id string")
+    assert checks.run_rules(df, [checks.unique_rule(["ra_id"])]).first().violations == 0
+    row = checks.run_rules(df.union(df), [checks.unique_rule(["ra_id"])]).first()
+    assert row.violations == 6 and row.samples == ["", "a", "null"]
+
+
+def test_checks_fail_alone(spark):
+    """Checks that fail while they run, in Python, in Spark or when built, become rows; all others stand."""
+    @F.pandas_udf("long")
+    def fails(column: pd.Series) -> pd.Series:
+        raise ValueError("wrong year")
+
+    def in_python(df):
+        return checks.check_null_rate(df.where(fails("ra_year") > 0), "title", 0.1)
+
+    def in_spark(df):
+        return checks.check_row_band(df.where(F.raise_error(F.concat(F.lit("row "), "ra_id")).isNull()), 0, 9)
+
+    def not_built(df):
+        return df.select("no_such_column")
+
+    def good(df):
+        return checks.check_row_band(df, 0, 10**6)
+
+    df = curated(spark)
+    want = {r.check_name: r for r in checks.run_all(df, today=date(2026, 1, 1)).collect()}
+    got = {r.check_name: r for r in checks.run_all(df, today=date(2026, 1, 1), extra=[in_python, good, in_spark, not_built]).collect()}
+    assert len(want) == 10 and {k: v for k, v in got.items() if k in want} == want
+    assert got["row_band"].status == "pass"
+    assert got["in_python"].message == "check crashed: PythonException: ValueError: wrong year" and got["in_python"].status == "fail"
+    assert got["in_spark"].message == "check crashed: SparkRuntimeException: USER_RAISED_EXCEPTION"
+    assert got["not_built"].message.startswith("check crashed: AnalysisException: UNRESOLVED_COLUMN")
+
+
+def test_rules_fail_alone(spark, monkeypatch):
+    """A row rule that fails on a value takes no other rule with it."""
+    rules = checks.contract_rules
+
+    def with_bad_one(*args):
+        bad = F.col("ra_year") / F.when(F.col("ra_year") > 0, F.raise_error(F.lit("odd"))).cast("int") > 1
+        return [*rules(*args), checks.Rule("odd_rule", "error", "ok", lambda n: F.lit("bad"), bad=[(bad, F.col("ra_id"))])]
+
+    df = curated(spark)
+    want = {r.check_name: r for r in checks.run_all(df, today=date(2026, 1, 1)).collect()}
+    monkeypatch.setattr(checks, "contract_rules", with_bad_one)
+    got = {r.check_name: r for r in checks.run_all(df, today=date(2026, 1, 1)).collect()}
+    assert {k: v for k, v in got.items() if k in want} == want
+    assert got["odd_rule"].status == "fail" and got["odd_rule"].message.startswith("check crashed: SparkRuntimeException")
+
+
+def test_schema_report(spark):
+    df = spark.createDataFrame([("a", 1, None), ("b", None, None)], "ra_id string, ra_year int, extra string")
+    rows = {r.name: r for r in checks.schema_report(df, Contract.parse()).collect()}
+    assert len(rows) == 12 and rows["title"].problem == "missing" and rows["title"].non_null == 0
+    assert rows["ra_id"].problem is None and rows["ra_id"].non_null == 2
+    assert rows["ra_year"].problem == "type" and (rows["ra_year"].found, rows["ra_year"].non_null) == ("int", 1)
+    assert rows["extra"].problem == "unexpected" and rows["extra"].expected is None and rows["extra"].non_null == 0
+
+
+def test_quantiles_by_selection(spark):
+    """Ranges are cut until few values are left to order; a third of all rows is one value."""
+    rng = np.random.default_rng(6)
+    values = np.concatenate([rng.normal(size=4000), np.full(2500, 0.25), 10.0 ** rng.uniform(-8, 8, 1500)])
+    df = spark.createDataFrame([(float(v), None if k % 7 else str(k)) for k, v in enumerate(values)], "v double, t string").repartition(6)
+    got = {r.name: r for r in profile.numeric_summary(df, ["v", "t"], splits=8, most=40).collect()}
+    assert got["v"]["count"] == len(values) and got["t"]["count"] == sum(k % 7 == 0 for k in range(len(values)))
+    for name, data in (("v", values), ("t", np.array([k for k in range(len(values)) if k % 7 == 0], float))):
+        assert np.allclose([got[name].p25, got[name].median, got[name].p75], np.percentile(data, [25, 50, 75]))
+        assert (got[name].min, got[name].max) == (data.min(), data.max()) and np.isclose(got[name].mean, data.mean())
+    assert profile.numeric_summary(df.where("v is null"), ["v"]).count() == 0
+    one = profile.numeric_summary(spark.createDataFrame([(5.0,)], "v double"), ["v"]).first()
+    assert (one.p25, one.median, one.p75) == (5.0, 5.0, 5.0)
+
+
+def test_only_small_ranges_are_ordered(spark, monkeypatch):
+    seen = []
+    values_at = profile._values_at
+    monkeypatch.setattr(profile, "_values_at", lambda hist, ranges: seen.extend(r["values"] if isinstance(r, dict) else r.values for r in ranges) or values_at(hist, ranges))
+    df = spark.range(5000).select(F.pow(F.lit(1.01), F.col("id") % 3000).alias("v"))
+    row = profile.numeric_summary(df, ["v"], splits=4, most=25).first()
+    assert max(seen) <= 25 and np.isclose(row.median, np.median(1.01 ** (np.arange(5000) % 3000)))
+
+
+def test_staging_profile(spark):
+    df = spark.createDataFrame([("RA-1", 2000, None, 3, "b"), ("RA-1", None, " ", 5, "a")], "ra_id string, ra_year long, title string, word_count long, source_path string")
+    rows = {(r.part, r.name, r.metric): r.value for r in profile.staging_profile(df, ["source_path"]).collect()}
+    assert rows["derived", "", "duplicate_ra_id"] == "1" and rows["derived", "", "empty_title"] == "1"
+    assert rows["numeric", "word_count", "median"] == "4.0" and rows["numeric", "ra_year", "count"] == "1"
+    assert rows["column", "ra_year", "nulls"] == "1" and rows["column", "source_path", "sample"] == "a"
+    assert rows["note", "ra_year", "note"] == "`ra_year` is 50.00% null (1/2)." and ("note", "ra_id", "note") not in rows

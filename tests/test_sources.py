@@ -10,7 +10,7 @@ from pyspark.sql import functions as F, types as T
 from foliospark import constants as K
 from foliospark.functions import html
 from foliospark.operators import stage
-from foliospark.sources import landing, readers, writers
+from foliospark.sources import buckets, landing, readers, writers
 
 
 def test_optional_source(spark, tmp_path):
@@ -144,7 +144,9 @@ def test_snapshot_replace(spark, tmp_path):
 def test_partitions(spark, tmp_path):
     root = str(tmp_path / "parts")
     df = spark.createDataFrame([(1, 2000), (2, 2000), (3, 2001), (4, None)], "id int, ra_year long")
-    writers.write_partitions(df, root)
+    stats = writers.write_partitions(df, root)
+    size = sum(f.stat().st_size for f in (tmp_path / "parts").rglob("*.parquet"))
+    assert stats == writers.PartitionStats(2, 2000, 2001, 3, 1, size)
     assert sorted(n for n in os.listdir(root) if n.startswith("year=")) == ["year=2000", "year=2001"]
     writers.write_partitions(df.where("id = 3").withColumn("id", F.lit(9)), root, incremental=True)
     back = writers.read_partitions(spark, root, df.schema)
@@ -168,6 +170,53 @@ def test_text_round_trips(spark, tmp_path):
     assert {r.id: r.text for r in writers.read_jsonl(spark, str(tmp_path / "j"), df.schema).collect()} == dict(rows)
 
 
+def test_partition_stats_of_nothing(spark, tmp_path):
+    df = spark.createDataFrame([(4, None)], "id int, ra_year long")
+    assert writers.write_partitions(df, str(tmp_path / "p")) == writers.PartitionStats(0, None, None, 0, 1, 0)
+
+
+def test_csv_is_read_by_many_tasks(spark, tmp_path):
+    """One year of data, written by one task, with line ends in its fields."""
+    df = spark.range(0, 3000, 1, 1).select("id", F.lit(2000).alias("ra_year"), F.repeat(F.lit("a line\nand more "), 20).alias("text"))
+    writers.write_csv(df, str(tmp_path / "c"), file_bytes=200_000)
+    files = list((tmp_path / "c").glob("*.csv"))
+    assert 4 <= len(files) <= 8 and max(f.stat().st_size for f in files) < 400_000
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300k")
+        back = writers.read_csv(spark, str(tmp_path / "c"), df.columns)
+        assert back.select(F.spark_partition_id().alias("p")).distinct().count() > 1 and back.count() == 3000
+        assert back.select("text").distinct().count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_bucketed_upsert(spark, tmp_path):
+    root = str(tmp_path / "t")
+    schema = "id long, v string"
+    buckets.create_buckets(spark.createDataFrame([(i, "old") for i in range(500)] + [(None, "none")], schema), root, "id", 32)
+    files = lambda: {f: f.stat().st_mtime_ns for f in tmp_path.rglob("*.parquet")}
+    before, folders = files(), buckets.bucket_folders(spark, root)
+    batch = spark.createDataFrame([(3, "new"), (900, "new")], schema)
+    touched = buckets.upsert_buckets(batch, root, "id")
+    after = buckets.bucket_folders(spark, root)
+    assert 1 <= len(touched) <= 2 and all(after[b] == folders[b] for b in folders if b not in touched)
+    assert {f: files()[f] for f in before} == before  # nothing is overwritten in place
+    rows = sorted((r.id is None, r.id, r.v) for r in buckets.read_buckets(spark, root, batch.schema).collect())
+    want = sorted([(False, i, "new" if i == 3 else "old") for i in range(500)] + [(False, 900, "new"), (True, None, "none")], key=str)
+    assert sorted(rows, key=str) == want
+    buckets.upsert_buckets(batch, root, "id")
+    assert buckets.read_buckets(spark, root, batch.schema).count() == 502
+    assert buckets.upsert_buckets(batch.where("id < 0"), root, "id") == []
+    with pytest.raises(ValueError, match="bucketed by id"):
+        buckets.upsert_buckets(batch, root, "v")
+    with pytest.raises(Exception, match="duplicate source key"):
+        buckets.upsert_buckets(batch.union(batch), root, "id")
+    assert buckets.read_buckets(spark, root, batch.schema).count() == 502
+    fresh = str(tmp_path / "fresh")
+    assert len(buckets.upsert_buckets(batch, fresh, "id", 8)) <= 2 and buckets.read_buckets(spark, fresh, batch.schema).count() == 2
+
+
 def test_format_comparison(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", 2000), (2, "b", 2001)], "id int, text string, ra_year long")
     rows = writers.compare_formats(df, str(tmp_path / "f"), "ra_year").collect()
