@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from foliospark.operators.tfidf import idf, term_counts
@@ -12,13 +14,24 @@ def inverted_index(docs: DataFrame, key: str, text: str) -> DataFrame:
     return term_counts(docs, key, text).select("term", key, "tf")
 
 
-def write_index(index: DataFrame, path: str, key: str, slices: int = 64) -> None:
+# Postings of one term that one partition holds on average, at most.
+POSTINGS = 200_000
+
+
+def slices_for(n_docs: int, postings: int = POSTINGS) -> int:
+    """Partitions for the commonest term: it has one posting for each document at most."""
+    return max(1, math.ceil(n_docs / postings))
+
+
+def write_index(index: DataFrame, path: str, key: str, n_docs: int) -> None:
     """Store postings sorted by term, so that a query skips to its pages.
 
-    A term is spread over up to ``slices`` partitions by document, because a
-    common one may hold a large part of all postings.  Hashing needs no
-    sampling pass, which would tokenize everything twice.
+    A term is spread over partitions by document, as many as the number of
+    documents asks for, because a common one may hold a large part of all
+    postings.  Hashing needs no sampling pass, which would tokenize everything
+    twice.
     """
+    slices = slices_for(n_docs)
     slice_no = F.pmod(F.xxhash64(key), F.lit(slices))
     placed = index.repartition("term", slice_no).sortWithinPartitions("term", key)
     placed.write.mode("errorifexists").parquet(path)

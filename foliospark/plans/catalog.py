@@ -848,8 +848,8 @@ def tfidf_matrix_stats(spark, sf):
 @query
 def text_search_and(spark, sf):
     path = scratch_path(spark, "index")
-    search.write_index(search.inverted_index(_texts(spark, sf), "doc_id", "text"), path, "doc_id")
     n = bridge.table(spark, sf, "documents").agg(F.count(F.lit(1)).alias("n"))
+    search.write_index(search.inverted_index(_texts(spark, sf), "doc_id", "text"), path, "doc_id", n.first().n)
     return search.search_all(spark.read.parquet(path), list(SEARCH_WORDS), "doc_id", n)
 
 
