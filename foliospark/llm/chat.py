@@ -73,16 +73,21 @@ def answer_pairs(conversations: DataFrame) -> DataFrame:
     Each conversation is chosen; rejected is the same with its last assistant turn
     replaced by that of its neighbour (ids 2k and 2k+1 are neighbours; without
     one by an empty text).  A conversation is one record, its turns in order of
-    turn, role and text.
+    turn, role and text, however many there are.  A row without ``conv_id`` is a
+    conversation of its own, with no neighbour and a null ``pair_id``.  A null
+    turn number sorts first, a null role is no assistant's, a null text stays
+    null; repeated rows are repeated turns; other columns are not read; an empty
+    table gives an empty result.
     """
     turn = F.struct("turn", "role", "text")
-    whole = conversations.select("conv_id", "turn", "role", "text").groupBy("conv_id").agg(
+    whole = conversations.where(F.col("conv_id").isNotNull()).select("conv_id", "turn", "role", "text").groupBy("conv_id").agg(
         F.sort_array(F.collect_list(turn)).alias("turns"))
-    places = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda k: F.element_at("turns", k)["role"].eqNullSafe(TRAINED))
-    placed = whole.select("conv_id", "turns", F.array_max(places).alias("at"))
-    answer = F.when(F.col("at").isNotNull(), F.element_at("turns", F.coalesce("at", F.lit(1)))["text"])
-    other = placed.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("neighbour"), answer.alias("other"))
-    return placed.join(other, placed["conv_id"].eqNullSafe(other["neighbour"]), "left").select(
+    lone = conversations.where(F.col("conv_id").isNull()).select("conv_id", F.array(turn).alias("turns"))
+    other = _placed(whole).select(
+        F.col("conv_id").bitwiseXOR(F.lit(1)).alias("neighbour"),
+        F.when(F.col("at").isNotNull(), F.element_at("turns", F.coalesce("at", F.lit(1)))["text"]).alias("other"))
+    placed = _placed(whole).unionByName(_placed(lone))
+    return placed.join(other, F.col("conv_id") == F.col("neighbour"), "left").select(
         F.col("conv_id").alias("pair_id"),
         F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("chosen"),
         F.transform("turns", lambda t, k: F.struct(
@@ -90,3 +95,9 @@ def answer_pairs(conversations: DataFrame) -> DataFrame:
             F.when((k + 1).eqNullSafe(F.col("at")), F.coalesce("other", F.lit(""))).otherwise(t["text"]).alias("text"),
         )).alias("rejected"),
     )
+
+
+def _placed(whole: DataFrame) -> DataFrame:
+    """Conversations with the place of their last assistant turn, from 1 (``at``)."""
+    places = F.filter(F.sequence(F.lit(1), F.size("turns")), lambda k: F.element_at("turns", k)["role"].eqNullSafe(TRAINED))
+    return whole.select("conv_id", "turns", F.array_max(places).alias("at"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,41 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with shuffle_cleanup(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _PATHS[back] = path
+    return back
+
+
+_PATHS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+def _files(df: DataFrame, path: str):
+    target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def discarded(*tables: DataFrame) -> None:
+    """Delete the files of tables that ``stored`` gave; nothing that is still to run may read them."""
+    for df in tables:
+        path = _PATHS.pop(df, None)
+        if path:
+            fs, target = _files(df, path)
+            fs.delete(target, True)
+
+
+#: Stored tables of at most so many bytes on disk may be broadcast.
+BROADCAST_BYTES = 8 << 20
+
+
+def is_small(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether a table that ``stored`` gave has at most so many bytes; the files are measured."""
+    fs, target = _files(df, _PATHS[df])
+    return fs.getContentSummary(target).getLength() <= most
+
+
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A table that ``stored`` gave, marked for broadcast if its measured size allows it, else left to Spark's own choice."""
+    return F.broadcast(df) if is_small(df, most) else df
 
 
 def row_key(*columns: str) -> Column:

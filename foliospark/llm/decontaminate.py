@@ -11,19 +11,22 @@ Hamming distance of 23 differ by at most 2 bits in some block (8 * 3 > 23), so
 joining on blocks with up to 2 bits flipped finds all of them.  What is found
 is confirmed by the weighted Jaccard similarity of the shingles themselves,
 weights being the numbers of occurrences.
+
+Windows are cut out of pieces of a text, so that a long one is the work of many
+tasks, and equal windows of a text are fingerprinted once.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from foliospark.llm.common import WORD_GAP, row_key, stored
+from foliospark.llm.common import WORD_GAP, row_key, small, stored
 
 WORDS, PERCENT = 5, 75
 BLOCKS, FLIPS = 8, 2
 RADIUS = BLOCKS * (FLIPS + 1) - 1
-#: Rows of the item tables that may be broadcast (some 30 bytes each); larger ones are left to Spark's own choice.
-BROADCAST_ROWS = 500_000
+#: Words of a text whose windows are cut together.
+PIECE = 1024
 
 
 def _words(text: Column) -> Column:
@@ -65,11 +68,6 @@ def _common(a: Column, b: Column) -> Column:
     return F.aggregate(F.array_intersect(a, b), F.lit(0), lambda acc, s: acc + F.least(times(a, s), times(b, s)))
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast if counted to be small, else as it is."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _starts(marks: DataFrame, percent: int) -> DataFrame:
     """``row, n_words, start`` of the windows that may reach the limit.
 
@@ -96,10 +94,18 @@ def _starts(marks: DataFrame, percent: int) -> DataFrame:
         "row", "n_words", F.explode(F.sequence("start", F.col("next") - 1)).alias("start"))
 
 
+def _sized_shingles(split: DataFrame, sizes: list[int]) -> DataFrame:
+    """``row, size, k, grams`` of ``split (row, words)``: the shingles of ``k`` words, for each of the sizes."""
+    each = F.array(*(F.struct(F.lit(k).alias("k"), _shingles(F.col("words"), k).alias("grams")) for k in sizes)) if sizes else (
+        F.array().cast("array<struct<k:int,grams:array<bigint>>>"))
+    return split.select("row", F.size("words").alias("size"), F.explode(each).alias("g")).select("row", "size", "g.*")
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``row, item_id, start, n_words, common, joint``: windows of documents that are copies of items.
 
     ``row`` is ``row_key("doc_id", "text")``; ``start`` and ``n_words`` count words.
+    Of windows of a document with the same shingles in the same order the first one stands for all.
     """
     items = stored(
         benchmark.select("item_id", row_key("item_id", "text").alias("item"), _words(F.col("text")).alias("words")).distinct()
@@ -109,31 +115,36 @@ def leaks(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) ->
     sizes = sorted(r.k for r in items.select(F.least("n_words", F.lit(WORDS)).alias("k")).distinct().collect())
     owned = items.select("item", "n_words", F.least("n_words", F.lit(WORDS)).alias("k"), F.explode("shingles").alias("gram")).groupBy(
         "item", "n_words", "k", "gram").agg(F.count(F.lit(1)).cast("int").alias("times"))
-    grams = _small(stored(owned.groupBy("n_words", "k", "gram").agg(F.max("times").alias("times")), "grams"))
+    grams = small(stored(owned.groupBy("n_words", "k", "gram").agg(F.max("times").alias("times")), "grams"))
     texts = documents.select(row_key("doc_id", "text").alias("row"), "text")
     split = texts.select("row", _words(F.col("text")).alias("words"))
-    marked = split.select("row", F.size("words").alias("size"), F.explode(F.array(*(
-        F.struct(F.lit(k).alias("k"), _shingles(F.col("words"), k).alias("grams")) for k in sizes)
-    ) if sizes else F.array().cast("array<struct<k:int,grams:array<bigint>>>")).alias("g"))
-    placed = marked.select("row", "size", F.col("g.k").alias("k"), F.posexplode("g.grams").alias("pos", "gram")).join(grams, ["k", "gram"])
-    windows = _starts(placed, percent)
-    by_row = stored(windows.groupBy("row").agg(F.collect_list(F.struct("n_words", "start")).alias("windows")), "windows")
-    cut = by_row.join(texts, "row").dropDuplicates(["row"]).select("row", "windows", _words(F.col("text")).alias("words")).select(
-        "row", F.explode(F.transform("windows", lambda w: F.struct(
-            w["n_words"].alias("n_words"), w["start"].alias("start"),
-            _own_shingles(F.slice(F.col("words"), w["start"] + 1, w["n_words"])).alias("shingles"),
-        ))).alias("w")).select("row", "w.*")
-    prints = stored(cut.withColumn("fingerprint", _fingerprint(F.col("shingles"))), "prints")
+    placed = _sized_shingles(split, sizes).select("row", "size", "k", F.posexplode("grams").alias("pos", "gram")).join(grams, ["k", "gram"])
+    windows = _starts(placed, percent).select(
+        "row", F.least("n_words", F.lit(WORDS)).alias("k"), F.expr(f"start div {PIECE}").cast("int").alias("piece"), "n_words", "start")
+    by_piece = stored(windows.groupBy("row", "k", "piece").agg(F.collect_list(F.struct("n_words", "start")).alias("windows")), "windows")
+    by_row = stored(by_piece.groupBy("row", "k").agg(F.collect_list("piece").alias("pieces")), "pieces")
+    rows = stored(by_row.select("row").distinct(), "rows")
+    longest = items.agg(F.max("n_words").alias("n")).first().n or 0
+    # A text's shingles are made once; each piece goes on for those of a window that begins at its end.
+    begun = texts.join(small(rows), "row").dropDuplicates(["row"]).select("row", _words(F.col("text")).alias("words"))
+    pieces = _sized_shingles(begun, sizes).join(small(by_row), ["row", "k"]).select("row", "k", F.explode(F.transform("pieces", lambda p: F.struct(
+        p.alias("piece"), F.slice("grams", p * PIECE + 1, F.lit(PIECE + longest)).alias("grams")))).alias("p")).select("row", "k", "p.*")
+    cut = pieces.join(by_piece, ["row", "k", "piece"]).select("row", "k", "piece", "grams", F.explode("windows").alias("w")).select(
+        "row", "w.n_words", "w.start",
+        F.slice("grams", F.col("w.start") - F.col("piece") * PIECE + 1, F.col("w.n_words") - F.col("k") + 1).alias("shingles"))
+    once = cut.groupBy("row", "n_words", F.xxhash64("shingles").alias("same")).agg(F.min(F.struct("start", "shingles")).alias("w")).select(
+        "row", "n_words", "w.start", "w.shingles")
+    prints = stored(once.withColumn("fingerprint", _fingerprint(F.col("shingles"))), "prints")
     flips = F.array(*(F.lit(m) for m in range(256) if m.bit_count() <= FLIPS))
     index = items.select("item", "n_words", F.col("fingerprint").alias("item_print"), F.explode(_blocks(F.col("fingerprint"))).alias("b")).select(
         "item", "n_words", "item_print", "b.block", F.explode(F.transform(flips, lambda m: F.col("b.bits").bitwiseXOR(m.cast("long")))).alias("bits"))
     keys = prints.select("row", "n_words", "start", "fingerprint", F.explode(_blocks(F.col("fingerprint"))).alias("b")).select(
         "row", "n_words", "start", "fingerprint", "b.block", "b.bits")
     near = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS
-    found = keys.join(_small(stored(index, "index")), ["n_words", "block", "bits"]).where(near).select(
+    found = keys.join(small(stored(index, "index")), ["n_words", "block", "bits"]).where(near).select(
         "row", "n_words", "start", "item").distinct()
     both = found.join(prints.select("row", "n_words", "start", "shingles"), ["row", "n_words", "start"]).join(
-        _small(items.select("item_id", "item", F.col("shingles").alias("own"))), "item")
+        small(items).select("item_id", "item", F.col("shingles").alias("own")), "item")
     sized = both.withColumn("common", _common(F.col("shingles"), F.col("own"))).withColumn(
         "joint", F.size("shingles") + F.size("own") - F.col("common"))
     return sized.where(F.col("common") * 100 >= F.col("joint") * percent).select("row", "item_id", "start", "n_words", "common", "joint")
@@ -158,7 +169,14 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, percent: int = PERC
 
 
 def clean(documents: DataFrame, benchmark: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``documents``, all columns, in which no item was found."""
+    """The rows of ``documents``, all columns, in which no item was found.
+
+    A row with a null or wordless text holds nothing and stays; rows are told
+    apart by id and text, so each is judged by its own text, also if its id is
+    null or repeated, and equal rows share their fate; long texts are searched
+    whole; columns may have any names; an empty table gives an empty result and
+    an empty benchmark keeps all rows.
+    """
     at = "leak_at" + "_" * max((len(c) for c in documents.columns), default=0)  # a name no column has
     rows = stored(leaks(documents, benchmark, percent).select(F.col("row").alias(at)).distinct(), "leaks")
-    return documents.withColumn(at, row_key("doc_id", "text")).join(rows, at, "left_anti").drop(at)
+    return documents.withColumn(at, row_key("doc_id", "text")).join(small(rows), at, "left_anti").drop(at)

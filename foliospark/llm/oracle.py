@@ -7,6 +7,40 @@ ORACLE: dict[str, str] = {}
 _WORDS = r"""list_filter(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '')"""
 
+ORACLE["op1_chat"] = """
+with whole as (
+  select conv_id, list(struct_pack(role := role, text := text) order by turn, role, text) as turns from conversations
+  where conv_id is not null group by conv_id
+  union all select conv_id, [struct_pack(role := role, text := text)] from conversations where conv_id is null),
+placed as (
+  select *, list_max(list_filter(range(1, len(turns) + 1), lambda k: turns[k].role = 'assistant')) as k from whole),
+paired as (
+  select a.conv_id, a.turns as c, list_transform(range(1, len(a.turns) + 1), lambda i: struct_pack(
+           role := a.turns[i].role, text := case when i = a.k then coalesce(b.turns[b.k].text, '') else a.turns[i].text end)) as r
+  from placed a left join placed b on b.conv_id = xor(a.conv_id, 1)),
+cut as (
+  select *, len(list_filter(range(1, len(c) + 1), lambda i: c[1:i] = r[1:i])) as n from paired),
+written as (
+  select conv_id, n,
+    list_transform(c, lambda t: concat('<|im_start|>', t.role, chr(10))) as ch, list_transform(r, lambda t: concat('<|im_start|>', t.role, chr(10))) as rh,
+    list_transform(c, lambda t: concat(replace(t.text, '<|', '< |'), '<|im_end|>', chr(10))) as cb,
+    list_transform(r, lambda t: concat(replace(t.text, '<|', '< |'), '<|im_end|>', chr(10))) as rb,
+    list_transform(c, lambda t: t.role) as cr, list_transform(r, lambda t: t.role) as rr
+  from cut),
+sized as (
+  select *, list_transform(range(1, len(ch) + 1), lambda i: length(ch[i]) + length(cb[i])) as cl,
+    list_transform(range(1, len(rh) + 1), lambda i: length(rh[i]) + length(rb[i])) as rl from written)
+select conv_id as pair_id, cast(n as integer) as n_prompt_turns,
+  array_to_string(list_transform(range(1, n + 1), lambda i: concat(ch[i], cb[i])), '') as prompt,
+  array_to_string(list_transform(range(n + 1, len(ch) + 1), lambda i: concat(ch[i], cb[i])), '') as chosen,
+  array_to_string(list_transform(list_filter(range(n + 1, len(ch) + 1), lambda i: cr[i] = 'assistant'), lambda i: concat(
+    cast(coalesce(list_sum(cl[n + 1:i - 1]), 0) as bigint) + length(ch[i]), ':', cast(list_sum(cl[n + 1:i]) as bigint))), ',') as chosen_spans,
+  array_to_string(list_transform(range(n + 1, len(rh) + 1), lambda i: concat(rh[i], rb[i])), '') as rejected,
+  array_to_string(list_transform(list_filter(range(n + 1, len(rh) + 1), lambda i: rr[i] = 'assistant'), lambda i: concat(
+    cast(coalesce(list_sum(rl[n + 1:i - 1]), 0) as bigint) + length(rh[i]), ':', cast(list_sum(rl[n + 1:i]) as bigint))), ',') as rejected_spans
+from sized
+"""
+
 # Windows are taken from pieces, so that no long text is walked through for each of its places.
 ORACLE["op2_suffix_dedup"] = """
 with texts as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as x from documents),
@@ -53,8 +87,8 @@ grams as (select item, n_words, k, q - 1 as place, array_to_string(ws[q:q + k -
 docs as (select row_number() over () as r, doc_id, {_WORDS} as ws from documents),
 placed as (select r, k, pos - 1 as pos, len(ws) as size, array_to_string(ws[pos:pos + k - 1], ' ') as gram
   from docs, (select distinct k from items), lateral (select unnest(range(1, len(ws) - k + 2)) as pos)),
-windows as (select distinct r, n_words, greatest(0, least(pos - place, size - n_words)) as start
-  from placed join (select distinct n_words, k, place, gram from grams) g using (k, gram)),
+windows as (select distinct r, n_words, unnest(range(greatest(0, pos - (n_words - k)), least(pos, greatest(0, size - n_words)) + 1)) as start
+  from placed join (select distinct n_words, k, gram from grams) g using (k, gram)),
 inside as (select r, n_words, start, k, array_to_string(w[q:q + k - 1], ' ') as gram, len(w) - k + 1 as total
   from (select r, n_words, start, ws[start + 1:start + n_words] as w, least(n_words, 5) as k from windows join docs using (r)),
     lateral (select unnest(range(1, len(w) - k + 2)) as q)),

@@ -11,11 +11,14 @@ from __future__ import annotations
 import bisect
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from foliospark.llm.common import small, stored
 from foliospark.session import scratch_path
 
 SLOTS = 8192
+#: Rows that repeat an id, size and checksum more often than this are spread by a number of their own.
+COPIES = 64
 MAP_SCHEMA = "version int, slot int, shard int"
 
 
@@ -96,13 +99,38 @@ class SlotMap:
         return cls(version, tuple(r.shard for r in rows))
 
 
-def slotted(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """``doc_id, size, text_crc32, virtual_slot``: size is the text's UTF-8 bytes (null: none) plus 8."""
+def slotted(documents: DataFrame, slots: int = SLOTS, copies: int = COPIES) -> DataFrame:
+    """``doc_id, size, text_crc32, virtual_slot``: size is the text's UTF-8 bytes (null: none) plus 8.
+
+    The slot is a hash of id and checksum.  Rows that repeat both more than
+    ``copies`` times are numbered and hashed with their number, so that they
+    spread like any others; which of the equal rows has which number makes no
+    difference.
+    """
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
-    return documents.select(
+    # The rows' places are fixed by writing them; texts are read once.
+    rows = stored(documents.select(
         "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 8).cast("long").alias("size"), crc.alias("text_crc32"),
-        F.pmod(F.xxhash64("doc_id", crc), F.lit(slots)).cast("int").alias("virtual_slot"),
-    )
+    ).withColumn("place", F.monotonically_increasing_id()), "records")
+    key = ["doc_id", "size", "text_crc32"]
+    repeated = stored(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > copies).drop("n"), "repeated")
+
+    def hashed(*parts: Column | str) -> Column:
+        return F.pmod(F.xxhash64(*parts), F.lit(slots)).cast("int").alias("virtual_slot")
+
+    if repeated.isEmpty():
+        return rows.select(*key, hashed("doc_id", "text_crc32"))
+    same = F.col("l.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("l.size") == F.col("r.size")) & (F.col("l.text_crc32") == F.col("r.text_crc32"))
+    few = rows.alias("l").join(small(repeated).alias("r"), same, "left_anti").select(*key, hashed("doc_id", "text_crc32"))
+    # A row's number: those of its kind in earlier parts of the table, and those before it in its own.
+    many = rows.alias("l").join(small(repeated).alias("r"), same, "left_semi").withColumn("part", F.shiftright("place", 33))
+    parts = many.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("n")).selectExpr(
+        *[f"{c} as r_{c}" for c in (*key, "part")], "sum(n) over (partition by doc_id, size, text_crc32 order by part) - n as before")
+    within = many.selectExpr(*key, "part", "row_number() over (partition by doc_id, size, text_crc32, part order by place) as own")
+    together = F.col("doc_id").eqNullSafe(F.col("r_doc_id")) & (F.col("size") == F.col("r_size")) & (
+        F.col("text_crc32") == F.col("r_text_crc32")) & (F.col("part") == F.col("r_part"))
+    numbered = within.join(parts, together)
+    return few.unionByName(numbered.select(*key, hashed("doc_id", "text_crc32", F.col("before") + F.col("own"))))
 
 
 def slot_sizes(records: DataFrame) -> dict[int, tuple[int, int]]:
@@ -117,13 +145,15 @@ def sharded(documents: DataFrame, n_shards: int = 24, slots: int = SLOTS, map_pa
     The law is ``bytes``: shards are as equal in bytes as whole slots allow.
     ``slot`` is the row's place in its shard, gapless from 0; ``grown_shard`` is
     null under this law.  A null text has 8 bytes and the checksum of no bytes;
-    a null id has a slot like any other; equal rows share a virtual slot and get
-    places of their own; texts of any length count whole and are never moved
-    here; other columns are not read; an empty table gives an empty result.
+    a null id has a slot like any other; equal rows get places of their own, and
+    the law holds however many there are: up to a few of them share a virtual
+    slot, more are spread over all slots; texts of any length count whole and are
+    never moved here; other columns are not read; an empty table gives an empty
+    result.
     """
     spark = documents.sparkSession
     path = map_path or scratch_path(spark, "slot-map")
-    records = slotted(documents, slots)
+    records = stored(slotted(documents, slots), "slotted")
     sizes = slot_sizes(records)
     first = SlotMap.dealt(n_shards, slots)
     first.save(spark, path)

@@ -110,7 +110,9 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, score`` per row of ``pages (page_id, url, html)``.
 
     ``score`` is the log odds of allow, and decides where no rule fits (0 allows);
-    without learnt pages it is 0.  A null URL or HTML is empty; null ids stay
+    without learnt pages it is 0.  Of a host only runs of ASCII letters are split
+    into words and scored, not its digits, hyphens and other letters; of a path
+    runs of letters, and of digits as one token.  A null URL or HTML is empty; null ids stay
     null; equal rows give equal results; texts of any length are read whole;
     other columns are not read; an empty table gives an empty result.
     """

@@ -134,3 +134,50 @@ def test_reordered_items(spark):
     assert {r.doc_id: r.item_ids for r in decontaminate.contaminated(df, bench).collect()} == want
     assert [want[k] for k in range(5)] == ["0"] * 5 and want[7] == ""
     assert {r.doc_id for r in decontaminate.clean(df, bench).collect()} == {d for d, ids in want.items() if not ids}
+
+
+def test_long_text_of_one_item(spark):
+    """A text of 200,000 words, one item over and over: its windows are cut from pieces and equal ones judged once."""
+    rng = random.Random(7)
+    item = [f"w{rng.randrange(10_000)}" for _ in range(40)]
+    other = [f"v{rng.randrange(10_000)}" for _ in range(25)]
+    long = item * 5000 + other[:24] + ["end"]
+    df = spark.createDataFrame([(1, " ".join(long), "s", "en", "r", 1, 2), (2, "quite other words " * 3000, "s", "en", "r", 1, 2)], DOCS)
+    bench = spark.createDataFrame([(0, " ".join(item)), (1, " ".join(other)), (2, " ".join(reversed(item)))], "item_id long, text string")
+    assert {r.doc_id: r.item_ids for r in decontaminate.contaminated(df, bench).collect()} == {1: "0,1", 2: ""}
+    found = decontaminate.leaks(df, bench).collect()
+    assert len([r for r in found if r.item_id == 0]) < 200  # of some 200,000 windows
+
+
+def test_reordered_items_against_sql(spark):
+    import duckdb
+    from foliospark.llm.oracle import ORACLE
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(400)}"
+    items = [(k, [word() for _ in range(rng.randrange(3, 60))]) for k in range(15)]
+    docs = []
+    for k in range(60):
+        copy = list(items[k % 15][1])
+        cut = rng.randrange(len(copy))
+        docs.append((k, [word() for _ in range(rng.randrange(30))] + copy[cut:] + copy[:cut] + [word() for _ in range(rng.randrange(30))]))
+    documents = spark.createDataFrame([(k, " ".join(w)) for k, w in docs], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id long, text string")
+    con = duckdb.connect()
+    tables = {"documents": documents.toPandas(), "benchmark": benchmark.toPandas()}
+    for name, rows in tables.items():
+        con.register(name, rows)
+    got = decontaminate.contaminated(documents, benchmark)
+    want = con.sql(ORACLE["op7_decontamination"]).select(*got.columns).fetchall()
+    assert sorted(map(tuple, got.collect())) == sorted(want) and sum(r[3] for r in want) > 20
+
+
+def test_redacted_by_either_way(spark, monkeypatch):
+    """Few live secrets are sent to the texts, many are joined with the texts that may hold one; the rows are the same."""
+    rows = [(k, t, f"s{k}", "en") for k, t in enumerate(ODD)] + [(None, ODD[2], None, None), (2, ODD[2], "s2", "en"), (2, ODD[2], "s2", "en")]
+    rows += [(30 + k, f"text {k} without any", "s", "en") for k in range(20)] + [(60, "copied password=changeme123", f"o{k}", "en") for k in range(4)]
+    df = spark.createDataFrame([(*r, "r", 1, 2) for r in rows], DOCS)
+    few = sorted(map(tuple, secrets.redacted(df).collect()), key=str)
+    monkeypatch.setattr(secrets, "is_small", lambda df: False)
+    assert sorted(map(tuple, secrets.redacted(df).collect()), key=str) == few and len(few) == len(rows)
+    assert {r[1] for r in few if r[0] == 60} == {"copied password=changeme123"} and any(secrets.MARK in (r[1] or "") for r in few)
+    assert secrets.redacted(df.limit(0)).count() == 0

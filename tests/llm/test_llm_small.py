@@ -88,6 +88,45 @@ def test_shards_of_odd_rows(spark, tmp_path):
     assert sharding.sharded(df.limit(0), 3, 64).count() == 0
 
 
+def test_law_holds_for_repeated_rows(spark):
+    """A third of all rows is one row: the shards stay as equal as whole slots allow."""
+    rows = [(None, "copy" * 25, "a", 1, "b")] * 2000 + [(k, "t" * (50 + k % 100), "a", 1, "b") for k in range(4000)] + [(7, "seven", "a", 1, "b")] * 70
+    got = sharding.sharded(spark.createDataFrame(rows, DOCS).repartition(7)).collect()
+    load, places = [0] * 24, [[] for _ in range(24)]
+    for r in got:
+        load[r.shard] += r.size
+        places[r.shard].append(r.slot)
+    assert len(got) == len(rows) and max(load) - min(load) <= max(r.size for r in got)
+    assert all(sorted(p) == list(range(len(p))) for p in places)
+    again = sharding.sharded(spark.createDataFrame(rows, DOCS).repartition(3)).collect()
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.size, r.virtual_slot, r.shard, r.slot)
+    assert sorted(map(key, got)) == sorted(map(key, again))
+
+
+def test_map_in_plain_python(spark, sf_dir):
+    """The stored map is what moving one slot at a time from the heaviest to the lightest shard gives."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = sharding.sharded(docs, 5, 64).collect()
+    weight = [sum(r.size for r in rows if r.virtual_slot == s) for s in range(64)]
+    place = [s % 5 for s in range(64)]
+    while True:
+        load = [sum(w for w, p in zip(weight, place) if p == shard) for shard in range(5)]
+        high, low = load.index(max(load)), load.index(min(load))
+        gap = load[high] - load[low]
+        mine = [s for s in range(64) if place[s] == high and weight[s]]
+        best = min(mine, key=lambda s: (abs(2 * weight[s] - gap), weight[s], s), default=None)
+        if best is not None and weight[best] < gap:
+            place[best] = low
+            continue
+        swaps = [(abs(2 * (weight[a] - weight[b]) - gap), a, b) for a in mine for b in range(64)
+                 if place[b] == low and weight[b] and 0 < weight[a] - weight[b] < gap]
+        if not swaps:
+            break
+        _, a, b = min(swaps)
+        place[a], place[b] = low, high
+    assert {(r.virtual_slot, r.shard) for r in rows} == {(s, p) for s, p in enumerate(place) if weight[s]}
+
+
 def test_rebalancing_moves_little():
     even = sharding.SlotMap.dealt(4, 400)
     assert even.rebalanced({s: 10 for s in range(400)}, 4).shards == even.shards
@@ -126,7 +165,26 @@ def test_pairs(spark):
 
 def test_answer_pairs(spark):
     turns = [(0, 0, "user", "a", 1), (0, 1, "assistant", "b", 1), (1, 0, "assistant", "c", 1), (1, 1, "user", "d", 1),
-             (2, 0, "user", None, 1), (4, 1, "assistant", "x", 1), (4, 1, "assistant", "x", 1), (None, None, None, None, 1)]
-    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string, turns int")
-    got = {r.pair_id: [t.text for t in r.rejected] for r in chat.answer_pairs(df).collect()}
-    assert got == {0: ["a", "c"], 1: ["b", "d"], 2: [None], 4: ["x", ""], None: [None]}
+             (2, 0, "user", None, 1), (4, 1, "assistant", "x", 1), (4, 1, "assistant", "x", 1)]
+    lone = [(None, None, None, None, 1), (None, 1, "assistant", "y", 1), (None, 1, "assistant", "y", 1), (None, 0, "user", "z", 1)]
+    df = spark.createDataFrame(turns + lone, "conv_id long, turn long, role string, text string, turns int")
+    rows = [(r.pair_id, [t.text for t in r.chosen], [t.text for t in r.rejected]) for r in chat.answer_pairs(df).collect()]
+    assert {i: r for i, _, r in rows if i is not None} == {0: ["a", "c"], 1: ["b", "d"], 2: [None], 4: ["x", ""]}
+    # Rows without a conversation are conversations of their own and nobody's neighbour.
+    assert sorted(((c, r) for i, c, r in rows if i is None), key=str) == sorted([([None], [None]), (["y"], [""]), (["y"], [""]), (["z"], ["z"])], key=str)
+    formed = [tuple(r) for r in chat.format_pairs(chat.answer_pairs(df.where("conv_id is null"))).collect()]
+    assert sum(r[3] != r[5] for r in formed) == 2
+    assert chat.answer_pairs(df.limit(0)).count() == 0
+
+
+def test_pairs_against_sql(spark):
+    import duckdb
+    from foliospark.llm.oracle import ORACLE
+    rng = random.Random(3)
+    turns = [(rng.choice([None, *range(12)]), t, rng.choice(["user", "assistant"]), f"text {rng.randrange(4)}") for t in range(120)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    conversations = df.toPandas().astype({"conv_id": "Int64"})  # noqa: F841
+    con.execute("create table conversations as select * from conversations")
+    got = chat.format_pairs(chat.answer_pairs(df))
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, con.sql(ORACLE["op1_chat"]).select(*got.columns).fetchall()))
