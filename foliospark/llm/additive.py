@@ -17,8 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from foliospark.llm.common import row_key, stored
-from foliospark.llm.statistics import FEATURES, described, held_out, training_rows
+from foliospark.llm.common import binary_values, stored
+from foliospark.llm.statistics import FEATURES, describe, described, held_out, sampled_rows, training_rows
 
 #: Most labelled rows a model is fitted on.
 SAMPLE = 20_000
@@ -139,30 +139,34 @@ def scored(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit:
     equal scores; texts count whole; other columns are not read; without labels
     every score is 0.5; an empty table gives an empty result.
     """
-    return _scored_rows(documents, labels, sample, limit).drop("row")
-
-
-def _scored_rows(documents: DataFrame, labels: DataFrame, sample: int, limit: float) -> DataFrame:
-    """The columns of ``scored`` and ``row``, which is ``row_key("doc_id", "text")``."""
-    stats = stored(described(documents).select("doc_id", "row", "features"), "features")
+    stats = stored(described(documents).select("doc_id", "features"), "features")
     model = AdditiveModel.fit(*training_rows(stats, labels, sample))
-    schema = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             p = model.score(_features(batch.column("features")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row"), batch.column("held_out"), pa.array(p), pa.array((p >= limit).astype(np.int32))], schema=schema)
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(p), pa.array((p >= limit).astype(np.int32))], schema=schema)
 
-    return stats.select("doc_id", "row", held_out().alias("held_out"), "features").mapInArrow(
-        run, "doc_id long, row long, held_out boolean, score double, predicted int")
+    return stats.select("doc_id", held_out().alias("held_out"), "features").mapInArrow(
+        run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def accepted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, limit: float = LIMIT) -> DataFrame:
     """The rows of ``documents``, all columns, that the model takes for label 1.
 
-    Each row is judged by its own text, also if its id is null or repeated.
+    Each row is judged by its own text, also if its id is null or repeated; a
+    null text is judged as an empty one; equal rows share their fate; texts count
+    whole; columns may have any names.  Without labels every score is 0.5 and
+    nothing stays at the limit set here; an empty table gives an empty result.
+    Texts are judged where they are read, without an exchange.
     """
-    at = "rejected_at" + "_" * max((len(c) for c in documents.columns), default=0)  # a name no column has
-    rejected = stored(_scored_rows(documents, labels, sample, limit).where("predicted = 0").select(F.col("row").alias(at)).distinct(), "rejected")
-    return documents.withColumn(at, row_key("doc_id", "text")).join(rejected, at, "left_anti").drop(at)
+    model = AdditiveModel.fit(*sampled_rows(documents, labels, sample))
+
+    @F.arrow_udf("boolean")
+    def good(text: pa.Array) -> pa.Array:
+        features = np.array([describe(t)[1] for t in binary_values(text)], np.float32).reshape(-1, len(FEATURES))
+        return pa.array(model.score(features) >= limit)
+
+    return documents.where(good(F.coalesce("text", F.lit("")).cast("binary")))

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foliospark.llm.common import binary_values, mixed, row_key
+from foliospark.llm.common import binary_values, mixed, row_key, small, stored
 from foliospark.llm.minhash import word_hashes
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -97,11 +97,31 @@ def training_rows(stats: DataFrame, labels: DataFrame, most: int) -> tuple[np.nd
     a hash of the id; their number is known first, so few more than ``most`` are
     ordered and sent.
     """
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(
-        F.max("quality").alias("quality"))
+    known = _known(labels)
     labelled = stats.select("doc_id", "features").join(known, "doc_id")
-    share = min(1.0, 1.2 * most / max(labelled.count(), 1))
-    chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    rows = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(most).select("features", "quality").toPandas()
+    return _first_rows(labelled.where(_chosen(labelled.count(), most)), most)
+
+
+def sampled_rows(documents: DataFrame, labels: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """What ``training_rows`` gives, from ``documents (doc_id, text)``: of all rows ids are read, of the chosen ones texts."""
+    known = _known(labels)
+    n = documents.select("doc_id").join(known, "doc_id").count()
+    chosen = stored(known.where(_chosen(n, most)), "labels")
+    stats = described(documents.select("doc_id", "text").join(small(chosen).select("doc_id"), "doc_id"))
+    return _first_rows(stats.select("doc_id", "features").join(small(chosen), "doc_id"), most)
+
+
+def _known(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).groupBy("doc_id").agg(
+        F.max("quality").alias("quality"))
+
+
+def _chosen(n: int, most: int) -> Column:
+    share = min(1.0, 1.2 * most / max(n, 1))
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+
+
+def _first_rows(labelled: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    rows = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(most).select("features", "quality").toPandas()
     x = np.array(rows["features"].tolist(), dtype=np.float32).reshape(-1, len(FEATURES))
     return x, rows["quality"].to_numpy(dtype=np.int64)

@@ -194,3 +194,182 @@ def test_host_words_in_no_title(spark):
     labels = spark.createDataFrame([("freewin",), ("winnet",)], "label string")
     assert {r.label: r.words for r in urls.segmented(labels, urls.unigrams(df)).collect()} == {"freewin": ["free", "win"], "winnet": ["win", "net"]}
     assert urls.judged(df).count() == 6
+
+
+def all_splits(word):
+    if not word:
+        yield []
+    for k in range(1, len(word) + 1):
+        for rest in all_splits(word[k:]):
+            yield [word[:k], *rest]
+
+
+def test_url_verdicts_in_plain_python(spark):
+    """Every split of a host's words is priced, and Bayes is counted by hand."""
+    rng = np.random.default_rng(12)
+    vocabulary = ["casino", "win", "free", "news", "paper", "art", "a", "cat"]
+    texts = [" ".join(rng.choice(vocabulary, rng.integers(3, 12))) for _ in range(60)]
+    ends = [".com/de/", ".com/fr/", ".org/", ".net/", ".info/x/"]
+    rows = [(k, f"http://{''.join(rng.choice(vocabulary, rng.integers(1, 3)))}{ends[k % 5]}{rng.choice(vocabulary)}{rng.integers(0, 3)}", f"<p>{t}</p>")
+            for k, t in enumerate(texts)]
+    rows += [(100, "http://xzq.net/7", None), (101, rows[3][1], "<p>cat</p>"), (102, None, "cat cat"), (3, rows[3][1], rows[3][2])]
+    counts = Counter(w for *_, h in rows for w in re.findall("[a-z]+", re.sub("<[^>]*>", " ", h or "")))
+    total = sum(counts.values())
+
+    def price(word):
+        known = np.log(counts[word] / total) if word in counts else -np.inf
+        return max(known, np.log(10 / total) - len(word) * np.log(10))
+
+    def tokens(host, path):
+        out = []
+        for label in re.findall("[a-z]+", host):
+            out += ["host:" + w for w in max(all_splits(label), key=lambda split: sum(map(price, split)))]
+        return out + ["path:" + ("#" if w.isdigit() else w) for w in re.findall("[a-z]+|[0-9]+", path)]
+
+    def said(host, path):
+        fit = [(len(t), v) for v, t in urls.RULES
+               if (host == t.split("/")[0] or host.endswith("." + t.split("/")[0])) and path.startswith(t[t.index("/"):])]
+        return max(fit)[1] if fit else None
+
+    pages = [(i, *plain(u)) for i, u, _ in rows]
+    held = [(i, tokens(h, p), said(h, p)) for i, h, p in pages]
+    seen = {v: Counter(t for _, ts, s in held if s == v for t in ts) for v in ("allow", "block")}
+    size = len({t for _, ts, _ in held for t in ts})
+    prior = np.log(sum(s == "allow" for *_, s in held) / sum(s == "block" for *_, s in held))
+    odds = lambda t: (np.log((seen["allow"][t] + 1) / (seen["allow"].total() + size))
+                      - np.log((seen["block"][t] + 1) / (seen["block"].total() + size)))
+    want = sorted((i, s or ("allow" if prior + sum(map(odds, ts)) >= 0 else "block"), round(prior + sum(map(odds, ts)), 4)) for i, ts, s in held)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert sorted((r.page_id, r.verdict, round(r.score, 4)) for r in urls.judged(df).collect()) == want
+    assert len({v for i, v, _ in want if i in {i for i, _, s in held if s is None}}) == 2  # both without a rule
+
+
+def test_additive_scores_in_plain_python(spark, sf_dir):
+    """Every row's score is the sum of one entry of each table."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    stats = statistics.described(docs).select("doc_id", "features")
+    model = additive.AdditiveModel.fit(*statistics.training_rows(stats, labels, additive.SAMPLE))
+    again = additive.AdditiveModel.fit(*statistics.sampled_rows(docs, labels, additive.SAMPLE))
+    place = lambda value, edges: sum(float(value) > e for e in edges)
+    got = {r.doc_id: r.score for r in additive.scored(docs, labels).collect()}
+    for r in docs.collect():
+        x = statistics.describe(np.frombuffer((r.text or "").encode(), np.uint8))[1]
+        total = model.base + sum(table[place(v, e)] for v, e, table in zip(x, model.edges, model.tables))
+        total += sum(table[place(x[a], model.coarse[a])][place(x[b], model.coarse[b])] for (a, b), table in zip(model.pairs, model.pair_tables))
+        assert np.isclose(got[r.doc_id], 1 / (1 + np.exp(-total)), atol=1e-9)
+    assert np.allclose(again.score(np.zeros((1, 17), np.float32)), model.score(np.zeros((1, 17), np.float32))) and again.pairs == model.pairs
+    assert {r.doc_id for r in additive.accepted(docs, labels).select("doc_id").collect()} == {i for i, p in got.items() if p >= additive.LIMIT}
+
+
+def test_forest_in_plain_python(spark, sf_dir):
+    """Paths are walked node by node, and every limit between two scores is tried."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    x, y = statistics.training_rows(statistics.described(docs).select("doc_id", "features"), labels, isolation.SAMPLE)
+    forest = isolation.fitted(x, y)
+
+    def anomaly(row):
+        total = 0.0
+        for feature, cut, child, depth in zip(forest.feature, forest.cut, forest.child, forest.depth):
+            node = 0
+            while feature[node] >= 0:
+                node = child[node][int(row[feature[node]] > cut[node])]
+            total += depth[node]
+        return 2.0 ** (-total / len(forest.feature) / forest.normal)
+
+    got = {r.doc_id: r for r in isolation.judged(docs, labels).collect()}
+    for r in docs.collect():
+        row = statistics.describe(np.frombuffer((r.text or "").encode(), np.uint8))[1]
+        assert np.isclose(got[r.doc_id].anomaly, anomaly(row), atol=1e-9)
+        assert got[r.doc_id].kept == (not got[r.doc_id].base_failed and got[r.doc_id].anomaly <= forest.limit)
+    half = (np.arange(len(y)) % 2 == 0) & (y == 1)
+    scores, good = np.array([anomaly(row) for row in x[~half]]), y[~half] == 1
+    gain = lambda limit: (scores[good] <= limit).mean() + (scores[~good] > limit).mean()
+    assert np.isclose(gain(forest.limit), max(gain(limit) for limit in scores))
+
+
+def test_pipeline_in_plain_python(spark, sf_dir):
+    """All five stages over the whole table, each written down again without Spark."""
+    import base64
+    import hashlib
+    from collections import defaultdict
+
+    import public_tokenizers
+    import tiktoken
+
+    from foliospark.llm import secrets
+    docs = [(r.doc_id, r.text or "", r.source, r.lang) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    model = additive.AdditiveModel.fit(*statistics.sampled_rows(
+        spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"), additive.SAMPLE))
+    features = np.array([statistics.describe(np.frombuffer(t.encode(), np.uint8))[1] for _, t, *_ in docs], np.float32)
+    docs = [d for d, p in zip(docs, model.score(features)) if p >= additive.LIMIT]
+
+    lower = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
+    grams = lambda w: [tuple(w[i:i + min(5, len(w))]) for i in range(len(w) - min(5, len(w)) + 1)] if w else []
+    sets = [set(grams(WORD.findall(lower(t)))) for _, t, *_ in docs]
+    group = list(range(len(docs)))
+    for a in range(len(docs)):
+        for b in range(a):
+            if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]) and group[a] != group[b]:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    first = {}
+    for (i, *_), g in zip(docs, group):
+        first[g] = min(first.get(g, i), i)
+    docs = [d for d, g, s in zip(docs, group, sets) if not s or d[0] == first[g]]
+
+    items = [Counter(grams(WORD.findall(lower(r.text or "")))) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    by_size = defaultdict(list)
+    for item in items:
+        if item:
+            by_size[item.total() + 4 if len(next(iter(item))) == 5 else len(next(iter(item)))].append(item)
+    known = {g for item in items for g in item}
+
+    def leaks(text):
+        words = WORD.findall(lower(text))
+        if not known & set(grams(words)):
+            return False  # all items have five words or more
+        for n, own in by_size.items():
+            for at in range(max(len(words) - n, 0) + 1):
+                window = Counter(grams(words[at:at + n]))
+                if any(100 * (window & item).total() >= 75 * (window | item).total() for item in own):
+                    return True
+        return False
+
+    assert min(by_size) >= 5
+    docs = [d for d in docs if not leaks(d[1])]
+
+    patterns = [re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A),
+                re.compile("AKIA[A-Z0-9]{16,}"), re.compile("[0-9a-f]{24,}"), re.compile("(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{24,}")]
+    found = []
+    for i, text, source, lang in docs:
+        base = [(m.start(), m.end(), m[2]) for m in patterns[0].finditer(text) if len(m[2]) >= 6]
+        base += [(m.start(), m.end(), m[0]) for p in patterns[1:3] for m in p.finditer(text)]
+        odd = [(m.start(), m.end(), m[0]) for m in patterns[3].finditer(text) if all(re.search(c, m[0]) for c in ("[0-9]", "[a-z]", "[A-Z]"))]
+        found.append(base + [o for o in odd if not any(b[0] < o[1] and o[0] < b[1] for b in base)])
+    holders = defaultdict(set)
+    for (_, _, source, lang), spans in zip(docs, found):
+        for *_, value in spans:
+            holders[value].add((source, lang))
+    copied = {v for v, h in holders.items() if len({s for s, _ in h}) >= secrets.OWNERS or len(h) >= secrets.REPOSITORIES}
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))}
+    tik = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = []
+    for (i, text, *_), spans in zip(docs, found):
+        out, at = "", 0
+        for a, b, value in sorted(s for s in spans if s[2] not in copied):
+            if a >= at:
+                out += text[at:a] + secrets.MARK
+            at = max(at, b)
+        out += text[at:]
+        ids = tik.encode_ordinary(out)
+        want.append((i, len(ids), hashlib.sha256(b"".join(x.to_bytes(4, "little") for x in ids)).hexdigest(), hashlib.sha256(out.encode()).hexdigest()))
+    got = [tuple(r)[:4] for r in corpus_pipeline.run(spark, sf_dir).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256").collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_empty_pipeline(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs.limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
