@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foliospark.llm.common import row_key, stored
+from foliospark.llm.common import is_small, row_key, stored
 
 # Fixed patterns, in the order in which kinds sort.
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -111,13 +111,26 @@ def scanned(documents: DataFrame, owner: str = "source", repository: tuple[str,
 def redacted(documents: DataFrame, owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """``documents`` with each live-looking secret of ``text`` replaced by a mark; copied examples stay.
 
-    Rows without one are unchanged; all columns are kept.
+    Rows without one are unchanged, a null or empty text among them; all columns
+    are kept, whatever their names, and ``text`` alone changes.  Texts are scanned
+    and rewritten whole, overlapping spans become one mark; equal rows are equal
+    afterwards and count as one holder; a null id makes no difference; an empty
+    table gives an empty result.  Few rows hold a secret: their spans are sent to
+    the texts, or, beyond a bound, only texts with a candidate are exchanged.
     """
     found = _judged(stored(candidates(documents, owner, repository), "candidates"))
-    live = found.select("row", F.array_sort(_live(F.concat("base", "more"))).alias("secrets")).where(F.size("secrets") > 0).dropDuplicates(["row"])
     at = "secrets_at" + "_" * max((len(c) for c in documents.columns), default=0)  # a name no column has
+    live = stored(found.select(F.col("row").alias(at), F.array_sort(_live(F.concat("base", "more"))).alias(at + "s"))
+                  .where(F.size(at + "s") > 0).dropDuplicates([at]), "live")
     keyed = documents.withColumn(at, row_key("doc_id", "text", owner, *repository))
-    joined = keyed.join(live.withColumnRenamed("row", at).withColumnRenamed("secrets", at + "s"), at, "left")
+    if is_small(live):
+        joined = keyed.join(F.broadcast(live), at, "left")
+    else:
+        some = F.lit(False)
+        for pattern in (ASSIGN, ACCESS, HEX, RANDOM):
+            some |= F.coalesce(F.col("text").rlike(pattern), F.lit(False))
+        plain = keyed.where(~some).withColumn(at + "s", F.lit(None).cast(live.schema[at + "s"].dataType))
+        joined = keyed.where(some).join(live, at, "left").unionByName(plain)
 
     def step(state: Column, span: Column) -> Column:
         gap = F.substring(F.col("text"), state["at"] + 1, span["start"] - state["at"])
