@@ -24,15 +24,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from foliospark.llm.common import binary_values, stored
+from foliospark.llm.common import binary_values, small, stored
 
 #: Bytes hashed and compared at a time; longer texts are cut into rows of this size.
 PIECE = 1 << 16
 PRIME, BASE = 2**61 - 1, 0x1B873593CC9E2D51 % (2**61 - 1)
 #: Bytes of texts a task holds while it folds candidates; what is beyond is folded later.
 HELD = 64 << 20
-#: Rows of the group tables that may be broadcast (under 150 bytes each); larger ones are left to Spark's own choice.
-BROADCAST_ROWS = 300_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -208,17 +206,12 @@ def _folded(in_order: bool, most: int = HELD) -> Callable[[Iterator[pa.RecordBat
     return run
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast if counted to be small, else as it is."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def equal_groups(documents: DataFrame, prints: DataFrame, prime: int = PRIME, held: int = HELD) -> DataFrame:
     """``print, size, sha, group_size`` of the texts whose fingerprint is not theirs alone, by comparison."""
     several = stored(prints.groupBy("print", "size").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "candidates")
     texts = documents.select("doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("bytes")).mapInArrow(
         _text_rows(prime, keep=True), _TEXT_DDL)
-    candidates = texts.join(_small(several), ["print", "size"]).select("print", "size", "sha", F.lit(1).cast("long").alias("times"), "body")
+    candidates = texts.join(small(several), ["print", "size"]).select("print", "size", "sha", F.lit(1).cast("long").alias("times"), "body")
     folded = candidates.mapInArrow(_folded(in_order=False, most=held), _GROUP_DDL)
     ordered = folded.repartition("print", "size").sortWithinPartitions("print", "size")
     return ordered.mapInArrow(_folded(in_order=True), _GROUP_DDL).select("print", "size", "sha", F.col("times").alias("group_size"))
@@ -240,10 +233,10 @@ def exact_groups(documents: DataFrame, longest: int = PIECE, prime: int = PRIME,
     sizes = stored(equal_groups(documents, rows, prime, held), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place")).alias("first")
     groups = stored(
-        rows.join(_small(sizes), key).groupBy(*key).agg(first, F.first("group_size").alias("group_size"))
+        rows.join(small(sizes), key).groupBy(*key).agg(first, F.first("group_size").alias("group_size"))
         .select(*key, "group_size", F.col("first.doc_id").alias("keep_id"), F.col("first.place").alias("stays")), "kept",
     )
-    return rows.join(_small(groups), key, "left").select(
+    return rows.join(small(groups), key, "left").select(
         "doc_id", F.when(F.col("stays").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("stays") == F.col("place"), F.lit(True)).alias("kept"),

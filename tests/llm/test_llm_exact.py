@@ -75,7 +75,7 @@ def test_held_texts_are_bounded(spark):
 
 
 def test_without_broadcast_and_empty(spark, monkeypatch):
-    monkeypatch.setattr(exact_dedup, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(exact_dedup, "small", lambda df: df)
     check(spark, rows_of(random.Random(6)))
     assert exact_dedup.exact_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
