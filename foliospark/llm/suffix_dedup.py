@@ -7,9 +7,12 @@ buckets at ``i`` and ``i + 100``, and every level is reused by the next.  Two
 strings share a name if they are equal (names have 64 bits; a clash of
 different strings is as likely as one of two random 64-bit numbers).
 
-Sorting all positions of a corpus would shuffle many times its size.  What is
-shuffled instead are *anchors*: in each 200-byte window, the 100-gram with the
-smallest bucket.  Equal windows have equal anchors, so:
+Sorting all positions of a corpus by their buckets would shuffle many times its
+size: 16 bytes a position and level.  Names are hashes instead of ranks, so a
+level is refined inside each text without a sort, and *anchors* stand for the
+passes that would order all positions and let those alone in their bucket go: in
+each 200-byte window, the 100-gram with the smallest bucket.  Equal windows have
+equal anchors, so:
 
 1. ``anchors`` counts the anchors' 100-gram buckets; most occur once and are done.
 2. Of the others the bucket of everything around them that a window can reach
