@@ -13,29 +13,29 @@ components, and buckets that then hold a single component are done.  The rest
 is compared with another of its nodes, as long as that helps.
 
 What is left are mostly documents around one passage or one text that are not
-near enough to each other.  Their buckets are joined to clusters, and most
-pairs are ruled out without being made.  With C the shingles that more than half
-of a cluster has, a set has ``p`` shingles outside C and lacks ``m`` of C.  Two
-sets at the limit either share one of their rarest shingles outside C, or
-differ by at least ``p1 + p2 + |m1 - m2|``, which the limit bounds.  Either way
-no pair at the limit that meets in a bucket is left out.
+near enough to each other.  Their buckets are joined to clusters, where pairs
+are ruled out without being made (``_across``).  No pair at the limit that meets
+in a bucket is left out.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foliospark.llm.common import Rows, binary_values, mixed, paired, row_key, stored
+from foliospark.llm.common import binary_values, discarded, mixed, paired, row_key, small, stored
 
 WORDS, PERCENT = 5, 75
 MINIMA, BAND, BITS = 128, 4, 2
 #: Comparing with further nodes ends when a bucket's members would take this many comparisons each, or fewer.
 FEW = 48
+#: Longs that hold a set's odd shingles as bits, a power of two.
+LONGS = 32
 #: Most turns of comparing with one node of each bucket; what is left then goes on to clusters.
 ROUNDS = 8
 
@@ -182,86 +182,186 @@ def components(edges: DataFrame) -> DataFrame:
     both = stored(both.where("a != b").distinct(), "edges")
     label = stored(both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("component")), "labels")
     while True:
-        near = both.join(label.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(
+        names = small(label).select("node", "component")
+        near = both.join(names.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(
             F.min("component").alias("near"))
-        low = label.join(near, "node").select("node", F.least("component", "near").alias("low"), "component")
-        own = label.select(F.col("node").alias("low"), F.col("component").alias("next"))
+        low = names.join(near, "node").select("node", F.least("component", "near").alias("low"), "component")
+        own = names.select(F.col("node").alias("low"), F.col("component").alias("next"))
         after = stored(low.join(own, "low", "left").select(
             "node", F.least("low", "next").alias("component"),
             (F.least("low", "next") < F.col("component")).alias("moved"),
         ), "labels")
-        label = after.select("node", "component")
-        if after.where("moved").isEmpty():
+        still = after.where("moved").isEmpty()
+        discarded(label)
+        label = after
+        if still:
+            discarded(both)
             return label
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Those ``pairs (a, b)`` whose full shingle sets reach the limit."""
-    packed = sets.select("node", "packed")
-    likely = (
-        pairs.join(packed.select(F.col("node").alias("a"), F.col("packed").alias("pa")), "a")
-        .join(packed.select(F.col("node").alias("b"), F.col("packed").alias("pb")), "b")
-        .where(estimated("pa", "pb") >= least_estimate(percent)).select("a", "b")
+def _confirmed(pairs: DataFrame, packs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Those of the stored ``pairs (node, hub)`` whose full shingle sets reach the limit; few nodes are hubs."""
+    packed = small(packs).select("node", "packed")
+    likely = stored(
+        pairs.join(packed.withColumnRenamed("packed", "mine"), "node")
+        .join(packed.select(F.col("node").alias("hub"), F.col("packed").alias("theirs")), "hub")
+        .where(estimated("mine", "theirs") >= least_estimate(percent)).select("node", "hub"), "likely",
     )
-    left = full.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-    right = full.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-    common = F.size(F.array_intersect("left", "right"))
-    sized = likely.join(left, "a").join(right, "b").select(
-        "a", "b", common.alias("common"), (F.size("left") + F.size("right") - common).alias("joint"))
-    return sized.where(F.col("common") * 100 >= F.col("joint") * percent).select("a", "b").distinct()
-
-
-def _across(rest: DataFrame, sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``a, b`` of different components in the buckets of ``rest (bucket, node, component)`` that may reach the limit."""
-    low = rest.groupBy("bucket").agg(F.min("node").alias("cluster"))
-    members = stored(rest.join(low, "bucket").select("cluster", "node", "component").distinct(), "clusters")
-    each = members.join(full, "node").select("cluster", "node", F.explode("shingles").alias("shingle"))
-    often = each.groupBy("cluster", "shingle").agg(F.count(F.lit(1)).alias("n"))
-    half = members.groupBy("cluster").agg((F.count(F.lit(1)) / 2).alias("half"))
-    often = stored(often.join(half, "cluster").withColumn("shared", F.col("n") > F.col("half")).drop("half"), "shingles")
-    core = often.groupBy("cluster").agg(F.count_if("shared").alias("core"))
-    sizes = each.join(often, ["cluster", "shingle"]).groupBy("cluster", "node").agg(
-        F.count(F.lit(1)).alias("size"), F.count_if("shared").alias("held"),
-        F.sort_array(F.collect_list(F.when(~F.col("shared"), F.struct("n", "shingle")))).alias("rare"),
-    )
-    # Of the rarest shingles one more than a set at the limit can lack is enough.
-    most = (F.col("size") - F.ceil(F.col("size") * percent / 100) + 1).cast("int")
-    known = stored(
-        members.join(sizes, ["cluster", "node"]).join(core, "cluster").join(sets.select("node", "packed"), "node").select(
-            "cluster", "node", "component", "packed", "size", (F.col("size") - F.col("held")).alias("own"),
-            (F.col("core") - F.col("held")).alias("lack"), F.transform(F.slice("rare", F.lit(1), most), lambda x: x["shingle"]).alias("rare"),
-        ), "profiles",
-    )
-    likely = estimated("one.packed", "two.packed") >= least_estimate(percent)
-    apart = (F.col("one.node") < F.col("two.node")) & (F.col("one.component") != F.col("two.component"))
-    # Both conditions are part of the joins: what they rule out is never a row.
-    rare = known.select("cluster", F.explode("rare").alias("shingle"), "node", "component", "packed")
-    first = rare.alias("one").join(rare.alias("two"), (F.col("one.cluster") == F.col("two.cluster"))
-                                   & (F.col("one.shingle") == F.col("two.shingle")) & apart & likely)
-    near = known.where(F.col("own") * percent <= F.col("size") * (100 - percent)).drop("rare")
-    differ = F.col("one.own") + F.col("two.own") + F.abs(F.col("one.lack") - F.col("two.lack"))
-    second = near.alias("one").join(near.alias("two"), (F.col("one.cluster") == F.col("two.cluster")) & apart & likely & (
-        differ * (100 + percent) <= (F.col("one.size") + F.col("two.size")) * (100 - percent)))
-    ends = [F.col("one.node").alias("a"), F.col("two.node").alias("b")]
-    return first.select(*ends).union(second.select(*ends)).distinct()
+    wanted = stored(likely.select(F.col("hub").alias("node")).distinct(), "hubs")
+    hubs = stored(full.join(small(wanted), "node").select(F.col("node").alias("hub"), F.col("shingles").alias("others")), "hubs")
+    common = F.size(F.array_intersect("shingles", "others"))
+    sized = full.join(small(likely), "node").join(small(hubs), "hub").select(
+        "node", "hub", common.alias("common"), (F.size("shingles") + F.size("others") - common).alias("joint"))
+    found = stored(sized.where(F.col("common") * 100 >= F.col("joint") * percent).select(
+        F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")), "links")
+    discarded(likely, wanted, hubs)
+    return found
 
 
 def _labelled(members: DataFrame, label: DataFrame) -> DataFrame:
-    return members.select("bucket", "node").join(label, "node", "left").select(
-        "bucket", "node", F.coalesce("component", "node").alias("component"))
+    """``members`` with the components of their nodes; a node without a link is its own."""
+    return members.drop("component").join(small(label).select("node", "component"), "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _open(members: DataFrame, turn: int) -> DataFrame:
+    """``bucket, n, hub, hub_component`` of the buckets that hold several components; one pass over ``members``.
+
+    The hub is the node all others of a bucket are compared with; the order is the same everywhere, so pairs recur.
+    """
+    hub = F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(turn)))
+    found = members.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"), hub.alias("m")).where("low < high")
+    return stored(found.select("bucket", "n", F.col("m.node").alias("hub"), F.col("m.component").alias("hub_component")), "open")
 
 
-def _work(members: DataFrame) -> float:
-    """Comparisons a member would take if buckets were paired out."""
-    size = members.groupBy("bucket").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    found = size.agg(F.sum(F.col("n") * F.col("n")).alias("pairs"), F.sum("n").alias("rows")).first()
+def _work(groups: DataFrame) -> float:
+    """Comparisons a member would take if the buckets were paired out."""
+    n = F.col("n").cast("double")
+    found = groups.agg(F.sum(n * n).alias("pairs"), F.sum(n).alias("rows")).first()
     return found.pairs / found.rows if found.rows else 0.0
 
 
-def _unsettled(members: DataFrame) -> DataFrame:
-    """The members of buckets that hold more than one component."""
-    several = members.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    return members.join(several.select("bucket"), "bucket")
+class _Links:
+    """The links found so far and the components they make."""
+
+    def __init__(self, packs: DataFrame, full: DataFrame, percent: int):
+        self.packs, self.full, self.percent = packs, full, percent  # of nodes that share a bucket
+        self.links: list[DataFrame] = []
+        self.label: DataFrame | None = None
+
+    def add(self, links: DataFrame) -> None:
+        self.links.append(links)
+        old, self.label = self.label, components(reduce(DataFrame.union, self.links))
+        if old is not None:
+            discarded(old)
+
+    def compared(self, members: DataFrame, groups: DataFrame, least_turns: int) -> tuple[DataFrame, DataFrame, float]:
+        """Compare the nodes of each bucket of ``members (bucket, node, component, ..)`` with its hub, turn by turn.
+
+        Ends when a member's bucket would take few comparisons or the last turn
+        did not help.  Gives the members of buckets that still hold several
+        components, those buckets, and the comparisons left.
+        """
+        rest, work = members, None if least_turns else _work(groups)
+        for turn in range(ROUNDS):
+            if turn >= least_turns and work <= FEW:
+                break
+            pairs = stored(rest.join(small(groups), "bucket").where("component != hub_component").select("node", "hub").distinct(), "pairs")
+            self.add(_confirmed(pairs, self.packs, self.full, self.percent))
+            labelled = _labelled(rest, self.label)
+            after = _open(labelled, turn + 1)
+            left = stored(labelled.join(small(after).select("bucket"), "bucket"), "unsettled")
+            discarded(pairs, groups, rest)
+            groups, rest = after, left
+            before, work = work, _work(groups)
+            if not work or before is not None and work > 0.8 * before:
+                break
+        return rest, groups, work
+
+
+def _across(rest: DataFrame, groups: DataFrame, found: _Links) -> None:
+    """Find all links between different components in the buckets of ``rest (bucket, node, component)``.
+
+    Buckets with one hub make a cluster.  A set differs from the
+    cluster's core (that node's set, corrected by what most members have
+    otherwise) by ``r`` shingles, own ones and lacking ones, its *odd* shingles.
+    With sizes ``n`` and the limit in percent ``p``, two sets are linked if and
+    only if they differ by ``d`` with ``(100 + p) * d <= (100 - p) * (n1 + n2)``.
+
+    1. They differ by ``r1 + r2`` at most, so their slacks ``(100 - p) * n -
+       (100 + p) * r`` decide: with a sum of 0 or more they are linked.  Whoever
+       has such a partner has one in the cluster's set of greatest slack.
+    2. All other linked pairs differ by less than ``r1 + r2``, so they share an
+       odd shingle.  As they differ by ``n1 * (100 - p) / p`` at most, they share
+       one among the first ``n * (100 - p) / p + 1`` of either's odd shingles in
+       one order, here the rarest first.  Shingles that one set alone has odd
+       take their places there and lead to no pair.  Groups of equal odd
+       shingles are compared with one of their nodes as buckets are; of the rest
+       a pair is made if its difference, bounded by the odd shingles as bits, can
+       be within the limit, and confirmed on the full sets.
+    """
+    p, full = found.percent, found.full
+    members = stored(rest.join(small(groups), "bucket").select(F.col("hub").alias("cluster"), "node", "component").distinct(), "clusters")
+    number = stored(members.groupBy("cluster").agg(F.count(F.lit(1)).alias("members")), "sizes")
+    cores = stored(full.join(small(number).select(F.col("cluster").alias("node")), "node").select(
+        F.col("node").alias("cluster"), F.col("shingles").alias("core")), "cores")
+    odd = stored(full.join(small(members), "node").join(small(cores), "cluster").select(
+        "cluster", "node", "component", F.size("shingles").alias("size"),
+        F.concat(F.array_except("shingles", "core"), F.array_except("core", "shingles")).alias("odd")), "odd")
+    each = odd.select("cluster", "node", F.explode("odd").alias("shingle"))
+    often = stored(each.groupBy("cluster", "shingle").agg(F.count(F.lit(1)).alias("n")).where("n > 1").join(small(number), "cluster").select(
+        "cluster", "shingle", "n", (2 * F.col("n") > F.col("members")).alias("most")), "often")
+    # What more than half of the members have odd belongs to the core, and is odd in the others.
+    turned = stored(often.where("most").groupBy("cluster").agg(F.sort_array(F.collect_list("shingle")).alias("turned")), "turned")
+    entry = F.struct("n", "shingle")
+    held = each.join(small(often), ["cluster", "shingle"]).groupBy("cluster", "node").agg(
+        F.sort_array(F.collect_list(F.when(~F.col("most"), entry))).alias("rare"), F.collect_list(F.when(F.col("most"), F.col("shingle"))).alias("mine"))
+    known = odd.join(held, ["cluster", "node"], "left").join(small(turned), "cluster", "left")
+    none = F.array().cast("array<bigint>")
+    rare = F.transform(F.coalesce("rare", F.array().cast("array<struct<n:bigint,shingle:bigint>>")), lambda x: x["shingle"])
+    # Any one order of the shingles is right; rare ones first makes few meet.
+    listed = F.concat(rare, F.array_except(F.coalesce("turned", none), F.coalesce("mine", none)))
+    seen = F.coalesce(F.size("rare"), F.lit(0)) + F.coalesce(F.size("mine"), F.lit(0))
+    profiles = known.select("cluster", "node", "component", "size", (F.size("odd") - seen).alias("alone"), listed.alias("listed"))
+    slack = (100 - p) * F.col("size") - (100 + p) * (F.col("alone") + F.size("listed"))
+    profiles = stored(profiles.withColumn("slack", slack), "profiles")
+    discarded(members, number, cores, odd, often, turned)
+    top = stored(profiles.groupBy("cluster").agg(F.max("slack").alias("best"), F.max_by("node", "slack").alias("hub")), "tops")
+    sure = profiles.join(small(top), "cluster").where((F.col("slack") + F.col("best") >= 0) & (F.col("node") != F.col("hub")))
+    found.add(stored(sure.select(F.col("node").alias("a"), F.col("hub").alias("b")), "links"))
+    labelled = _labelled(profiles, found.label)
+    several = labelled.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    left = stored(labelled.join(stored(several.select("cluster"), "several"), "cluster"), "unsettled")
+    first = F.floor(F.col("size") * (100 - p) / p).cast("int") + 1 - F.col("alone")
+    entry = stored(left.where(first > 0).select("cluster", "node", "component", F.explode(F.slice("listed", F.lit(1), first)).alias("shingle")).select(
+        F.xxhash64("cluster", "shingle").alias("bucket"), "cluster", "node", "component"), "entries")
+    begun = _open(entry, 0)
+    paired_out, groups, _ = found.compared(stored(entry.join(small(begun).select("bucket"), "bucket"), "entries"), begun, 0)
+    # A set's odd shingles as bits: two share at most the bits they share and what the set with fewer clashes has in excess.
+    known = left.select("cluster", "node", "size", "alone", F.size("listed").alias("odd"), _bits("listed").alias("bits"))
+    known = known.withColumn("excess", F.col("odd") - _ones(F.col("bits")))
+    side = stored(paired_out.join(known, ["cluster", "node"]), "sides")
+    one, two = (lambda c: F.col(f"one.{c}")), (lambda c: F.col(f"two.{c}"))
+    shared = sum((F.bit_count(F.get(one("bits"), F.lit(k)).bitwiseAND(F.get(two("bits"), F.lit(k)))) for k in range(LONGS)),
+                 F.least(one("excess"), two("excess")))
+    least = one("alone") + two("alone") + one("odd") + two("odd") - 2 * F.least(shared, one("odd"), two("odd"))
+    # The bound is part of the join: what it rules out is never a row.
+    pairs = side.alias("one").join(side.alias("two"), (one("bucket") == two("bucket")) & (one("cluster") == two("cluster"))
+                                   & (one("component") < two("component")) & (least * (100 + p) <= (one("size") + two("size")) * (100 - p)))
+    likely = stored(pairs.select(one("node").alias("node"), two("node").alias("hub")).distinct(), "pairs")
+    found.add(_confirmed(likely, found.packs, found.full, p))
+    discarded(profiles, top, left, entry, paired_out, groups, side, likely)
+
+
+def _bits(names: str) -> Column:
+    """Some 64-bit names as one bit each of ``LONGS`` longs."""
+    return F.transform(F.sequence(F.lit(0), F.lit(LONGS - 1)), lambda k: F.aggregate(
+        F.filter(names, lambda x: x.bitwiseAND(F.lit(LONGS - 1).cast("long")) == k), F.lit(0).cast("long"),
+        lambda acc, x: acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(x, 8).bitwiseAND(F.lit(63).cast("long")).cast("int")))))
+
+
+def _ones(bits: Column) -> Column:
+    return F.aggregate(bits, F.lit(0), lambda acc, x: acc + F.bit_count(x))
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -276,45 +376,39 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     columns are not read; an empty table gives an empty result.
     """
     documents = documents.select("doc_id", "text")
-    rows = stored(signatures(documents), "signatures")
-    sets = stored(
-        rows.where("n_shingles > 0").groupBy("digest").agg(
+    signed = stored(signatures(documents), "signatures")
+    wide = stored(
+        signed.where("n_shingles > 0").groupBy("digest").agg(
             F.min("doc_id").alias("least"), F.min("row").alias("row"),
             F.first("bands").alias("bands"), F.first("packed").alias("packed"),
         ).withColumn("node", F.coalesce("least", -F.abs(F.xxhash64("digest").bitwiseAND(F.lit(2**62 - 1))) - 2**62)), "nodes",
     )
-    buckets = sets.select("node", F.explode("bands").alias("bucket"))
-    first = buckets.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    members = stored(buckets.join(first.select("bucket"), "bucket"), "members")
+    # What is needed to the end is kept without signatures.
+    rows = stored(signed.select("doc_id", "n_shingles", "digest"), "rows")
+    sets = stored(wide.select("digest", "node", "least"), "sets")
+    discarded(signed)
+    buckets = wide.select("node", F.explode("bands").alias("bucket"))
+    # A set is in a bucket once, so buckets of one are done; the smallest node is the first hub.
+    shared = stored(buckets.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").withColumn(
+        "hub_component", F.col("hub")), "shared")
+    members = stored(buckets.join(small(shared).select("bucket"), "bucket").withColumn("component", F.col("node")), "members")
+    some = stored(members.select("node").distinct(), "some")
+    wanted = stored(wide.select("node", "row", "packed").join(small(some), "node"), "wanted")
+    discarded(wide)
     texts = documents.select(row_key("doc_id", "text").alias("row"), F.col("text").cast("binary").alias("bytes"))
-    full = stored(
-        sets.select("node", "row").join(members.select("node").distinct(), "node").join(texts, "row")
-        .dropDuplicates(["row"]).select("node", "bytes").mapInArrow(_set_rows, "node long, shingles array<long>"), "sets",
-    )
-    links = label = None
-    rest, work = members.withColumn("component", F.col("node")), None
-    for turn in range(ROUNDS):
-        # The node all others of a bucket are compared with; the same order everywhere, so pairs recur.
-        order = F.xxhash64("node", F.lit(turn)) if turn else F.col("node")
-        middle = rest.groupBy("bucket").agg(F.min_by(F.struct("node", "component"), order).alias("m"))
-        pairs = rest.join(middle, "bucket").where(F.col("component") != F.col("m.component")).select(
-            F.least("node", "m.node").alias("a"), F.greatest("node", "m.node").alias("b")).distinct()
-        new = stored(_confirmed(pairs, sets, full, percent), "links")
-        links = new if links is None else links.union(new)
-        label = components(links)
-        rest = stored(_unsettled(_labelled(members, label)), "unsettled")
-        before, work = work, _work(rest)
-        if work <= FEW or before is not None and work > 0.8 * before:
-            break
+    full = stored(texts.join(small(wanted).select("node", "row"), "row").dropDuplicates(["row"]).select("node", "bytes").mapInArrow(
+        _set_rows, "node long, shingles array<long>"), "sets")
+    found = _Links(wanted, full, percent)
+    rest, groups, work = found.compared(members, shared, 1)
     if work:
-        more = stored(_confirmed(_across(rest, sets, full, percent), sets, full, percent), "links")
-        label = components(links.union(more))
-    known = sets.select("digest", "node", "least").join(label, "node", "left").select(
+        _across(rest, groups, found)
+    known = sets.select("digest", "node", "least").join(small(found.label).select("node", "component"), "node", "left").select(
         "digest", "least", F.coalesce("component", "node").alias("component"))
     smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = known.join(smallest, "component").select("digest", "component_id")
-    return rows.select("doc_id", "n_shingles", "digest").join(
-        found.withColumn("linked", F.lit(True)), "digest", "left"
+    named = stored(known.join(smallest, "component").select("digest", "component_id"), "components")
+    discarded(groups, some, wanted, full, sets, rest, found.label, *found.links)
+    return rows.join(
+        named.withColumn("linked", F.lit(True)), "digest", "left"
     ).select(
         "doc_id", "n_shingles", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
