@@ -51,7 +51,7 @@ class Vocabulary:
         key = left << 32 | right
         found = self.pairs.get(key)
         if found is None:
-            if len(self.pairs) > 2_000_000:  # a cache only
+            if len(self.pairs) > 600_000:  # a cache only
                 self.pairs.clear()
             found = self.pairs[key] = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
         return found
@@ -109,7 +109,7 @@ class PrefixTable:
 class Encoder:
     """Whole texts: each match of the pattern is a piece; repeated pieces come from a bounded cache."""
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, cache: int = 1_200_000):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, cache: int = 400_000):
         self.vocabulary, self.pattern, self.cache = vocabulary, regex.compile(pattern), cache
         self._known: dict[str, bytes] = {}
 
