@@ -10,14 +10,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from foliospark.llm import additive, bpe, decontaminate, minhash, secrets
-from foliospark.llm.common import row_key, stored
+from foliospark.llm.common import discarded, row_key, small, stored
 
 #: A byte that belongs to a word.
 NO_GAP = r"[^\x20\x09-\x0D]"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go; see ``additive.accepted`` for null, empty and repeated rows."""
     return additive.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
@@ -26,23 +26,28 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows are told apart by id and text, so texts that share an id or have none
     are judged each on its own.  Equal rows are one document; a null or wordless
-    text is linked with nothing and stays.
+    text is linked with nothing and stays.  What goes is decided on keys alone,
+    and texts are joined with the keys to drop once.
     """
     at = "dedup_at" + "_" * max((len(c) for c in docs.columns), default=0)  # a name no column has
     keyed = docs.withColumn(at, row_key("doc_id", "text"))
     worded = keyed.where(F.coalesce("text", F.lit("")).rlike(NO_GAP))
+    rows = worded.groupBy("doc_id", at).agg(F.count(F.lit(1)).alias("times"))
     # Under the key as its id, a row shares links with equal rows only.
     groups = minhash.near_duplicates(worded.select(F.col(at).alias("doc_id"), "text")).select(F.col("doc_id").alias(at), "component_id")
+    told = stored(rows.join(groups.distinct(), at), "groups")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", at)).alias("first")
-    kept = worded.select("doc_id", at).distinct().join(groups.distinct(), at).groupBy("component_id").agg(first)
-    kept = stored(kept.select(F.col(f"first.{at}").alias(at)), "kept")
-    one_each = worded.join(kept, at, "left_semi").dropDuplicates([at])
-    wordless = keyed.where(~F.coalesce("text", F.lit("")).rlike(NO_GAP))
-    return wordless.unionByName(one_each).drop(at)
+    stays = told.groupBy("component_id").agg(first).select(F.col(f"first.{at}").alias(at))
+    dropped = stored(told.select(at).join(stays, at, "left_anti"), "dropped")
+    repeated = stored(told.where("times > 1").select(at).join(stays, at, "left_semi"), "repeated")
+    out = keyed.join(small(dropped), at, "left_anti")
+    if not repeated.isEmpty():
+        out = out.join(small(repeated), at, "left_anti").unionByName(out.join(small(repeated), at, "left_semi").dropDuplicates([at]))
+    return out.drop(at)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go; see ``decontaminate.clean`` for null, empty and repeated rows."""
     return decontaminate.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
@@ -52,6 +57,12 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, one row each: ``doc_id`` and the digests of ``bpe.encoded``.
+
+    A null or empty text has no tokens, a null id stays null, equal rows have
+    equal results, long texts are encoded whole, further columns go, and an
+    empty table gives an empty result.
+    """
     return bpe.encoded(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
@@ -60,12 +71,13 @@ STAGES = [
     ("secret_scan", secret_scan), ("encoding", encoding),
 ]
 
-#: A fitted model, signatures and BPE are beyond SQL; tests compare each stage with a brute-force version.
+#: A fitted model, signatures and BPE are beyond SQL; a test compares all rows of a small table with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        before, docs = docs, stored(stage(spark, docs, sf_dir), name)
+        discarded(before)
     return STAGES[-1][1](spark, docs, sf_dir)
