@@ -13,12 +13,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 from foliospark.llm.common import stored
-from foliospark.llm.statistics import COUNTS, FEATURES, described, training_rows
+from foliospark.llm.statistics import COUNTS, FEATURES, described, labelled_rows, numbered
 
-#: Most labelled rows the forest and its limit are fitted on.
+#: Rows that ``fitted`` is meant for, the plain form on rows that are at hand; ``judged`` fits on all labelled rows.
 SAMPLE = 20_000
 TREES, ROWS, DEPTH = 200, 512, 11
 LEAST_WORDS, MOST_REPEATED = 50, 50
@@ -42,11 +42,12 @@ class IsolationForest:
     limit: float = 1.0
 
     @classmethod
-    def fit(cls, x: np.ndarray, seed: int = 9) -> IsolationForest:
+    def fit(cls, x: np.ndarray, seed: int = 9, dealt: bool = False) -> IsolationForest:
+        """Each tree draws ``ROWS`` of the rows, or takes its own of ``TREES * ROWS`` rows that are ``dealt``."""
         rng = np.random.default_rng(seed)
         rows = min(ROWS, len(x))
         trees = []
-        for _ in range(TREES):
+        for tree in range(TREES):
             feature, cut, child, depth = [], [], [], []
 
             def grow(part: np.ndarray, level: int) -> int:
@@ -64,7 +65,7 @@ class IsolationForest:
                     child[at] = grow(part[~right], level + 1), grow(part[right], level + 1)
                 return at
 
-            grow(x[rng.choice(len(x), rows, replace=False)] if rows else x, 0)
+            grow(x[tree::TREES] if dealt else x[rng.choice(len(x), rows, replace=False)] if rows else x, 0)
             trees.append((feature, cut, child, depth))
         size = max(len(t[0]) for t in trees)
 
@@ -112,7 +113,53 @@ def fitted(x: np.ndarray, y: np.ndarray) -> IsolationForest:
     return forest
 
 
-def judged(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def _features(column: pa.Array) -> np.ndarray:
+    return np.asarray(column.flatten(), dtype=np.float32).reshape(-1, len(FEATURES))
+
+
+def fitted_on(stats: DataFrame, labels: DataFrame) -> IsolationForest:
+    """What ``fitted`` gives, from every labelled row that is not held out.
+
+    A tree takes ``ROWS`` rows by its method, so the forest's rows fit on the
+    driver: with more good rows than all trees take, those are drawn from all of
+    them.  The limit is found among the scores of all other labelled rows.
+    """
+    rows = labelled_rows(stats, labels)
+    half = (F.col("place") % 2 == 0) & (F.col("quality") == 1)
+    good, most = rows.where(half), TREES * ROWS
+    dealt = good.count() > most
+    order = F.xxhash64("place", F.lit(9)) if dealt else F.col("place")
+    x = good.orderBy(order, "place").limit(most).select("features").toArrow().column("features").combine_chunks()
+    forest = IsolationForest.fit(_features(x), dealt=dealt)
+    forest.limit = _limit(rows.where(~half), forest)
+    return forest
+
+
+def _limit(rows: DataFrame, forest: IsolationForest) -> float:
+    """The limit ``calibrate`` sets, from the scores of ``rows (features, quality)``: running counts over ranges of scores."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(forest.score(_features(batch.column("features")))), batch.column("good")], names=["score", "good"])
+
+    scored = rows.select("features", (F.col("quality") == 1).alias("good")).mapInArrow(run, "score double, good boolean")
+    each = scored.groupBy("score").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    each = stored(numbered(each, [F.col("score")], "scores"), "scores")
+    parts = sorted(each.groupBy("part").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.max("score").alias("high")).collect(), key=lambda r: r.part)
+    all_good, all_bad = sum(r.good for r in parts), sum(r.bad for r in parts)
+    if not all_bad:
+        return max([1.0, *(r.high for r in parts)]) + 1e-9
+    before = [(r.part, sum(p.good for p in parts[:k]), sum(p.bad for p in parts[:k])) for k, r in enumerate(parts)]
+    offsets = F.broadcast(rows.sparkSession.createDataFrame(before, "part long, more_good long, more_bad long"))
+    so_far = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    kept = (F.sum("good").over(so_far) + F.col("more_good")) / F.lit(max(all_good, 1))
+    found = 1 - (F.sum("bad").over(so_far) + F.col("more_bad")) / F.lit(all_bad)
+    gains = each.join(offsets, "part").select("score", (kept + found).alias("gain"))
+    best = gains.agg(F.min_by("score", F.struct(-F.col("gain"), "score")).alias("best")).first().best
+    after = each.where(F.col("score") > best).agg(F.min("score").alias("after")).first().after
+    return (best + (best + 1e-9 if after is None else after)) / 2
+
+
+def judged(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, anomaly`` per row.
 
     A row fails the base rules with fewer than 50 words or with more than half of
@@ -123,13 +170,13 @@ def judged(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Dat
     empty result.
     """
     stats = stored(described(documents), "statistics")
-    forest = fitted(*training_rows(stats, labels, sample))
+    forest = fitted_on(stats, labels)
     names = ["doc_id", *COUNTS]
     schema = pa.schema([*((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), ("kept", pa.bool_()), ("anomaly", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = np.asarray(batch.column("features").flatten(), dtype=np.float32).reshape(-1, len(FEATURES))
+            x = _features(batch.column("features"))
             words, repeated = (np.asarray(batch.column(c)) for c in ("n_words", "n_repeat_words"))
             failed = (words < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * words)
             anomaly = forest.score(x)

@@ -102,6 +102,25 @@ def training_rows(stats: DataFrame, labels: DataFrame, most: int) -> tuple[np.nd
     return _first_rows(labelled.where(_chosen(labelled.count(), most)), most)
 
 
+def numbered(table: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``table`` stored in order, with ``place`` counted from 0 over all rows and the ``part`` a row is in.
+
+    Parts are ranges of the order; only their sizes reach the driver.
+    """
+    at = stored(table.orderBy(*order).withColumn("_at", F.monotonically_increasing_id()), name)
+    part, within = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = sorted((r.part, r.n) for r in at.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect())
+    before = [(p, sum(n for _, n in sizes[:k])) for k, (p, _) in enumerate(sizes)]
+    offsets = F.broadcast(table.sparkSession.createDataFrame(before, "part long, _before long"))
+    return at.withColumn("part", part).join(offsets, "part").withColumn("place", within + F.col("_before")).drop("_at", "_before")
+
+
+def labelled_rows(stats: DataFrame, labels: DataFrame) -> DataFrame:
+    """``place, features, quality`` of every labelled row that is not held out, numbered in the order ``training_rows`` takes them."""
+    labelled = stats.select("doc_id", "features").join(_known(labels), "doc_id")
+    return numbered(labelled, [F.xxhash64("doc_id"), F.col("doc_id"), F.col("features")], "labelled").select("place", "features", "quality")
+
+
 def sampled_rows(documents: DataFrame, labels: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
     """What ``training_rows`` gives, from ``documents (doc_id, text)``: of all rows ids are read, of the chosen ones texts."""
     known = _known(labels)

@@ -287,6 +287,27 @@ def test_forest_in_plain_python(spark, sf_dir):
     assert np.isclose(gain(forest.limit), max(gain(limit) for limit in scores))
 
 
+def test_forest_learns_from_all_rows(spark, sf_dir, monkeypatch):
+    """All labelled rows set the limit and may be in trees, however many there are."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    stats = statistics.described(docs).select("doc_id", "features")
+    x, y = statistics.training_rows(stats, labels, 10**6)
+    plain, got = isolation.fitted(x, y), isolation.fitted_on(stats, labels)
+    assert got.limit == plain.limit and (got.cut == plain.cut).all() and (got.feature == plain.feature).all()
+    rows = statistics.labelled_rows(stats, labels)
+    assert sorted(r.place for r in rows.collect()) == list(range(len(y)))
+    # More good rows than all trees take: each tree has its own, drawn from all.
+    taken, fit = [], isolation.IsolationForest.fit
+    monkeypatch.setattr(isolation, "TREES", 3)
+    monkeypatch.setattr(isolation, "ROWS", 8)
+    monkeypatch.setattr(isolation.IsolationForest, "fit", lambda x, **more: taken.append((len(x), more)) or fit(x, **more))
+    forest = isolation.fitted_on(stats, labels)
+    assert taken == [(24, {"dealt": True})] and len(forest.feature) == 3
+    rest = ~((np.arange(len(y)) % 2 == 0) & (y == 1))
+    forest.calibrate(x[rest], y[rest] == 1)
+    assert forest.limit == isolation._limit(rows.where("place % 2 = 1 or quality <> 1"), forest)
+
+
 def test_pipeline_in_plain_python(spark, sf_dir):
     """All five stages over the whole table, each written down again without Spark."""
     import base64
