@@ -21,14 +21,13 @@ in a bucket is left out.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from foliospark.llm.common import binary_values, discarded, mixed, paired, row_key, small, stored
+from foliospark.llm.common import binary_values, discarded, give_back, mixed, paired, row_key, small, stored
 
 WORDS, PERCENT = 5, 75
 MINIMA, BAND, BITS = 128, 4, 2
@@ -125,6 +124,8 @@ def _signature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays(
             [c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, _SIGNATURE)], schema=_SIGNATURE
         )
+        del batch, columns, n, digests, bands, packed
+        give_back()
 
 
 _SET = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -141,6 +142,8 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, _SET.field(1).type)], schema=_SET)
                 nodes, sets, size = [], [], 0
         yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, _SET.field(1).type)], schema=_SET)
+        del batch, nodes, sets
+        give_back()
 
 
 def signatures(documents: DataFrame) -> DataFrame:
@@ -242,31 +245,48 @@ def _work(groups: DataFrame) -> float:
 
 
 class _Links:
-    """The links found so far and the components they make."""
+    """The components of the links found so far."""
 
     def __init__(self, packs: DataFrame, full: DataFrame, percent: int):
         self.packs, self.full, self.percent = packs, full, percent  # of nodes that share a bucket
-        self.links: list[DataFrame] = []
         self.label: DataFrame | None = None
 
     def add(self, links: DataFrame) -> None:
-        self.links.append(links)
-        old, self.label = self.label, components(reduce(DataFrame.union, self.links))
-        if old is not None:
-            discarded(old)
-
-    def compared(self, members: DataFrame, groups: DataFrame, least_turns: int) -> tuple[DataFrame, DataFrame, float]:
+        """Join the components that stored ``links (a, b)`` connect; what was found before is one node for each component."""
+        if self.label is None:
+            self.label = components(links)
+            discarded(links)
+            return
+        old, name = self.label, small(self.label)
+        ends = links
+        for end in ("a", "b"):
+            known = name.select(F.col("node").alias(end), F.col("component").alias("whole"))
+            ends = ends.join(known, end, "left").withColumn(end, F.coalesce("whole", end)).drop("whole")
+        between = stored(ends.where("a != b").distinct(), "links")
+        if not between.isEmpty():
+            merged = components(between)
+            into = small(merged).select(F.col("node").alias("component"), F.col("component").alias("into"))
+            told = old.select("node", "component").join(into, "component", "left").select("node", F.coalesce("into", "component").alias("component"))
+            first = merged.select("node", "component").join(name.select("node"), "node", "left_anti")
+            self.label = stored(told.unionByName(first), "labels")
+            discarded(merged, old)
+        discarded(links, between)
+
+    def compared(self, members: DataFrame, groups: DataFrame, least_turns: int,
+                 possible: Callable[[DataFrame], DataFrame] | None = None) -> tuple[DataFrame, DataFrame, float]:
         """Compare the nodes of each bucket of ``members (bucket, node, component, ..)`` with its hub, turn by turn.
 
         Ends when a member's bucket would take few comparisons or the last turn
         did not help.  Gives the members of buckets that still hold several
-        components, those buckets, and the comparisons left.
+        components, those buckets, and the comparisons left.  ``possible`` takes
+        members with their ``hub`` and leaves those that can be linked with it.
         """
         rest, work = members, None if least_turns else _work(groups)
         for turn in range(ROUNDS):
             if turn >= least_turns and work <= FEW:
                 break
-            pairs = stored(rest.join(small(groups), "bucket").where("component != hub_component").select("node", "hub").distinct(), "pairs")
+            met = rest.join(small(groups), "bucket").where("component != hub_component")
+            pairs = stored((possible(met) if possible else met).select("node", "hub").distinct(), "pairs")
             self.add(_confirmed(pairs, self.packs, self.full, self.percent))
             labelled = _labelled(rest, self.label)
             after = _open(labelled, turn + 1)
@@ -336,21 +356,37 @@ def _across(rest: DataFrame, groups: DataFrame, found: _Links) -> None:
     entry = stored(left.where(first > 0).select("cluster", "node", "component", F.explode(F.slice("listed", F.lit(1), first)).alias("shingle")).select(
         F.xxhash64("cluster", "shingle").alias("bucket"), "cluster", "node", "component"), "entries")
     begun = _open(entry, 0)
-    paired_out, groups, _ = found.compared(stored(entry.join(small(begun).select("bucket"), "bucket"), "entries"), begun, 0)
     # A set's odd shingles as bits: two share at most the bits they share and what the set with fewer clashes has in excess.
     known = left.select("cluster", "node", "size", "alone", F.size("listed").alias("odd"), _bits("listed").alias("bits"))
-    known = known.withColumn("excess", F.col("odd") - _ones(F.col("bits")))
-    side = stored(paired_out.join(known, ["cluster", "node"]), "sides")
+    known = stored(known.withColumn("excess", F.col("odd") - _ones(F.col("bits"))), "odd")
+
+    def possible(met: DataFrame) -> DataFrame:
+        """Those that can be near enough to their hub by their odd shingles."""
+        met = met.select("cluster", "node", "hub").distinct()
+        own, other = (small(known).select("cluster", F.col("node").alias(end), F.struct(*known.columns).alias(side)) for end, side in (("node", "one"), ("hub", "two")))
+        return met.join(own, ["cluster", "node"]).join(other, ["cluster", "hub"]).where(_within(p))
+
+    paired_out, groups, _ = found.compared(stored(entry.join(small(begun).select("bucket"), "bucket"), "entries"), begun, 0, possible)
+    side = stored(paired_out.join(small(known), ["cluster", "node"]), "sides")
     one, two = (lambda c: F.col(f"one.{c}")), (lambda c: F.col(f"two.{c}"))
-    shared = sum((F.bit_count(F.get(one("bits"), F.lit(k)).bitwiseAND(F.get(two("bits"), F.lit(k)))) for k in range(LONGS)),
-                 F.least(one("excess"), two("excess")))
-    least = one("alone") + two("alone") + one("odd") + two("odd") - 2 * F.least(shared, one("odd"), two("odd"))
     # The bound is part of the join: what it rules out is never a row.
     pairs = side.alias("one").join(side.alias("two"), (one("bucket") == two("bucket")) & (one("cluster") == two("cluster"))
-                                   & (one("component") < two("component")) & (least * (100 + p) <= (one("size") + two("size")) * (100 - p)))
+                                   & (one("component") < two("component")) & _within(p))
     likely = stored(pairs.select(one("node").alias("node"), two("node").alias("hub")).distinct(), "pairs")
     found.add(_confirmed(likely, found.packs, found.full, p))
-    discarded(profiles, top, left, entry, paired_out, groups, side, likely)
+    discarded(profiles, top, left, entry, known, paired_out, groups, side, likely)
+
+
+def _within(percent: int) -> Column:
+    """Whether the sets ``one`` and ``two`` of a cluster, by their sizes and odd shingles, can reach the limit."""
+    one, two = (lambda c: F.col(f"one.{c}")), (lambda c: F.col(f"two.{c}"))
+    shared = sum((F.bit_count(F.get(one("bits"), F.lit(k)).bitwiseAND(F.get(two("bits"), F.lit(k)))) for k in range(LONGS)),
+                 F.least(one("excess"), two("excess")))
+    alone, most = one("alone") + two("alone"), (one("size") + two("size")) * (100 - percent)
+    # Cheap to see for most pairs: what one set has odd beyond the number of the other is not shared.
+    fewest = alone + F.abs(one("odd") - two("odd"))
+    least = alone + one("odd") + two("odd") - 2 * F.least(shared, one("odd"), two("odd"))
+    return (fewest * (100 + percent) <= most) & (least * (100 + percent) <= most)
 
 
 def _bits(names: str) -> Column:
@@ -406,7 +442,7 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
         "digest", "least", F.coalesce("component", "node").alias("component"))
     smallest = known.groupBy("component").agg(F.min("least").alias("component_id"))
     named = stored(known.join(smallest, "component").select("digest", "component_id"), "components")
-    discarded(groups, some, wanted, full, sets, rest, found.label, *found.links)
+    discarded(groups, some, wanted, full, sets, rest, found.label)
     return rows.join(
         named.withColumn("linked", F.lit(True)), "digest", "left"
     ).select(

@@ -93,3 +93,44 @@ def test_components_of_a_path(spark):
     got = {(r.node, r.component) for r in minhash.components(edges).collect()}
     assert got == {(k, 0) for k in range(201)} | {(400, 400), (500, 400)}
     assert minhash.components(edges.where(F.lit(False))).count() == 0
+
+
+def test_known_links_are_not_joined_again(spark, monkeypatch):
+    """Links found later join whole components; those inside one take no further work."""
+    seen, components = [], minhash.components
+
+    def counted(edges):
+        seen.append(edges.count())
+        return components(edges)
+
+    monkeypatch.setattr(minhash, "components", counted)
+    parts = [[(k, k + 1) for k in range(50)] + [(400, 401), (700, 701)], [(5, 300), (3, 7), (41, 401), (9, 401)], [(2, 300), (700, 701)]]
+    found = minhash._Links(None, None, 75)
+    for part in parts:
+        found.add(minhash.stored(spark.createDataFrame(part, "a long, b long"), "links"))
+    assert seen == [52, 2]
+    got = {(r.node, r.component) for r in found.label.collect()}
+    assert got == {(k, 0) for k in (*range(51), 300, 400, 401)} | {(700, 700), (701, 700)} and found.label.count() == 56
+
+
+def test_pairs_around_a_passage_are_ruled_out_by_their_odd_shingles(spark, monkeypatch):
+    """Of texts that share a passage and some odd shingles, but too few, no pair goes to the full sets after the first turns."""
+    rng = random.Random(6)
+    word = lambda: f"v{rng.randrange(9000)}"
+    passage, extra = [word() for _ in range(70)], [[word() for _ in range(12)] for _ in range(3)]
+    rows = [(k, " ".join([word() for _ in range(14)] + extra[k % 3] + passage + [word() for _ in range(14)])) for k in range(90)]
+    calls, later, confirmed, across = [], [], minhash._confirmed, minhash._across
+
+    def counted(pairs, *rest):
+        calls.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    def noted(*args):
+        later.append(len(calls))
+        across(*args)
+
+    monkeypatch.setattr(minhash, "FEW", 4)
+    monkeypatch.setattr(minhash, "_confirmed", counted)
+    monkeypatch.setattr(minhash, "_across", noted)
+    check(spark, rows)
+    assert later and len(calls) > later[0] and sum(calls[later[0]:]) == 0
