@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from foliospark.llm.common import binary_values, stored
+from foliospark.llm.common import binary_values, give_back, stored
 from foliospark.llm.statistics import FEATURES, describe, described, held_out, sampled_rows, training_rows
 
 #: Most labelled rows a model is fitted on.
@@ -167,6 +167,7 @@ def accepted(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE, limi
     @F.arrow_udf("boolean")
     def good(text: pa.Array) -> pa.Array:
         features = np.array([describe(t)[1] for t in binary_values(text)], np.float32).reshape(-1, len(FEATURES))
+        give_back()
         return pa.array(model.score(features) >= limit)
 
     return documents.where(good(F.coalesce("text", F.lit("")).cast("binary")))

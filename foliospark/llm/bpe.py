@@ -21,6 +21,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
+from foliospark.llm.common import give_back
+
 
 class Vocabulary:
     """Token bytes by rank, with the check that two tokens stay two."""
@@ -138,7 +140,14 @@ class Encoder:
         return b"".join(map(self.vocabulary.tokens.__getitem__, memoryview(ids).cast("I")))
 
 
-def _blocks(texts: list[str], size: int = 2_000_000) -> Iterator[list[str]]:
+def _texts(column: pa.Array) -> Iterator[str]:
+    """The texts of a batch, few of them as Python strings at a time."""
+    for at in range(0, len(column), 256):
+        for text in column.slice(at, 256).to_pylist():
+            yield text or ""
+
+
+def _blocks(texts: Iterator[str], size: int = 1_000_000) -> Iterator[list[str]]:
     """Texts of about ``size`` characters together, a longer one alone."""
     block, total = [], 0
     for text in texts:
@@ -174,13 +183,14 @@ def encoded(documents: DataFrame, path: str, pattern: str, keep_ids: bool = Fals
         encoder = _encoder(path, pattern)
         for batch in batches:
             out: list[list] = [[] for _ in schema]
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids_of = (ids for block in _blocks(texts) for ids in encoder.encode(block))
+            ids_of = (ids for block in _blocks(_texts(batch.column("text"))) for ids in encoder.encode(block))
             for doc, ids in zip(batch.column("doc_id").to_pylist(), ids_of):
                 row = (doc, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(encoder.decode(ids)).hexdigest(), ids)
                 for part, value in zip(out, row):
                     part.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(p, f.type) for p, f in zip(out, schema)], schema=schema)
+            del batch, out, ids_of
+            give_back()
 
     ddl = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * keep_ids
     return documents.select("doc_id", "text").mapInArrow(run, ddl)
