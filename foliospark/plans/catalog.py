@@ -556,7 +556,8 @@ def row_reconciliation(spark, sf):
 @query
 def curated_projection(spark, sf):
     staged = corpus.store_staged(spark, numbered=True, primary=_primary(spark, sf), secondary=_secondary(spark, sf))
-    lookup = corpus.store_staged(spark, lookup=stage.stage_index(_entries(spark, sf)))["lookup"]
+    index = stage.stage_index(_entries(spark, sf)).select("ra_number", "approval_date", "source_path")  # all that fills gaps
+    lookup = corpus.store_staged(spark, lookup=index)["lookup"]
     return corpus.curate(staged["primary"], staged["secondary"], lookup)
 
 

@@ -70,13 +70,14 @@ def explode_index(pages: DataFrame, page: str = "page", payload: str = "payload"
 
     ``entry_size`` is -1 for an entry that is not a list.  The entries are
     decoded one by one, because one bad entry would null the whole page under
-    a nested schema.
+    a nested schema, and once each: as a generated value the cells are not
+    decoded again by every filter on what is read off them.
     """
     entries = pages.select(
         page, F.posexplode(F.from_json(payload, "data array<string>").data).alias("pos", "entry")
     )
     cells = F.when(F.col("entry").startswith("["), F.from_json("entry", T.ArrayType(T.StringType())))
-    decoded = entries.select(page, "pos", cells.alias("cells"))
+    decoded = entries.select(page, "pos", F.explode(F.array(cells)).alias("cells"))
 
     def cell(n: int) -> Column:
         return F.try_element_at("cells", F.lit(n))

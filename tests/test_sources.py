@@ -44,6 +44,13 @@ def test_json_index(spark, tmp_path):
     assert list(stage.stage_index(entries).columns) == list(K.STAGED_COLUMNS)
 
 
+def test_index_entries_are_decoded_once(spark):
+    """Filters on what is read off an entry do not decode it again: one parse of the page, one of the entry."""
+    pages = spark.createDataFrame([("p", '{"data":[["REPUBLIC ACT NO. 1","","x"]]}')], "page string, payload string").repartition(2)
+    plan = stage.stage_index(readers.explode_index(pages))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2
+
+
 def test_markdown_staging(spark):
     rows = [
         ("ra1946", "index page", "p/0"), (None, "**Republic Act No. 12** May 1, 1950\nA title of good length\nbody", "p/1"),
