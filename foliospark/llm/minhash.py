@@ -315,10 +315,14 @@ def _across(rest: DataFrame, groups: DataFrame, found: _Links) -> None:
        odd shingle.  As they differ by ``n1 * (100 - p) / p`` at most, they share
        one among the first ``n * (100 - p) / p + 1`` of either's odd shingles in
        one order, here the rarest first.  Shingles that one set alone has odd
-       take their places there and lead to no pair.  Groups of equal odd
-       shingles are compared with one of their nodes as buckets are; of the rest
-       a pair is made if its difference, bounded by the odd shingles as bits, can
-       be within the limit, and confirmed on the full sets.
+       take their places there and lead to no pair.  They also share as many as
+       ``_shared_least`` says, none of them before the first one.  So a set
+       needs an odd shingle only if that many are left from it on, for the
+       partner of greatest slack in the cluster and then in the group of equal
+       odd shingles, of another component.  These groups are compared with one
+       of their nodes as buckets are; of the rest a pair is made if its
+       difference, bounded by the odd shingles as bits, can be within the
+       limit, and confirmed on the full sets.
     """
     p, full = found.percent, found.full
     members = stored(rest.join(small(groups), "bucket").select(F.col("hub").alias("cluster"), "node", "component").distinct(), "clusters")
@@ -350,12 +354,26 @@ def _across(rest: DataFrame, groups: DataFrame, found: _Links) -> None:
     sure = profiles.join(small(top), "cluster").where((F.col("slack") + F.col("best") >= 0) & (F.col("node") != F.col("hub")))
     found.add(stored(sure.select(F.col("node").alias("a"), F.col("hub").alias("b")), "links"))
     labelled = _labelled(profiles, found.label)
-    several = labelled.groupBy("cluster").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
-    left = stored(labelled.join(stored(several.select("cluster"), "several"), "cluster"), "unsettled")
-    first = F.floor(F.col("size") * (100 - p) / p).cast("int") + 1 - F.col("alone")
-    entry = stored(left.where(first > 0).select("cluster", "node", "component", F.explode(F.slice("listed", F.lit(1), first)).alias("shingle")).select(
-        F.xxhash64("cluster", "shingle").alias("bucket"), "cluster", "node", "component"), "entries")
-    begun = _open(entry, 0)
+    # Members are told apart by whether they are in the component of the greatest slack; without others a cluster is done.
+    parts = stored(labelled.groupBy("cluster", "component").agg(F.max("slack").alias("slack")), "parts")
+    lead = stored(parts.groupBy("cluster").agg(F.max_by("component", "slack").alias("lead")), "leads")
+    leads = F.col("component") == F.col("lead")
+    several = stored(parts.join(small(lead), "cluster").groupBy("cluster", "lead").agg(
+        F.max(F.when(leads, F.col("slack"))).alias("best"), F.max(F.when(~leads, F.col("slack"))).alias("second")).where("second is not null"), "several")
+    left = stored(labelled.join(small(several), "cluster").withColumn("leads", leads).drop("lead"), "unsettled")
+    needed = _shared_least("slack", F.when(F.col("leads"), F.col("second")).otherwise(F.col("best")), p)
+    first = F.least(F.floor(F.col("size") * (100 - p) / p) + 1 - F.col("alone"), F.size("listed") + 1 - needed).cast("int")
+    entry = stored(left.where(first > 0).select(
+        "cluster", "node", "component", "slack", "leads", F.size("listed").alias("odd"), F.posexplode(F.slice("listed", F.lit(1), first)).alias("at", "shingle")
+    ).select(F.xxhash64("cluster", "shingle").alias("bucket"), "cluster", "node", "component", "slack", "leads", (F.col("odd") - F.col("at")).alias("on")), "entries")
+    most = lambda which: F.max(F.when(which, F.col("slack")))
+    met = stored(entry.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), most(F.col("leads")).alias("best"), most(~F.col("leads")).alias("second")
+    ).where("low < high").select("bucket", "best", "second"), "met")
+    partner = F.when(F.col("leads"), F.col("second")).otherwise(F.greatest("best", "second"))
+    near = stored(entry.join(small(met), "bucket").where(F.col("on") >= _shared_least("slack", partner, p)).select("bucket", "cluster", "node", "component"), "entries")
+    discarded(parts, lead, several, entry, met)
+    begun = _open(near, 0)
     # A set's odd shingles as bits: two share at most the bits they share and what the set with fewer clashes has in excess.
     known = left.select("cluster", "node", "size", "alone", F.size("listed").alias("odd"), _bits("listed").alias("bits"))
     known = stored(known.withColumn("excess", F.col("odd") - _ones(F.col("bits"))), "odd")
@@ -366,7 +384,7 @@ def _across(rest: DataFrame, groups: DataFrame, found: _Links) -> None:
         own, other = (small(known).select("cluster", F.col("node").alias(end), F.struct(*known.columns).alias(side)) for end, side in (("node", "one"), ("hub", "two")))
         return met.join(own, ["cluster", "node"]).join(other, ["cluster", "hub"]).where(_within(p))
 
-    paired_out, groups, _ = found.compared(stored(entry.join(small(begun).select("bucket"), "bucket"), "entries"), begun, 0, possible)
+    paired_out, groups, _ = found.compared(stored(near.join(small(begun).select("bucket"), "bucket"), "entries"), begun, 0, possible)
     side = stored(paired_out.join(small(known), ["cluster", "node"]), "sides")
     one, two = (lambda c: F.col(f"one.{c}")), (lambda c: F.col(f"two.{c}"))
     # The bound is part of the join: what it rules out is never a row.
@@ -374,7 +392,16 @@ def _across(rest: DataFrame, groups: DataFrame, found: _Links) -> None:
                                    & (one("component") < two("component")) & _within(p))
     likely = stored(pairs.select(one("node").alias("node"), two("node").alias("hub")).distinct(), "pairs")
     found.add(_confirmed(likely, found.packs, found.full, p))
-    discarded(profiles, top, left, entry, known, paired_out, groups, side, likely)
+    discarded(profiles, top, left, near, known, paired_out, groups, side, likely)
+
+
+def _shared_least(slack: str, partner: Column, percent: int) -> Column:
+    """The fewest odd shingles that sets of these slacks share if they are linked; more for a partner of less slack.
+
+    Linked sets have ``(100 + p) * (r1 + r2 - 2 * shared) <= (100 - p) * (n1 + n2)``, so twice ``100 + p`` for each
+    shared one makes up for both slacks.
+    """
+    return F.ceil(-(F.col(slack) + partner) / (2 * (100 + percent)))
 
 
 def _within(percent: int) -> Column:

@@ -134,3 +134,43 @@ def test_pairs_around_a_passage_are_ruled_out_by_their_odd_shingles(spark, monke
     monkeypatch.setattr(minhash, "_across", noted)
     check(spark, rows)
     assert later and len(calls) > later[0] and sum(calls[later[0]:]) == 0
+
+
+def test_odd_shingles_name_a_group_only_if_enough_are_left(spark, monkeypatch):
+    """Most odd shingles of copies too far from each other lead to no comparison, and no link is lost."""
+    rng = random.Random(1)
+    base = [f"v{rng.randrange(9000)}" for _ in range(140)]
+    rows = []
+    for k in range(80):
+        words = list(base)
+        for at in rng.sample(range(6, 134, 6), rng.randrange(4, 8)):
+            words[at] = f"x{at}_{rng.randrange(60)}"
+        rows.append((k, " ".join(words)))
+        if k % 8 == 0:  # one that is near to it
+            rows.append((100 + k, " ".join([*words[:-1], "end"])))
+    begun, opened = [], minhash._open
+
+    def noted(members, turn):
+        if turn == 0:
+            begun.append(members.count())
+        return opened(members, turn)
+
+    monkeypatch.setattr(minhash, "FEW", 2)
+    monkeypatch.setattr(minhash, "_open", noted)
+    check(spark, rows)
+    assert len(begun) == 1 and begun[0] < 3000
+
+
+def test_least_number_of_shared_odd_shingles(spark):
+    """Of linked sets, those that differ from any core share at least so many odd shingles."""
+    rng = random.Random(9)
+    rows = []
+    for _ in range(3000):
+        core = set(range(rng.randrange(5, 40)))
+        a, b = ({x for x in core if rng.random() < 0.8} | {rng.randrange(50, 60) for _ in range(rng.randrange(9))} or {1} for _ in range(2))
+        slacks = [25 * len(s) - 175 * len(s ^ core) for s in (a, b)]
+        rows.append((*slacks, len((a ^ core) & (b ^ core)), 100 * len(a & b) >= 75 * len(a | b)))
+    df = spark.createDataFrame(rows, "one long, two long, shared int, linked boolean")
+    least = minhash._shared_least("one", F.col("two"), 75)
+    assert df.where(F.col("linked") != (F.col("shared") >= least)).count() == 0
+    assert df.where("linked").count() > 50 and df.where(F.col("linked") & (F.col("shared") == least) & (least > 0)).count() > 0
