@@ -8,6 +8,7 @@ occurs in a third of all rows is one pre-aggregated count per task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -438,7 +439,10 @@ def _cause(exc: Exception) -> str:
         return f"{type(exc).__name__}: {found}"
     lines = [line.strip() for line in str(exc).splitlines() if line.strip()]
     errors = [line for line in lines if line.split(":")[0].endswith(("Error", "Exception")) and " " not in line.split(":")[0]]
-    return f"{type(exc).__name__}: {(errors or lines or [''])[-1]}"
+    last = (errors or lines or [""])[-1]
+    if last.startswith("Caused by:") and (root := re.search(r"(\w+(?:Error|Exception)): \[([A-Z_.]+)\]", last)):
+        return f"{root[1]}: {root[2]}"  # a Java error that PySpark left as it was
+    return f"{type(exc).__name__}: {last}"
 
 
 def summarize(results: DataFrame) -> DataFrame:
